@@ -1,3 +1,3 @@
 """All registered queries; importing this package fills the registry."""
 
-from lakeshelf.queries import gold  # noqa: F401
+from lakeshelf.queries import aggregates, gold, joins, rows  # noqa: F401
