@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -404,8 +405,14 @@ def run(
             .unionByName(total_rule("species rows", kept_reports["fat_especie"], kpis))
             .unionByName(total_rule("state rows", kept_reports["fat_uf"], kpis))
         )
-        for name, report in kept_reports.items():
-            replace_partitions(report, paths[name], MONTH, only)
-        replace_partitions(region_table(kept_reports["fat_uf_total"]), paths["fat_regiao"], MONTH, only)
+        kept_reports["fat_regiao"] = region_table(kept_reports["fat_uf_total"])
+        # Small independent writes: submitted together, their commits overlap.
+        with ThreadPoolExecutor(len(kept_reports)) as pool:
+            writes = [
+                pool.submit(replace_partitions, report, paths[name], MONTH, only)
+                for name, report in kept_reports.items()
+            ]
+            for write in writes:
+                write.result()
     return paths
 

@@ -1,3 +1,3 @@
 """All registered queries; importing this package fills the registry."""
 
-from lakeshelf.queries import aggregates, gold, joins, rows, scalars, udfs  # noqa: F401
+from lakeshelf.queries import aggregates, gold, joins, plans, rows, scalars, tables, udfs  # noqa: F401
