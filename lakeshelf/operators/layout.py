@@ -52,6 +52,16 @@ def since(df: DataFrame, moment: str, partition: str, unit: str, start: str) ->
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, spread over the cores.
+
+    Meant for heavy row work over a small table.  A scan that has its splits is
+    returned as it is, so a large table is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def partition_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows and files per partition value of a table read from files."""
     name = F.col("_metadata.file_path")

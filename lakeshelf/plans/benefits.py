@@ -31,6 +31,20 @@ from lakeshelf.sources.sinks import replace_partitions
 MONTH = "_ano_mes"
 ACCURACY = 10_000
 
+# What each report reads of silver.
+STATE_COLUMNS = [
+    MONTH, "uf", "sg_uf", "especie_codigo", "vl_liquido", "sexo", "ramo_atividade",
+    "fl_mesmo_municipio", "mun_resid_codigo", "banco_codigo",
+]
+SPECIES_COLUMNS = [
+    MONTH, "uf", "sg_uf", "especie_codigo", "especie_descricao", "vl_liquido", "sexo",
+    "ramo_atividade", "clientela", "fl_mesmo_municipio", "fl_vl_zero",
+]
+KPI_COLUMNS = [
+    MONTH, "uf", "especie_codigo", "vl_liquido", "sexo", "ramo_atividade", "fl_mesmo_municipio",
+    "fl_vl_zero", "mun_resid_codigo", "banco_codigo",
+]
+
 
 # --- landing ---------------------------------------------------------------
 

@@ -6,82 +6,138 @@ Gives the layered plan an input of any size: padded categories, locale money,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.functions.fixed_values import STATE_CODES
+from lakeshelf.functions.fixed_values import LANDING_COLUMNS, STATE_CODES
+from lakeshelf.operators.layout import spread
 from lakeshelf.registry import table
 
 NAMES = list(STATE_CODES)
 CODES = list(STATE_CODES.values())
 
 
-def _of_nation(values: list[str], key) -> F.Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), key)
+def locale_money(value: Column) -> Column:
+    """``1621.0`` to ``1.621,00``, for values from 0 up to 10 digits before the comma."""
+    cents = F.round(value.cast("decimal(12,2)") * 100).cast("long")
+    units = F.floor(cents / 100)
+
+    def grouped(groups: int) -> Column:
+        lead = F.floor(units / 1000**groups).cast("string")
+        rest = [
+            F.lpad((F.floor(units / 1000**i) % 1000).cast("string"), 3, "0")
+            for i in reversed(range(groups))
+        ]
+        return F.concat_ws(".", lead, *rest)
+
+    whole = (
+        F.when(units < 10**3, grouped(0))
+        .when(units < 10**6, grouped(1))
+        .when(units < 10**9, grouped(2))
+        .otherwise(grouped(3))
+    )
+    return F.concat(whole, F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
-def _place(key, name) -> F.Column:
-    return F.concat_ws(
-        "-",
-        F.lpad(key.cast("string"), 5, "0"),
-        F.initcap(_of_nation(CODES, key)),
-        F.translate(name, "_", "-"),
-    )
+def _padded(text: Column) -> Column:
+    return F.concat(text, F.lit("  "))
 
 
-def _locale_money(value) -> F.Column:
-    return F.translate(F.format_number(value.cast("decimal(12,2)"), 2), ",.", ".,")
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State name and place text of each nation."""
+    key = F.col("n_nationkey")
 
+    def of_nation(values: list[str]) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), key)
 
-def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their order, customer, supplier and part."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    resid = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("resid_name"))
-    pagto = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("pagto_name"))
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(resid, "c_nationkey")
-        .join(pagto, "s_nationkey")
+    place = F.concat_ws(
+        "-",
+        F.lpad(key.cast("string"), 5, "0"),
+        F.initcap(of_nation(CODES)),
+        F.translate("n_name", "_", "-"),
+    )
+    return table(spark, sf_dir, "nation").select(
+        "n_nationkey", _padded(of_nation(NAMES)).alias("state"), _padded(place).alias("place")
     )
 
 
 def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fourteen text columns of a landing file plus the month it belongs to."""
+    """The fourteen text columns of a landing file plus the month it belongs to.
+
+    Each table renders its own columns before the joins.  Orders meet customers
+    first, so that the lines are shuffled by order key once and not by customer
+    key again.
+    """
     c = F.col
-    brand = F.substring_index(c("p_brand"), "#", -1)
-    texts = {
-        "Despacho": F.when(c("o_orderstatus") == "P", "Nao Informado").otherwise(c("o_orderstatus")),
-        "Sexo.": F.when(c("l_returnflag") == "A", "Feminino")
-        .when(c("l_returnflag") == "N", "Masculino")
-        .otherwise("{ñ class}"),
-        "Clientela": F.when(c("c_mktsegment") == "BUILDING", "Urbano")
-        .when(c("c_mktsegment") == "MACHINERY", "Rural")
-        .when(c("c_mktsegment") == "HOUSEHOLD", "{ñ class}")
-        .otherwise(c("c_mktsegment")),
-        "Tipo Benefício": c("p_type"),
-        "UF": _of_nation(NAMES, c("c_nationkey")),
-        "Meio pagamento": F.when(c("l_linenumber") <= 2, "Ccf - Conta")
-        .when(c("l_linenumber") <= 4, "Ccl - Loterica")
-        .when(c("l_linenumber") <= 6, "Cmg  -  Cartao")
-        .otherwise("Out - Outro"),
-        "Banco": F.concat(brand, F.lit("-Brand-"), brand),
-        "Mun Pagto": _place(c("s_nationkey"), c("pagto_name")),
-        "Mun Resid": _place(c("c_nationkey"), c("resid_name")),
-        "Vl Líquido": F.when(c("l_discount") == 0, "0,00").otherwise(_locale_money(c("l_extendedprice"))),
-        "Ramo Atividade": F.when(c("o_orderpriority") == "1-URGENT", "Rural")
-        .when(c("o_orderpriority") == "4-NOT SPECIFIED", "{ñ class}")
-        .otherwise(c("o_orderpriority")),
-        "Dt início validade": F.date_format("l_shipdate", "dd/MM/yyyy"),
-        "Espécie12": F.concat(c("p_size").cast("string"), F.lit(".0")),
-        "Espécie13": F.concat(F.lit("Especie "), c("p_size").cast("string")),
-    }
-    padded = [F.concat(v, F.lit("  ")).alias(k) for k, v in texts.items()]
-    return sales_fact(spark, sf_dir).select(
-        *padded, F.date_format("o_orderdate", "yyyyMM").alias("_ano_mes")
+    nations = _nations(spark, sf_dir)
+    segment, status, priority = c("c_mktsegment"), c("o_orderstatus"), c("o_orderpriority")
+    customers = (
+        table(spark, sf_dir, "customer")
+        .join(nations, c("c_nationkey") == c("n_nationkey"))
+        .select(
+            "c_custkey",
+            _padded(
+                F.when(segment == "BUILDING", "Urbano")
+                .when(segment == "MACHINERY", "Rural")
+                .when(segment == "HOUSEHOLD", "{ñ class}")
+                .otherwise(segment)
+            ).alias("Clientela"),
+            c("state").alias("UF"),
+            c("place").alias("Mun Resid"),
+        )
+    )
+    suppliers = (
+        table(spark, sf_dir, "supplier")
+        .join(nations, c("s_nationkey") == c("n_nationkey"))
+        .select("s_suppkey", c("place").alias("Mun Pagto"))
+    )
+    orders = (
+        table(spark, sf_dir, "orders")
+        .select(
+            "o_orderkey",
+            "o_custkey",
+            F.date_format("o_orderdate", "yyyyMM").alias("_ano_mes"),
+            _padded(F.when(status == "P", "Nao Informado").otherwise(status)).alias("Despacho"),
+            _padded(
+                F.when(priority == "1-URGENT", "Rural")
+                .when(priority == "4-NOT SPECIFIED", "{ñ class}")
+                .otherwise(priority)
+            ).alias("Ramo Atividade"),
+        )
+        .join(customers, c("o_custkey") == c("c_custkey"))
+    )
+    brand, size = F.substring_index("p_brand", "#", -1), c("p_size").cast("string")
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        _padded(c("p_type")).alias("Tipo Benefício"),
+        _padded(F.concat(brand, F.lit("-Brand-"), brand)).alias("Banco"),
+        _padded(F.concat(size, F.lit(".0"))).alias("Espécie12"),
+        _padded(F.concat(F.lit("Especie "), size)).alias("Espécie13"),
+    )
+    flag, number = c("l_returnflag"), c("l_linenumber")
+    lines = spread(table(spark, sf_dir, "lineitem")).select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        _padded(
+            F.when(flag == "A", "Feminino").when(flag == "N", "Masculino").otherwise("{ñ class}")
+        ).alias("Sexo."),
+        _padded(
+            F.when(number <= 2, "Ccf - Conta")
+            .when(number <= 4, "Ccl - Loterica")
+            .when(number <= 6, "Cmg  -  Cartao")
+            .otherwise("Out - Outro")
+        ).alias("Meio pagamento"),
+        _padded(
+            F.when(c("l_discount") == 0, "0,00").otherwise(locale_money(c("l_extendedprice")))
+        ).alias("Vl Líquido"),
+        _padded(F.date_format("l_shipdate", "dd/MM/yyyy")).alias("Dt início validade"),
+    )
+    return (
+        lines.join(orders, c("l_orderkey") == c("o_orderkey"))
+        .join(parts, c("l_partkey") == c("p_partkey"))
+        .join(suppliers, c("l_suppkey") == c("s_suppkey"))
+        .select(*[f"`{h}`" for h in LANDING_COLUMNS], "_ano_mes")
     )
 
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import inspect
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from lakeshelf.plans import benefits
 from lakeshelf.plans.sales_text import landing_text, silver_cte
+from lakeshelf.session import store
 
 STAMP = "2026-01-31T00:00:00Z"
 # Rank error 1e-5: exact on the check tables, whose groups are smaller than that.
@@ -41,3 +39,11 @@ def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     raw = landing_text(spark, sf_dir)
     return benefits.silver(benefits.bronze(raw, "sales", STAMP), STAMP)
+
+
+def silver_stored(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """The named columns, written once: for reports that pass over silver more than once.
+
+    Without it every pass would repeat the joins and the parsing.
+    """
+    return store(spark, silver_rows(spark, sf_dir).select(*columns), "silver")

@@ -13,7 +13,7 @@ from lakeshelf.functions.fixed_values import (
 )
 from lakeshelf.operators.quality import null_report
 from lakeshelf.plans import benefits
-from lakeshelf.queries.common import ACCURACY, SILVER_CTE, STAMP, plain, silver_rows
+from lakeshelf.queries.common import ACCURACY, SILVER_CTE, STAMP, plain, silver_rows, silver_stored
 from lakeshelf.registry import query
 
 
@@ -131,24 +131,36 @@ kpis AS (SELECT _ano_mes, count(*) AS total_beneficios,
   FROM silver GROUP BY _ano_mes)"""
 
 
+def _state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_stored(spark, sf_dir, benefits.STATE_COLUMNS)
+
+
+def _species_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_stored(spark, sf_dir, benefits.SPECIES_COLUMNS)
+
+
+def _kpi_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_stored(spark, sf_dir, benefits.KPI_COLUMNS)
+
+
 @query("gold_kpis", f"{_KPI_CTES} SELECT *, '{STAMP}' AS _gold_ts FROM kpis")
 def gold_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.national_kpis(silver_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.national_kpis(_kpi_rows(spark, sf_dir), STAMP, ACCURACY))
 
 
 @query("gold_state", STATE_SQL)
 def gold_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.state_table(silver_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.state_table(_state_rows(spark, sf_dir), STAMP, ACCURACY))
 
 
 @query("gold_state_total", STATE_TOTAL_SQL)
 def gold_state_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.state_total_table(silver_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.state_total_table(_state_rows(spark, sf_dir), STAMP, ACCURACY))
 
 
 @query("gold_species", SPECIES_SQL)
 def gold_species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.species_table(silver_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.species_table(_species_rows(spark, sf_dir), STAMP, ACCURACY))
 
 
 @query("gold_bank", f"{_BANK_CTES} SELECT *, '{STAMP}' AS _gold_ts FROM banks")
@@ -168,7 +180,7 @@ SELECT {REGION_SQL} AS regiao, _ano_mes, count(DISTINCT sg_uf) AS qtd_ufs,
 FROM m GROUP BY regiao, _ano_mes""",
 )
 def gold_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(silver_rows(spark, sf_dir), STAMP, ACCURACY)
+    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP, ACCURACY)
     return plain(benefits.region_table(totals))
 
 
@@ -179,7 +191,7 @@ SELECT grupo_especie, CAST(sum(qtd_beneficios) AS BIGINT) AS qtd,
   CAST(sum(CAST(vl_total AS DECIMAL(20,2))) AS DOUBLE) AS vl_total FROM m GROUP BY grupo_especie""",
 )
 def gold_group_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    species = benefits.species_table(silver_rows(spark, sf_dir), STAMP, ACCURACY)
+    species = benefits.species_table(_species_rows(spark, sf_dir), STAMP, ACCURACY)
     return plain(benefits.group_totals(species))
 
 
@@ -212,7 +224,7 @@ def srv_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM silver GROUP BY uf, sg_uf ORDER BY sum(vl_liquido) DESC, sg_uf LIMIT 5""",
 )
 def srv_top_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    benefits.state_table(silver_rows(spark, sf_dir), STAMP).createOrReplaceTempView("fat_uf")
+    benefits.state_table(_state_rows(spark, sf_dir), STAMP).createOrReplaceTempView("fat_uf")
     return plain(
         spark.sql(
             """SELECT uf, sg_uf, sum(vl_total) AS vl_total FROM fat_uf
@@ -229,7 +241,7 @@ FROM silver GROUP BY especie_codigo, especie_descricao
 ORDER BY count(*) DESC, especie_codigo LIMIT 10""",
 )
 def srv_top_species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    benefits.species_table(silver_rows(spark, sf_dir), STAMP).createOrReplaceTempView("fat_especie")
+    benefits.species_table(_species_rows(spark, sf_dir), STAMP).createOrReplaceTempView("fat_especie")
     return plain(
         spark.sql(
             """SELECT especie_codigo, especie_descricao, sum(qtd_beneficios) AS qtd_beneficios,
@@ -261,7 +273,7 @@ def srv_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM silver WHERE sg_uf = 'SP' OR sg_uf = 'RJ' GROUP BY sg_uf, _ano_mes""",
 )
 def srv_one_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    benefits.state_table(silver_rows(spark, sf_dir), STAMP).createOrReplaceTempView("fat_uf")
+    benefits.state_table(_state_rows(spark, sf_dir), STAMP).createOrReplaceTempView("fat_uf")
     return plain(
         spark.sql(
             """SELECT sg_uf, _ano_mes, sum(qtd_beneficios) AS qtd_beneficios, sum(vl_total) AS vl_total
@@ -284,7 +296,7 @@ def win_market_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("win_two_ranks", f"SELECT uf, _ano_mes, rank_qtd, rank_vl_total FROM ({STATE_TOTAL_SQL})")
 def win_two_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(silver_rows(spark, sf_dir), STAMP)
+    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP)
     return totals.select("uf", "_ano_mes", "rank_qtd", "rank_vl_total")
 
 
@@ -293,7 +305,7 @@ def win_two_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT especie_codigo, _ano_mes, grupo_especie, rank_no_grupo FROM ({SPECIES_SQL})",
 )
 def win_rank_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    species = benefits.species_table(silver_rows(spark, sf_dir), STAMP)
+    species = benefits.species_table(_species_rows(spark, sf_dir), STAMP)
     return species.select("especie_codigo", "_ano_mes", "grupo_especie", "rank_no_grupo")
 
 
@@ -302,7 +314,7 @@ def win_rank_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT especie_codigo, _ano_mes, uf_com_mais_beneficios FROM ({SPECIES_SQL})",
 )
 def win_top_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    species = benefits.species_table(silver_rows(spark, sf_dir), STAMP)
+    species = benefits.species_table(_species_rows(spark, sf_dir), STAMP)
     return species.select("especie_codigo", "_ano_mes", "uf_com_mais_beneficios")
 
 
@@ -312,7 +324,7 @@ def win_top_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM ({STATE_TOTAL_SQL}) WHERE rank_vl_total <= 5""",
 )
 def ord_rank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(silver_rows(spark, sf_dir), STAMP).where("rank_vl_total <= 5")
+    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP).where("rank_vl_total <= 5")
     return plain(
         totals.select(
             "_ano_mes", "rank_vl_total", "sg_uf", "qtd_beneficios", "vl_total", "pct_nacional_valor"
@@ -330,7 +342,7 @@ def ord_rank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT _ano_mes, sum(CAST(pct_nacional_qtd AS DECIMAL(7,2))) AS total FROM ({STATE_TOTAL_SQL}) GROUP BY _ano_mes)""",
 )
 def dq_share_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(silver_rows(spark, sf_dir), STAMP)
+    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP)
     return benefits.share_rule("state shares", totals)
 
 
@@ -344,7 +356,8 @@ SELECT 'species rows' AS rule, CAST(max(abs(coalesce(n, 0) - total)) AS DOUBLE)
 FROM kpi LEFT JOIN per USING (_ano_mes)""",
 )
 def dq_cross_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver_rows(spark, sf_dir)
+    columns = sorted({*benefits.SPECIES_COLUMNS, *benefits.KPI_COLUMNS})
+    rows = silver_stored(spark, sf_dir, columns)
     return benefits.total_rule(
         "species rows", benefits.species_table(rows, STAMP), benefits.national_kpis(rows, STAMP)
     )

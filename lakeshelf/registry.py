@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeshelf.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,10 +21,16 @@ def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")
-        QUERIES[key] = fn
+
+        @wraps(fn)
+        def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = tuned
         if oracle is not None:
             ORACLES[key] = oracle
-        return fn
+        return tuned
 
     return add
 

@@ -9,6 +9,11 @@ from pyspark.sql import SparkSession
 
 _local_folder: str | None = None
 
+# The JVM never compiles a method over 8000 bytes.  A wide cleaning projection
+# generates one that is larger and would run interpreted; with this limit Spark
+# splits it over small methods instead.
+RUNTIME_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 
 def build_session(app: str = "lakeshelf", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, AQE and ANSI on.
@@ -27,7 +32,16 @@ def build_session(app: str = "lakeshelf", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    tune(session)
+    return session
+
+
+def tune(spark: SparkSession) -> None:
+    """Runtime settings the wide projections need; a value already chosen is kept."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.sparkContext.getConf().get(key) is None:
+            spark.conf.set(key, value)
 
 
 def shared_folder(spark: SparkSession) -> str:
