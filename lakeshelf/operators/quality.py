@@ -92,3 +92,9 @@ def null_report(df: DataFrame, columns: Sequence[str] | None = None, top: int =
     """Columns with most NULLs; metadata columns (leading underscore) are left out."""
     names = [c for c in (columns or df.columns) if not c.startswith("_")]
     return null_counts(df, names).orderBy(F.col("nulls").desc(), "column_name").limit(top)
+
+
+def codes_with_many_labels(df: DataFrame, code: str, label: str) -> DataFrame:
+    """Codes that carry more than one label, with how many."""
+    labels = df.groupBy(code).agg(F.count_distinct(label).alias("labels"))
+    return labels.where(F.col("labels") > 1)

@@ -25,6 +25,12 @@ class BatchRejected(ValueError):
     """The batch must not be written."""
 
 
+def require_few_values(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> None:
+    """Refuse partition columns that would make more than ``limit`` directories."""
+    if df.select(*columns).distinct().limit(limit + 1).count() > limit:
+        raise BatchRejected(f"{list(columns)} has more than {limit} values")
+
+
 def replace_partitions(
     df: DataFrame,
     path: str,

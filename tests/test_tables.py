@@ -7,10 +7,12 @@ from lakeshelf.operators import versions
 from lakeshelf.operators.joins import broadcast_checked, join_null_safe, measured_bytes
 from lakeshelf.operators.layout import bucket, compact, file_stats, held, partition_stats, truncate_number
 from lakeshelf.operators.mutate import DuplicateKeys, delete, merge, merge_metrics, update
-from lakeshelf.operators.quality import QualityError, at_least, at_most, enforce, equal_to, evaluate
+from lakeshelf.operators.quality import (
+    QualityError, at_least, at_most, codes_with_many_labels, enforce, equal_to, evaluate,
+)
 from lakeshelf.session import new_path, shared_folder, store
 from lakeshelf.sources.readers import read_delimited, read_jdbc, sniff_separator, unique_names
-from lakeshelf.sources.sinks import BatchRejected, append_evolving, replace_partitions, write_files
+from lakeshelf.sources.sinks import BatchRejected, append_evolving, replace_partitions, require_few_values, write_files
 from lakeshelf.streaming import files as streams
 
 
@@ -237,6 +239,18 @@ def test_rules(spark):
     enforce(seen.where("rule = 'rows'"))
 
 
+def test_codes_with_many_labels(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (2, "c")], "code int, label string")
+    assert rows(codes_with_many_labels(df, "code", "label")) == [(2, 2)]
+
+
+def test_partition_columns_with_too_many_values(spark):
+    df = spark.range(50)
+    require_few_values(df, ["id"], 50)
+    with pytest.raises(BatchRejected):
+        require_few_values(df, ["id"], 49)
+
+
 # --- streams -----------------------------------------------------------------
 
 
