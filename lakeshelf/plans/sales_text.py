@@ -19,7 +19,7 @@ CODES = list(STATE_CODES.values())
 
 def locale_money(value: Column) -> Column:
     """``1621.0`` to ``1.621,00``, for values from 0 up to 10 digits before the comma."""
-    cents = F.round(value.cast("decimal(12,2)") * 100).cast("long")
+    cents = F.floor(value * 100 + 0.5)
     units = F.floor(cents / 100)
 
     def grouped(groups: int) -> Column:
