@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +22,9 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], mode: st
     balanced(df, *columns).write.mode(mode).partitionBy(*columns).parquet(path)
 
 
+FOREIGN = "row outside the batch:"
+
+
 class BatchRejected(ValueError):
     """The batch must not be written."""
 
@@ -41,35 +45,47 @@ def replace_partitions(
 ) -> None:
     """Overwrite the partitions present in the batch and leave all others.
 
-    An empty batch is refused, since dynamic overwrite would keep the old
-    partition without a word.  With ``only``, a batch holding any other value
-    (or NULL) is refused too.  Both checks are one aggregate row, before the
-    write.
+    With ``only``, a row of any other value (or NULL) fails the write job, whose
+    output is then never committed.  An empty batch changes nothing, since only
+    partitions with rows are replaced, and is reported as rejected.  Both are
+    seen by the write itself: the batch is computed once.
     """
-    if only is None:
-        if df.isEmpty():
-            raise BatchRejected("empty batch")
-    else:
+    batch = df
+    if only is not None:
         inside = F.coalesce(F.col(column).isin(list(only)), F.lit(False))
-        seen = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(~inside).alias("foreign"),
-            *[F.count_if(F.col(column) == v).alias(f"v{i}") for i, v in enumerate(only)],
-        ).first()
-        if seen["foreign"]:
-            raise BatchRejected(f"{seen['foreign']} rows outside {column} in {list(only)}")
-        empty = [v for i, v in enumerate(only) if seen[f"v{i}"] == 0]
-        if empty:
-            raise BatchRejected(f"no rows for {column} in {empty}")
-    (
-        balanced(df, column)
-        .write.mode("overwrite")
-        .format(file_format)
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
-        .partitionBy(column)
-        .save(path)
-    )
+        text = F.concat(F.lit(f"{FOREIGN} {column}="), F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
+        kept = F.when(inside, F.col(column)).otherwise(F.raise_error(text).cast(df.schema[column].dataType))
+        batch = df.withColumn(column, kept)
+    seen = Observation()
+    counts = [
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(column) == v).alias(f"v{i}") for i, v in enumerate(only or [])],
+    ]
+    batch = batch.observe(seen, *counts)
+    try:
+        (
+            balanced(batch, column)
+            .write.mode("overwrite")
+            .format(file_format)
+            .option("partitionOverwriteMode", "dynamic")
+            .options(**options)
+            .partitionBy(column)
+            .save(path)
+        )
+    except Exception as error:
+        if FOREIGN in str(error):
+            raise BatchRejected(f"rows outside {column} in {list(only or [])}") from error
+        raise
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        # A plan Spark finds empty loses its observation; counting it costs nothing.
+        found = df.agg(*counts).first().asDict()
+    if not found["rows"]:
+        raise BatchRejected("empty batch")
+    missing = [v for i, v in enumerate(only or []) if not found[f"v{i}"]]
+    if missing:
+        raise BatchRejected(f"no rows for {column} in {missing}; their partitions are as before")
 
 
 def write_files(df: DataFrame, path: str, files: int, mode: str = "overwrite", heavy: bool = False) -> None:

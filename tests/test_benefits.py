@@ -114,6 +114,17 @@ def test_broken_rule_stops_the_run_before_gold(spark, monkeypatch):
         spark.read.parquet(f"{base}/fat_uf")
 
 
+def test_landing_of_one_month(spark, tmp_path):
+    names = [h if not h.startswith("Espécie") else "Espécie" for h in HEADER]
+    text = "\n".join([";".join(names), ";".join(line()), ";".join(line(uf="Bahia"))]) + "\n"
+    source, target = tmp_path / "export.csv", new_path(spark, "landing")
+    source.write_bytes(text.encode("latin-1"))
+    counts = benefits.land(spark, str(source), target, "202601")
+    assert {r["UF"]: r["count"] for r in counts.collect()} == {"São Paulo  ": 1, "Bahia  ": 1}
+    paths = benefits.run(spark, target, new_path(spark, "lake"), AS_OF, "202601")
+    assert spark.read.parquet(paths["silver"]).where("sg_uf = 'BA' AND banco_codigo = 104").count() == 1
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

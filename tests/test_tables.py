@@ -82,6 +82,20 @@ def test_bad_batches_are_refused_before_the_write(spark, months, batch):
     assert spark.read.schema(df.schema).parquet(path).count() == 3
 
 
+def test_batch_is_computed_once(spark, months):
+    path, _ = months
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    batch = spark.createDataFrame([(7, "202602")] * 10, "v int, m string").mapInPandas(seen, "v int, m string")
+    replace_partitions(batch, path, "m", only=["202602"])
+    assert runs.value == 10
+
+
 def test_empty_batch_without_month_list(spark, months):
     with pytest.raises(BatchRejected):
         replace_partitions(spark.createDataFrame([], "v int, m string"), months[0], "m")
