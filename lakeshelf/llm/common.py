@@ -52,6 +52,14 @@ def add_columns(
     return source.mapInArrow(run, schema)
 
 
+def fresh(names: Sequence[str], wanted: str) -> str:
+    """``wanted``, with underscores added until no column has that name."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def pa_type(field: StructField) -> pa.DataType:
     simple = {
         "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),

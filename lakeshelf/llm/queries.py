@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-from lakeshelf.llm import quality, simhash
+from lakeshelf.llm import decontaminate, mixing, quality, sharding, simhash
 from lakeshelf.llm.common import documents
 from lakeshelf.llm.registry import query
 
 
+@query("op2_systematic_mix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, documents(spark, sf_dir))
+
+
 @query("op3_compression_bands")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), keep=["doc_id"])
@@ -18,3 +23,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_simhash_trie")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, documents(spark, sf_dir))
+
+
+@query("op7_two_pass_shards")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shards(spark, documents(spark, sf_dir), n_shards=40)
+    return rows.select(
+        "doc_id", sharding.row_bytes("text").alias("size"),
+        F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op8_edit_matches")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.matches(spark, documents(spark, sf_dir), items)

@@ -243,8 +243,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
     key = "\x00row"
 
     def rows_of(chosen: DataFrame) -> DataFrame:
-        same = (F.col(f"`{key}`") == F.col("w_row")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("w_id"))
-        return docs.withColumn(key, row).join(chosen.select("w_id", "w_row"), same, "left_semi")
+        chosen = chosen.select(F.col("w_id").alias("\x00id"), F.col("w_row").alias("\x00w"))
+        same = (F.col(f"`{key}`") == F.col("`\x00w`")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("`\x00id`"))
+        return docs.withColumn(key, row).join(chosen, same, "left_semi")
 
     kept = rows_of(winners.where("times = 1")).drop(key)
     again = winners.where("times > 1")
