@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshelf.llm import quality, simhash
+from lakeshelf.llm import decontaminate, mixing, quality, sharding, simhash
 from lakeshelf.llm.common import documents, written
 
 
@@ -16,7 +16,25 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(spark, docs)
 
 
-STAGES = [("quality rules", good_quality), ("near-duplicates", one_of_each)]
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.keep_clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(spark, docs)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.shards(spark, docs)
+
+
+STAGES = [
+    ("quality rules", good_quality),
+    ("near-duplicates", one_of_each),
+    ("benchmark decontamination", without_benchmark),
+    ("source weights", mixture),
+    ("shards", sharded),
+]
 
 # Compression, hashes and shuffles of the stages have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import decontaminate, mixing, quality, sharding, simhash
+from lakeshelf.llm import decontaminate, mixing, quality, sharding, simhash, token_files, toxicity
 from lakeshelf.llm.common import documents
 from lakeshelf.llm.registry import query
 
@@ -39,3 +40,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.matches(spark, documents(spark, sf_dir), items)
+
+
+@query("op9_orc_tokens")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.tokenized(spark, documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_kneser_ney_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(spark, documents(spark, sf_dir), labels)
