@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm import decontaminate, mixing, quality, sharding, simhash, token_files, toxicity
+from lakeshelf.llm import (
+    decontaminate, licenses, mixing, passages, quality, secrets, sharding, simhash, token_files, toxicity,
+)
 from lakeshelf.llm.common import documents
 from lakeshelf.llm.registry import query
 
@@ -51,3 +53,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.score(spark, documents(spark, sf_dir), labels)
+
+
+@query("op1_license_windows")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(spark, documents(spark, sf_dir))
+
+
+@query("op5_entropy_secrets")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(documents(spark, sf_dir))
+    counts = [
+        secrets.count_kind(F.col("base"), kind).alias(f"n_{kind}")
+        for kind in secrets.KINDS[: secrets.BASE_KINDS]
+    ]
+    every = F.array_sort(F.concat("base", "found"))
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.spans_text(every).alias("spans"), F.size("found").cast("long").alias("n_entropy"),
+    )
+
+
+@query("op6_seed_chains")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(spark, documents(spark, sf_dir))
