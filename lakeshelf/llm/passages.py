@@ -74,10 +74,8 @@ def seeds(codes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.ndarray,
         parts = [windows[i : i + 65_536].argmin(axis=1) + np.arange(i, min(i + 65_536, len(windows))) for i in range(0, len(windows), 65_536)]
         at = np.unique(np.concatenate(parts))
     found = run[at]
-    # In a stretch of one repeated run every place is a least one; every ``span``-th stays.
-    again = np.concatenate(([False], (found[1:] == found[:-1]) & (np.diff(at) < span)))
-    stretch = np.arange(at.size) - np.maximum.accumulate(np.where(again, 0, np.arange(at.size)))
-    keep = stretch % span == 0
+    # In a stretch of one repeated run every place is a least one; its first stays.
+    keep = np.concatenate(([True], (found[1:] != found[:-1]) | (np.diff(at) >= span)))
     return at[keep], found[keep].view(np.int64)
 
 
@@ -294,9 +292,7 @@ def joined_runs(runs: list[dict], touch: int = 2) -> Iterator[tuple]:
                     yield start, end, True, None, start, end, 0
             held = []
         if run is not None:
-            # Of many runs that reach no further, none is needed again but the widest later one.
             held.append(run)
-    return
 
 
 def passages_of_texts(runs: DataFrame) -> DataFrame:
