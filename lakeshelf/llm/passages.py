@@ -74,9 +74,15 @@ def seeds(codes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.ndarray,
         parts = [windows[i : i + 65_536].argmin(axis=1) + np.arange(i, min(i + 65_536, len(windows))) for i in range(0, len(windows), 65_536)]
         at = np.unique(np.concatenate(parts))
     found = run[at]
-    # In a stretch of one repeated run every place is a least one; its first stays.
-    keep = np.concatenate(([True], (found[1:] != found[:-1]) | (np.diff(at) >= span)))
-    return at[keep], found[keep].view(np.int64)
+    # In a stretch of one repeated run every place is a least one; every ``span``-th stays,
+    # as itself and with its number in the stretch, so that stretches also link in order.
+    again = np.concatenate(([False], (found[1:] == found[:-1]) & (np.diff(at) < span)))
+    stretch = np.arange(at.size) - np.maximum.accumulate(np.where(again, 0, np.arange(at.size)))
+    keep = stretch % span == 0
+    at, found, stretch = at[keep], found[keep], stretch[keep]
+    numbered = stretch > 0
+    counted = found[numbered] + stretch[numbered].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return np.concatenate((at, at[numbered])), np.concatenate((found, counted)).view(np.int64)
 
 
 SEED = StructType([StructField("th", LongType()), StructField("seed", LongType()), StructField("pos", IntegerType())])
