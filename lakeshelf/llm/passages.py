@@ -13,6 +13,9 @@
 5. Passages.  Runs of a text that touch are joined; from ``PASSAGE`` words on they
    count.  One row for each document and passage.
 
+Where two texts agree a little beyond what either shares with the text the seeds lead
+to, the passage ends where that sharing ends.
+
 Equal texts are one text in steps 1 to 4 (they share a 64-bit hash, taken as
 identity); each of their documents gets the text's passages, and all but the one with
 the least doc_id a row for the whole text.
