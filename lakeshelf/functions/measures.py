@@ -44,35 +44,3 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         F.coalesce(F.round(F.try_divide(F.lit(100.0) * F.col("e.nulls"), F.col("_rows")), 2), F.lit(0.0))
         .alias("pct"),
     )
-
-
-def profile(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """count, mean, stddev, min, quartiles and max per numeric column, from one scan."""
-    parts = []
-    for i, name in enumerate(columns):
-        value = F.col(f"`{name}`").cast("double")
-        parts += [
-            F.count(value).alias(f"c{i}"),
-            F.avg(value).alias(f"m{i}"),
-            F.stddev_samp(value).alias(f"s{i}"),
-            F.min(value).alias(f"lo{i}"),
-            F.max(value).alias(f"hi{i}"),
-            F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
-        ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"c{i}").alias("n"),
-                F.col(f"m{i}").alias("mean"),
-                F.col(f"s{i}").alias("stddev"),
-                F.col(f"lo{i}").alias("min"),
-                F.get(F.col(f"q{i}"), F.lit(0)).alias("p25"),
-                F.get(F.col(f"q{i}"), F.lit(1)).alias("p50"),
-                F.get(F.col(f"q{i}"), F.lit(2)).alias("p75"),
-                F.col(f"hi{i}").alias("max"),
-            )
-            for i, name in enumerate(columns)
-        ]
-    )
-    return df.agg(*parts).select(F.inline(rows))

@@ -15,7 +15,8 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep:
     key with very many copies sends one row per task.
     """
     rest = [c for c in df.columns if c not in order and c not in keys]
-    row = F.struct(*[F.col(c) for c in df.columns])
+    # One struct in rank order is both the rank and the row, so a column is shuffled once.
     rank = F.struct(*[F.col(c) for c in [*order, *rest]])
-    chosen = F.min_by(row, rank) if keep == "first" else F.max_by(row, rank)
-    return df.groupBy(*keys).agg(chosen.alias("_row")).select("_row.*")
+    chosen = F.min(rank) if keep == "first" else F.max(rank)
+    found = df.groupBy(*keys).agg(chosen.alias("_row"))
+    return found.select(*[F.col(c) if c in keys and c not in order else F.col(f"_row.{c}") for c in df.columns])

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeshelf.sources.sinks import balanced
 
@@ -52,16 +53,6 @@ def since(df: DataFrame, moment: str, partition: str, unit: str, start: str) ->
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, spread over the cores.
-
-    Meant for heavy row work over a small table.  A scan that has its splits is
-    returned as it is, so a large table is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def partition_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows and files per partition value of a table read from files."""
     name = F.col("_metadata.file_path")
@@ -93,12 +84,17 @@ def compact(
     """Rewrite small files at ``source`` into files of about ``file_bytes`` at ``target``.
 
     Never in place: a reader of ``source`` is not disturbed and a failed run
-    loses nothing.  Returns the file counts before and after.
+    loses nothing.  Partition values stay the text they are in the folder names
+    (``007`` does not become 7).  Returns the file counts before and after.
     """
     before, size = file_stats(spark, source)
-    rows = spark.read.parquet(source)
+    found = spark.read.parquet(source).schema
+    as_text = StructType([StructField(f.name, StringType()) if f.name in partition_columns else f for f in found])
+    rows = spark.read.schema(as_text).parquet(source)
     if partition_columns:
-        balanced(rows, *partition_columns).write.partitionBy(*partition_columns).parquet(target)
+        each = max(1, rows.count() * file_bytes // max(1, size))  # the count comes from the file footers
+        writer = balanced(rows, *partition_columns).write.option("maxRecordsPerFile", each)
+        writer.partitionBy(*partition_columns).parquet(target)
     else:
         rows.repartition(max(1, -(-size // file_bytes))).write.parquet(target)
     after, _ = file_stats(spark, target)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from lakeshelf.session import remove_folder, store
+from lakeshelf.sources.sinks import replace_partitions
 
 
 def update(df: DataFrame, where: Column, values: Mapping[str, Column]) -> DataFrame:
@@ -27,21 +31,31 @@ class DuplicateKeys(ValueError):
     """The merge source holds a key more than once."""
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a key without NULL parts occurs twice; one example is shown."""
-    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    twice = df.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+# What Spark names the folder of a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _whole(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], nulls_match: bool = False) -> None:
+    """Raise when a key occurs twice; one example is shown.  Keys with NULL parts count only with ``nulls_match``."""
+    rows = df if nulls_match else df.where(_whole(keys))
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
     if twice is not None:
-        raise DuplicateKeys(f"merge source holds {twice.asDict()}")
+        raise DuplicateKeys(f"more than one row of {twice.asDict()}")
 
 
-def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], checked: bool = False) -> DataFrame:
     """Upsert: matched rows take all source columns, unmatched source rows are added.
 
     NULL keys match nothing.  The target goes through one anti join, which AQE
-    splits for a hot key and broadcasts for a source small enough.
+    splits for a hot key and broadcasts for a source small enough.  ``checked``
+    says that the source is known to hold a key once, as grouped rows do.
     """
-    require_unique(source, keys)
+    if not checked:
+        require_unique(source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(source.select(*target.columns))
 
@@ -49,13 +63,60 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFram
 def merge_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: target rows updated, inserted and deleted, and source rows, as ``merge`` would do it."""
     require_unique(source, keys)
-    left = target.select(*keys, F.lit(1).alias("_t"))
-    right = source.select(*keys, F.lit(1).alias("_s"))
-    both = left.join(right, list(keys), "full")
-    in_target, in_source = F.col("_t").isNotNull(), F.col("_s").isNotNull()
-    return both.agg(
-        F.count_if(in_target & in_source).alias("rows_updated"),
-        F.count_if(~in_target & in_source).alias("rows_inserted"),
+    sides = target.select(*keys, F.lit(1).alias("_t"), F.lit(0).alias("_s")).unionByName(
+        source.select(*keys, F.lit(0).alias("_t"), F.lit(1).alias("_s"))
+    )
+    # Counted per key with a map-side combine: neither a hot key nor all NULL keys meet as rows.
+    per_key = sides.groupBy(*keys).agg(F.sum("_t").alias("_t"), F.sum("_s").alias("_s"))
+    matched = _whole(keys) & (F.col("_t") > 0) & (F.col("_s") > 0)
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return per_key.agg(
+        total(F.when(matched, F.col("_t")).otherwise(0)).alias("rows_updated"),
+        total(F.when(matched, 0).otherwise(F.col("_s"))).alias("rows_inserted"),
         F.lit(0).cast("long").alias("rows_deleted"),
-        F.count_if(in_source).alias("source_rows"),
+        total(F.col("_s")).alias("source_rows"),
     )
+
+
+def merge_into(
+    spark: SparkSession, path: str, schema: StructType, partition: str, source: DataFrame, keys: Sequence[str]
+) -> None:
+    """MERGE applied to a partitioned table: only partitions that hold a matched or a new row are written again.
+
+    A key must not move to another partition.
+    """
+    target = spark.read.schema(schema).parquet(path)
+    touched = source.select(partition).distinct()
+    old = target.join(touched, partition, "left_semi")
+    _rewrite(merge(old, source, keys), path, partition)
+
+
+def update_table(
+    spark: SparkSession, path: str, schema: StructType, partition: str, where: Column, values: Mapping[str, Column]
+) -> None:
+    """UPDATE applied to a partitioned table: only partitions with a changed row are written again."""
+    target = spark.read.schema(schema).parquet(path)
+    touched = target.where(F.coalesce(where, F.lit(False))).select(partition).distinct()
+    _rewrite(update(target.join(touched, partition, "left_semi"), where, values), path, partition)
+
+
+def delete_from(spark: SparkSession, path: str, schema: StructType, partition: str, where: Column) -> None:
+    """DELETE applied to a partitioned table: partitions with a deleted row are written again, emptied ones removed."""
+    target = spark.read.schema(schema).parquet(path)
+    hit = F.coalesce(where, F.lit(False))
+    sizes = target.groupBy(partition).agg(F.count_if(hit).alias("gone"), F.count(F.lit(1)).alias("n"))
+    touched = store(spark, sizes.where("gone > 0"), "touched")
+    _rewrite(delete(target.join(touched.where("gone < n").select(partition), partition, "left_semi"), where), path, partition)
+    for row in touched.where("gone = n").select(F.coalesce(F.col(partition).cast("string"), F.lit(NULL_FOLDER)).alias("p")).toLocalIterator():
+        remove_folder(spark, f"{path}/{partition}={row['p']}")  # one folder name at a time
+
+
+def _rewrite(rows: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions of ``rows``; they are read from the same files, so they are stored before."""
+    spark = rows.sparkSession
+    kept = store(spark, rows, "rewritten")
+    if not kept.isEmpty():
+        replace_partitions(kept, path, partition)

@@ -22,6 +22,7 @@ from lakeshelf.functions.fixed_values import (
     UNKNOWN_REGION,
 )
 from lakeshelf.functions.measures import mean_of, pct_of_rows, share
+from lakeshelf.operators.aggregates import discrete_quantiles, frequency
 from lakeshelf.operators.joins import join_null_safe
 from lakeshelf.operators.layout import held
 from lakeshelf.operators.quality import enforce
@@ -29,7 +30,6 @@ from lakeshelf.sources.readers import read_delimited
 from lakeshelf.sources.sinks import replace_partitions
 
 MONTH = "_ano_mes"
-ACCURACY = 10_000
 
 # What each report reads of silver.
 STATE_COLUMNS = [
@@ -44,6 +44,9 @@ KPI_COLUMNS = [
     MONTH, "uf", "especie_codigo", "vl_liquido", "sexo", "ramo_atividade", "fl_mesmo_municipio",
     "fl_vl_zero", "mun_resid_codigo", "banco_codigo",
 ]
+BANK_COLUMNS = [
+    MONTH, "banco_codigo", "banco_nome", "vl_liquido", "uf", "mun_pagto_codigo", "meio_pag_codigo",
+]
 
 
 # --- landing ---------------------------------------------------------------
@@ -52,19 +55,25 @@ KPI_COLUMNS = [
 def land(
     spark: SparkSession, csv_path: str, landing_path: str, month: str | None = None
 ) -> DataFrame:
-    """Raw delimited text to Parquet, everything a string; returns rows per state.
+    """Raw delimited text to Parquet, everything a string; returns rows per state, most rows first.
 
     With ``month`` the file is one month's; without it the months are the
-    partition directories of ``csv_path``.
+    partition directories of ``csv_path``.  Only the months just landed are
+    counted; ``total_of`` gives their total from these counts.
     """
     raw = read_delimited(spark, csv_path)
     if month is None:
         raw = raw.withColumn(MONTH, F.col(MONTH).cast("string"))
+        replace_partitions(raw, landing_path, MONTH, already_split=True)
     else:
         raw = raw.withColumn(MONTH, F.lit(month))
-    replace_partitions(raw, landing_path, MONTH)
+        replace_partitions(raw, landing_path, MONTH, [month])
     written = spark.read.schema(raw.schema).parquet(landing_path)
-    return written.groupBy("UF").agg(F.count(F.lit(1)).alias("count"))
+    if month is None:
+        landed = written.join(raw.select(MONTH).distinct(), MONTH, "left_semi")
+    else:
+        landed = written.where(F.col(MONTH) == month)
+    return frequency(landed, "UF")
 
 
 # --- bronze ----------------------------------------------------------------
@@ -142,17 +151,15 @@ def species_group() -> Column:
     return clean.code_group(F.col("especie_codigo"), SPECIES_GROUPS, OTHER_SPECIES)
 
 
-def _exact_and_sketch(
-    df: DataFrame, keys: Sequence[str], exact: Sequence[Column], sketch: Sequence[Column]
+def _with_quantiles(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[Column], quantiles: dict[str, float]
 ) -> DataFrame:
-    """Exact measures and percentile sketches as two aggregates, joined on the keys.
+    """Measures of the rows, and exact quantiles of the value from its counts.
 
-    Put together, the rows expanded for the distinct counts would also carry a
-    sketch each, and the hash aggregate would fall back to sorting.
+    Two aggregates joined on the keys; a key without any value has NULL quantiles.
     """
-    return join_null_safe(
-        df.groupBy(*keys).agg(*exact), df.groupBy(*keys).agg(*sketch), keys
-    )
+    found = discrete_quantiles(df, keys, "vl_liquido", quantiles)
+    return join_null_safe(df.groupBy(*keys).agg(*measures), found, keys, "left")
 
 
 def _rows() -> Column:
@@ -163,9 +170,9 @@ def _is(name: str, value: str) -> Column:
     return F.col(name) == value
 
 
-def _state_measures(rows: DataFrame, keys: Sequence[str], accuracy: int) -> DataFrame:
+def _state_measures(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     value = F.col("vl_liquido")
-    return _exact_and_sketch(
+    return _with_quantiles(
         rows,
         keys,
         [
@@ -181,7 +188,7 @@ def _state_measures(rows: DataFrame, keys: Sequence[str], accuracy: int) -> Data
             F.count_distinct("mun_resid_codigo").alias("qtd_municipios_atendidos"),
             F.count_distinct("banco_codigo").alias("qtd_bancos_utilizados"),
         ],
-        [F.percentile_approx(value, 0.5, accuracy).alias("vl_mediano")],
+        {"vl_mediano": 0.5},
     )
 
 
@@ -198,14 +205,14 @@ def _ranks_and_shares(report: DataFrame) -> DataFrame:
     )
 
 
-def state_table(silver_rows: DataFrame, stamped_at: str, accuracy: int = ACCURACY) -> DataFrame:
+def state_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     """State x species group x month: measures, ranks and shares of the month."""
     rows = silver_rows.withColumn("grupo_especie", species_group())
-    report = _state_measures(rows, ["uf", "sg_uf", MONTH, "grupo_especie"], accuracy)
+    report = _state_measures(rows, ["uf", "sg_uf", MONTH, "grupo_especie"])
     return _ranks_and_shares(report).withColumn("_gold_ts", F.lit(stamped_at))
 
 
-def state_total_table(silver_rows: DataFrame, stamped_at: str, accuracy: int = ACCURACY) -> DataFrame:
+def state_total_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     """State x month, with the species group most rows fall in (ties: first by name)."""
     keys = ["uf", "sg_uf", MONTH]
     rows = silver_rows.withColumn("_group", species_group())
@@ -213,11 +220,11 @@ def state_total_table(silver_rows: DataFrame, stamped_at: str, accuracy: int = A
     top = per_group.groupBy(*keys).agg(
         F.min_by("_group", F.struct(-F.col("_n"), F.col("_group"))).alias("grupo_especie_top")
     )
-    report = join_null_safe(_state_measures(rows, keys, accuracy), top, keys)
+    report = join_null_safe(_state_measures(rows, keys), top, keys)
     return _ranks_and_shares(report).withColumn("_gold_ts", F.lit(stamped_at))
 
 
-def species_table(silver_rows: DataFrame, stamped_at: str, accuracy: int = ACCURACY) -> DataFrame:
+def species_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     """Species x month: measures, the state with most rows, rank inside the group.
 
     One pass brings the rows down to species x state x month; distinct states
@@ -249,7 +256,7 @@ def species_table(silver_rows: DataFrame, stamped_at: str, accuracy: int = ACCUR
         F.count_distinct("uf").alias("qtd_ufs_atendidas"),
         F.sum("n_zero").alias("qtd_vl_zero"),
     )
-    median = rows.groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias("vl_mediano"))
+    median = discrete_quantiles(rows, keys, "vl_liquido", {"vl_mediano": 0.5})
     # The dominant state belongs to the code, whatever labels the code carries.
     code = ["especie_codigo", MONTH]
     top = (
@@ -258,7 +265,7 @@ def species_table(silver_rows: DataFrame, stamped_at: str, accuracy: int = ACCUR
         .groupBy(*code)
         .agg(F.min_by("sg_uf", F.struct(-F.col("n"), F.col("sg_uf"))).alias("uf_com_mais_beneficios"))
     )
-    report = join_null_safe(join_null_safe(exact, median, keys), top, code, "left")
+    report = join_null_safe(join_null_safe(exact, median, keys, "left"), top, code, "left")
     in_group = Window.partitionBy(MONTH, "grupo_especie").orderBy(F.col("qtd_beneficios").desc())
     return report.withColumns(
         {"rank_no_grupo": F.dense_rank().over(in_group), "_gold_ts": F.lit(stamped_at)}
@@ -289,10 +296,10 @@ def bank_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     )
 
 
-def national_kpis(silver_rows: DataFrame, stamped_at: str, accuracy: int = ACCURACY) -> DataFrame:
+def national_kpis(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     """One row per month."""
     value = F.col("vl_liquido")
-    return _exact_and_sketch(
+    return _with_quantiles(
         silver_rows,
         [MONTH],
         [
@@ -310,10 +317,7 @@ def national_kpis(silver_rows: DataFrame, stamped_at: str, accuracy: int = ACCUR
             F.count_if(F.col("fl_vl_zero")).alias("qtd_vl_zero"),
             F.count_if(F.col("sexo").isNull()).alias("qtd_sexo_nulo"),
         ],
-        [
-            F.percentile_approx(value, 0.5, accuracy).alias("vl_mediano_nacional"),
-            F.percentile_approx(value, 0.9, accuracy).alias("vl_p90_nacional"),
-        ],
+        {"vl_mediano_nacional": 0.5, "vl_p90_nacional": 0.9},
     ).withColumn("_gold_ts", F.lit(stamped_at))
 
 
@@ -375,13 +379,14 @@ def run(
     base: str,
     as_of: str,
     month: str | None = None,
-    accuracy: int = ACCURACY,
     storage: StorageLevel = StorageLevel.DISK_ONLY,
 ) -> dict[str, str]:
     """Landing to gold for one month, or for all months in one go; returns the table paths.
 
     Each layer replaces its months, so a re-run leaves the same tables.  All
-    gold rules are evaluated before the first gold table is written.
+    gold rules are evaluated before the first gold table is written.  Silver is
+    read once: the reports share the held columns.  The layers are split by month as
+    their sources are, so their rows are not shuffled for the write.
     """
     paths = {
         n: f"{base}/{n}"
@@ -393,22 +398,31 @@ def run(
     landing = spark.read.schema(text).parquet(landing_path)
     if month is not None:
         landing = landing.where(F.col(MONTH) == month)
-    replace_partitions(bronze(landing, landing_path, as_of, month), paths["bronze"], MONTH)
+    rows = bronze(landing, landing_path, as_of, month)
+    replace_partitions(rows, paths["bronze"], MONTH, only, already_split=True)
 
     def month_of(name: str, like: DataFrame) -> DataFrame:
         rows = spark.read.schema(like.schema).parquet(paths[name])
         return rows if month is None else rows.where(F.col(MONTH) == month)
 
     bronze_rows = month_of("bronze", bronze(landing, landing_path, as_of, month))
-    replace_partitions(silver(bronze_rows, as_of), paths["silver"], MONTH)
+    replace_partitions(silver(bronze_rows, as_of), paths["silver"], MONTH, only, already_split=True)
     silver_rows = month_of("silver", silver(bronze_rows, as_of))
 
+    used = [*dict.fromkeys([*STATE_COLUMNS, *SPECIES_COLUMNS, *KPI_COLUMNS, *BANK_COLUMNS])]
+    with held(silver_rows.select(*used), storage=storage) as (rows,):
+        _gold(rows, paths, only, as_of, storage)
+    return paths
+
+
+def _gold(rows: DataFrame, paths: dict[str, str], only: list[str] | None, as_of: str, storage: StorageLevel) -> None:
+    """All reports from one held silver, their rules, and then their writes."""
     reports = {
-        "fat_uf": state_table(silver_rows, as_of, accuracy),
-        "fat_uf_total": state_total_table(silver_rows, as_of, accuracy),
-        "fat_especie": species_table(silver_rows, as_of, accuracy),
-        "fat_banco": bank_table(silver_rows, as_of),
-        "kpis_nacionais": national_kpis(silver_rows, as_of, accuracy),
+        "fat_uf": state_table(rows, as_of),
+        "fat_uf_total": state_total_table(rows, as_of),
+        "fat_especie": species_table(rows, as_of),
+        "fat_banco": bank_table(rows, as_of),
+        "kpis_nacionais": national_kpis(rows, as_of),
     }
     with held(*reports.values(), storage=storage) as kept:
         kept_reports = dict(zip(reports, kept))
@@ -428,5 +442,3 @@ def run(
             ]
             for write in writes:
                 write.result()
-    return paths
-

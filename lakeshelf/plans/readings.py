@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeshelf.functions.measures import mean_of
 from lakeshelf.operators.layout import bucket
 from lakeshelf.sources.sinks import write_partitioned
 
@@ -27,9 +28,11 @@ def write_layouts(readings: DataFrame, base: str, buckets: int = BUCKETS) -> dic
 
 def point_lookup(spark: SparkSession, path: str, reading_id: int, buckets: int | None = None) -> DataFrame:
     """Rows of one id; on the bucketed layout only its directory is read."""
-    rows = spark.read.parquet(path).where(F.col("id") == reading_id)
+    rows = spark.read.parquet(path)
+    wanted = F.lit(reading_id).cast(rows.schema["id"].dataType)  # the hash depends on the type
+    rows = rows.where(F.col("id") == wanted)
     if buckets is not None:
-        rows = rows.where(F.col("bucket") == bucket(F.lit(reading_id), buckets))
+        rows = rows.where(F.col("bucket") == bucket(wanted, buckets))
     return rows.select("id", "value", "time")
 
 
@@ -37,4 +40,4 @@ def mean_between(df: DataFrame, start: str, stop: str) -> DataFrame:
     """Mean value between two moments, compared as timestamps."""
     time = F.col("time")
     inside = df.where((time >= F.to_timestamp(F.lit(start))) & (time <= F.to_timestamp(F.lit(stop))))
-    return inside.agg(F.count(F.lit(1)).alias("readings"), F.avg("value").alias("mean_value"))
+    return inside.agg(F.count(F.lit(1)).alias("readings"), mean_of(F.col("value")).alias("mean_value"))

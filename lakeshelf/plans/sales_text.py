@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.functions.fixed_values import LANDING_COLUMNS, STATE_CODES
-from lakeshelf.operators.layout import spread
 from lakeshelf.registry import table
 
 NAMES = list(STATE_CODES)
@@ -115,7 +114,7 @@ def landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         _padded(F.concat(F.lit("Especie "), size)).alias("Espécie13"),
     )
     flag, number = c("l_returnflag"), c("l_linenumber")
-    lines = spread(table(spark, sf_dir, "lineitem")).select(
+    lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",

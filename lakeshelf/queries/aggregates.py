@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.functions.measures import mean_of, null_counts, pct_of_rows, profile
-from lakeshelf.operators.aggregates import frequency, lists_in_parts, salted_mean, total_of
+from lakeshelf.functions.measures import mean_of, null_counts, pct_of_rows
+from lakeshelf.operators.aggregates import (
+    discrete_quantiles, frequency, lists_in_parts, profile, salted_mean, total_of,
+)
 from lakeshelf.operators.windows import add_windows, with_group_total
-from lakeshelf.queries.common import ACCURACY, plain
+from lakeshelf.queries.common import plain
 from lakeshelf.registry import query, table
 
 
@@ -110,7 +112,7 @@ FROM (SELECT o_custkey, o_orderkey,
 GROUP BY o_custkey, part""",
 )
 def agg_collect_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = lists_in_parts(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", part_items=5)
+    parts = lists_in_parts(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey", ["o_orderdate"], part_items=5)
     return parts.select("o_custkey", "part", "items", F.array_join("values", ",").alias("pedidos"))
 
 
@@ -133,13 +135,8 @@ def agg_pct_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM lineitem GROUP BY l_returnflag""",
 )
 def agg_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = F.percentile_approx("l_extendedprice", [0.5, 0.9], ACCURACY)
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_returnflag")
-        .agg(both.alias("q"))
-        .select("l_returnflag", F.get("q", F.lit(0)).alias("mediana"), F.get("q", F.lit(1)).alias("p90"))
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    return discrete_quantiles(lines, ["l_returnflag"], "l_extendedprice", {"mediana": 0.5, "p90": 0.9})
 
 
 @query(
@@ -241,9 +238,7 @@ def _profile_sql(column: str) -> str:
 
 @query("dq_profile", " UNION ALL ".join(_profile_sql(c) for c in ("l_quantity", "l_extendedprice", "l_partkey")))
 def dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profile(
-        table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_partkey"], 10 * ACCURACY
-    )
+    found = profile(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_partkey"])
     return found.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 4)})
 
 

@@ -11,8 +11,6 @@ from lakeshelf.plans.sales_text import landing_text, silver_cte
 from lakeshelf.session import store
 
 STAMP = "2026-01-31T00:00:00Z"
-# Rank error 1e-5: exact on the check tables, whose groups are smaller than that.
-ACCURACY = 100_000
 
 SILVER_CTE = silver_cte()
 

@@ -13,7 +13,7 @@ from lakeshelf.functions.fixed_values import (
 )
 from lakeshelf.operators.quality import null_report
 from lakeshelf.plans import benefits
-from lakeshelf.queries.common import ACCURACY, SILVER_CTE, STAMP, plain, silver_rows, silver_stored
+from lakeshelf.queries.common import SILVER_CTE, STAMP, plain, silver_rows, silver_stored
 from lakeshelf.registry import query
 
 
@@ -145,22 +145,22 @@ def _kpi_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gold_kpis", f"{_KPI_CTES} SELECT *, '{STAMP}' AS _gold_ts FROM kpis")
 def gold_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.national_kpis(_kpi_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.national_kpis(_kpi_rows(spark, sf_dir), STAMP))
 
 
 @query("gold_state", STATE_SQL)
 def gold_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.state_table(_state_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.state_table(_state_rows(spark, sf_dir), STAMP))
 
 
 @query("gold_state_total", STATE_TOTAL_SQL)
 def gold_state_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.state_total_table(_state_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.state_total_table(_state_rows(spark, sf_dir), STAMP))
 
 
 @query("gold_species", SPECIES_SQL)
 def gold_species(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(benefits.species_table(_species_rows(spark, sf_dir), STAMP, ACCURACY))
+    return plain(benefits.species_table(_species_rows(spark, sf_dir), STAMP))
 
 
 @query("gold_bank", f"{_BANK_CTES} SELECT *, '{STAMP}' AS _gold_ts FROM banks")
@@ -180,7 +180,7 @@ SELECT {REGION_SQL} AS regiao, _ano_mes, count(DISTINCT sg_uf) AS qtd_ufs,
 FROM m GROUP BY regiao, _ano_mes""",
 )
 def gold_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP, ACCURACY)
+    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP)
     return plain(benefits.region_table(totals))
 
 
@@ -191,7 +191,7 @@ SELECT grupo_especie, CAST(sum(qtd_beneficios) AS BIGINT) AS qtd,
   CAST(sum(CAST(vl_total AS DECIMAL(20,2))) AS DOUBLE) AS vl_total FROM m GROUP BY grupo_especie""",
 )
 def gold_group_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    species = benefits.species_table(_species_rows(spark, sf_dir), STAMP, ACCURACY)
+    species = benefits.species_table(_species_rows(spark, sf_dir), STAMP)
     return plain(benefits.group_totals(species))
 
 

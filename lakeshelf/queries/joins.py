@@ -11,22 +11,20 @@ from lakeshelf.registry import query, table
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Customers of one segment and pending orders: both sides have rows without a match."""
-    customers = (
-        table(spark, sf_dir, "customer")
-        .where("c_mktsegment = 'BUILDING'")
-        .select(F.col("c_custkey").alias("custkey"), "c_name")
-    )
-    orders = (
-        table(spark, sf_dir, "orders")
-        .where("o_orderstatus = 'P'")
-        .select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_totalprice")
+    """All customers and all orders, with rows on both sides that match nothing.
+
+    Customers in debt have no key; pending orders name a customer that does not exist.
+    """
+    customers = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("custkey"), "c_name"
     )
+    lost = F.when(F.col("o_orderstatus") == "P", -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select(lost.alias("custkey"), "o_orderkey", "o_totalprice")
     return customers, orders
 
 
-SIDES_SQL = """WITH c AS (SELECT c_custkey AS custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'),
-o AS (SELECT o_custkey AS custkey, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P') """
+SIDES_SQL = """WITH c AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS custkey, c_name FROM customer),
+o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END AS custkey, o_orderkey, o_totalprice FROM orders) """
 
 
 def _kind_sql(kind: str) -> str:
@@ -73,32 +71,21 @@ def join_inner_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-NULLABLE_SQL = """WITH c AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS custkey, c_name FROM customer),
-o AS (SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'P') """
-
-
-def _nullable_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    customers = table(spark, sf_dir, "customer").select(
-        F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("custkey"), "c_name"
-    )
-    return customers, _sides(spark, sf_dir)[1]
-
-
 @query(
     "join_anti",
-    NULLABLE_SQL + "SELECT custkey, c_name FROM c WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.custkey = c.custkey)",
+    SIDES_SQL + "SELECT custkey, c_name FROM c WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.custkey = c.custkey)",
 )
 def join_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, orders = _nullable_sides(spark, sf_dir)
+    customers, orders = _sides(spark, sf_dir)
     return customers.join(orders, "custkey", "left_anti")
 
 
 @query(
     "join_semi",
-    NULLABLE_SQL + "SELECT custkey, c_name FROM c WHERE EXISTS (SELECT 1 FROM o WHERE o.custkey = c.custkey)",
+    SIDES_SQL + "SELECT custkey, c_name FROM c WHERE EXISTS (SELECT 1 FROM o WHERE o.custkey = c.custkey)",
 )
 def join_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, orders = _nullable_sides(spark, sf_dir)
+    customers, orders = _sides(spark, sf_dir)
     return customers.join(orders, "custkey", "left_semi")
 
 

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.functions.fixed_values import LANDING_COLUMNS
+from lakeshelf.operators.aggregates import total_of
 from lakeshelf.operators.quality import row_counts
 from lakeshelf.plans import benefits, devices, readings
 from lakeshelf.plans.sales_text import landing_text
-from lakeshelf.queries.common import ACCURACY, SILVER_CTE, STAMP, plain
+from lakeshelf.queries.common import SILVER_CTE, STAMP, plain
 from lakeshelf.queries.tables import EVENT_SCHEMA, _events_as_json
 from lakeshelf.registry import ORACLES, query, table
 from lakeshelf.session import new_path, store
-from lakeshelf.sources.readers import sensor_readings
 from lakeshelf.sources.sinks import replace_partitions
 from lakeshelf.streaming import files as streams
 
@@ -44,11 +44,26 @@ def pipe_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benefits.land(spark, _csv(spark, sf_dir), new_path(spark, "landing"))
 
 
+@query("pipe_landing_total", f"{SILVER_CTE} SELECT count(*) AS total FROM silver")
+def pipe_landing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return total_of(benefits.land(spark, _csv(spark, sf_dir), new_path(spark, "landing")))
+
+
+def _place_sql(kind: str) -> str:
+    state = f"{kind}_sg_uf"
+    return f"""{kind}_codigo || '-' || substr({state}, 1, 1) || lower(substr({state}, 2)) || '-' || {kind}_nome || '  ' AS {kind}"""
+
+
 @query(
     "pipe_bronze",
-    f"""{SILVER_CTE} SELECT _ano_mes, tipo_beneficio || '  ' AS tipo_beneficio, uf || '  ' AS uf,
-  CAST(vl_liquido AS DOUBLE) AS vl_liquido, strftime(dt_inicio_validade, '%Y-%m-%d') AS dt_inicio_validade,
-  CAST(especie_codigo AS VARCHAR) || '.0  ' AS especie_codigo, 'landing' AS _source_path, '{STAMP}' AS _ingestion_ts
+    f"""{SILVER_CTE} SELECT coalesce(despacho, 'Nao Informado') || '  ' AS despacho, coalesce(sexo, '{{ñ class}}') || '  ' AS sexo,
+  coalesce(clientela, '{{ñ class}}') || '  ' AS clientela, tipo_beneficio || '  ' AS tipo_beneficio, uf || '  ' AS uf,
+  CASE meio_pag_codigo WHEN 'CCF' THEN 'Ccf - Conta' WHEN 'CCL' THEN 'Ccl - Loterica' WHEN 'CMG' THEN 'Cmg  -  Cartao'
+    ELSE 'Out - Outro' END || '  ' AS meio_pagamento,
+  CAST(banco_codigo AS VARCHAR) || '-' || banco_nome || '  ' AS banco, {_place_sql("mun_pagto")}, {_place_sql("mun_resid")},
+  CAST(vl_liquido AS DOUBLE) AS vl_liquido, coalesce(ramo_atividade, '{{ñ class}}') || '  ' AS ramo_atividade,
+  strftime(dt_inicio_validade, '%Y-%m-%d') AS dt_inicio_validade, CAST(especie_codigo AS VARCHAR) || '.0  ' AS especie_codigo,
+  especie_descricao || '  ' AS especie_descricao, _ano_mes, 'landing' AS _source_path, '{STAMP}' AS _ingestion_ts
 FROM silver""",
 )
 def pipe_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,13 +71,8 @@ def pipe_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = spark.read.schema(text).parquet(_landed(spark, sf_dir))
     rows = benefits.bronze(landing, "landing", STAMP)
     path = new_path(spark, "bronze")
-    replace_partitions(rows, path, MONTH)
-    return plain(
-        spark.read.schema(rows.schema).parquet(path).select(
-            MONTH, "tipo_beneficio", "uf", "vl_liquido", "dt_inicio_validade", "especie_codigo",
-            "_source_path", "_ingestion_ts",
-        )
-    )
+    replace_partitions(rows, path, MONTH, already_split=True)
+    return plain(spark.read.schema(rows.schema).parquet(path))
 
 
 @query(
@@ -82,9 +92,7 @@ def pipe_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipe_gold", ORACLES["gold_kpis"])
 def pipe_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing to gold through files, all months, with every rule checked before the writes."""
-    paths = benefits.run(
-        spark, _landed(spark, sf_dir), new_path(spark, "lake"), STAMP, accuracy=ACCURACY
-    )
+    paths = benefits.run(spark, _landed(spark, sf_dir), new_path(spark, "lake"), STAMP)
     kpis = spark.read.option("basePath", paths["kpis_nacionais"]).parquet(paths["kpis_nacionais"])
     return plain(kpis.withColumn(MONTH, F.col(MONTH).cast("string")))
 
@@ -113,14 +121,13 @@ silver AS (SELECT * FROM landing WHERE id IS NOT NULL
     "dev_bronze",
     DEVICE_CTE
     + """SELECT id, uid, user_id, trim(manufacturer) AS manufacturer, version, serial_number,
-  CAST(ms AS BIGINT) AS dt_current_timestamp, 'json' AS _source_format FROM landing""",
+  CAST(ms AS BIGINT) AS dt_current_timestamp, 'json' AS _source_format, model, platform, build_number,
+  '2026-01-31 00:00:00' AS _ingestion_timestamp FROM landing""",
 )
 def dev_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = store(spark, devices.bronze(spark, _device_json(spark, sf_dir), STAMP), "bronze")
-    return rows.select(
-        "id", "uid", "user_id", F.upper(F.trim("manufacturer")).alias("manufacturer"), "version",
-        "serial_number", "dt_current_timestamp", "_source_format",
-    )
+    tidy = {"manufacturer": F.upper(F.trim("manufacturer")), "platform": F.lower(F.trim("platform"))}
+    return plain(rows.withColumns(tidy))
 
 
 def _device_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,17 +201,25 @@ def dq_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sensor layouts --------------------------------------------------------------------
 
 
-@query("iot_layouts")
+@query(
+    "iot_layouts",
+    """SELECT layout, 1 AS hits, count(*) AS readings, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS mean_value
+FROM events JOIN (VALUES ('flat'), ('bucketed')) t(layout)
+  ON ts >= TIMESTAMP '2024-01-05 12:19:00' AND ts <= TIMESTAMP '2024-01-20 13:01:20' GROUP BY layout""",
+)
 def iot_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sensor_readings(spark, table(spark, sf_dir, "lineitem").count(), 8)
-    kept = store(spark, rows, "readings")
-    paths = readings.write_layouts(kept, new_path(spark, "layouts"))
-    wanted = kept.agg(F.min("id").alias("id")).first()["id"]
+    """Events as readings in both layouts: one id, and a mean over a time range, from each."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("value").cast("decimal(12,2)").alias("value"),
+        F.col("ts").cast("timestamp").alias("time"),
+    )
+    paths = readings.write_layouts(events, new_path(spark, "layouts"))
     results = []
     for layout, path in paths.items():
         buckets = readings.BUCKETS if layout == "bucketed" else None
-        hits = readings.point_lookup(spark, path, wanted, buckets).agg(F.count(F.lit(1)).alias("hits"))
-        mean = readings.mean_between(spark.read.parquet(path), "2023-12-04 12:19:00", "2023-12-04 13:01:20")
+        wanted = spark.read.parquet(path).agg(F.max("id").alias("id")).first()["id"]
+        hits = readings.point_lookup(spark, path, wanted, buckets).agg(F.count(F.lit(1)).cast("int").alias("hits"))
+        mean = readings.mean_between(spark.read.parquet(path), "2024-01-05 12:19:00", "2024-01-20 13:01:20")
         results.append(row_values(layout, hits, mean))
     return results[0].unionByName(results[1])
 
@@ -226,7 +241,7 @@ def stm_complete_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         streams.running_counts(stream, "event_type"), out, new_path(spark, "offsets")
     )
     running.awaitTermination()
-    return streams.latest_table(spark, running, out)
+    return streams.latest_table(spark, out)
 
 
 @query(
@@ -248,4 +263,4 @@ def stm_update_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         streams.running_counts(stream, "user_id"), ["user_id"], out, new_path(spark, "offsets")
     )
     running.awaitTermination()
-    return streams.latest_table(spark, running, out)
+    return streams.latest_table(spark, out)

@@ -9,9 +9,11 @@ from lakeshelf.functions import clean
 from lakeshelf.functions.fixed_values import OTHER_SPECIES, SPECIES_GROUPS
 from lakeshelf.operators.columns import bands, rename
 from lakeshelf.operators.dedupe import one_per_key
+from lakeshelf.plans import readings
 from lakeshelf.queries.common import plain
 from lakeshelf.queries.gold import sql_case
 from lakeshelf.registry import query, table
+from lakeshelf.session import new_path
 
 MONEY = "decimal(12,2)"
 
@@ -84,28 +86,24 @@ def prj_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").drop("p_type", "p_retailprice", "not_there")
 
 
-BAND_STEPS = [(6000, "Junior"), (8000, "Pleno")]
+BALANCE_STEPS = [(0, "debt"), (2500, "low"), (7500, "fair")]
 
 
 @query(
     "prj_case_bands",
-    """SELECT c_custkey, CASE WHEN b IS NULL THEN 'N/A' WHEN b < 6000 THEN 'Junior' WHEN b < 8000 THEN 'Pleno'
-  ELSE 'Senior' END AS nivel,
-  CASE WHEN b < 6000 THEN 'Junior' WHEN b < 8000 THEN 'Pleno' ELSE 'Senior' END AS nivel_sem_nulo,
-  CASE WHEN b IS NULL THEN 'N/A' WHEN b > 8000 THEN 'Senior' WHEN b > 6000 THEN 'Pleno'
-  ELSE 'Junior' END AS nivel_aberto
-FROM (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS b FROM customer)""",
+    """SELECT c_custkey, CASE WHEN b IS NULL THEN 'unknown' WHEN b < 0 THEN 'debt' WHEN b < 2500 THEN 'low'
+  WHEN b < 7500 THEN 'fair' ELSE 'good' END AS band,
+  CASE WHEN b < 0 THEN 'debt' WHEN b < 2500 THEN 'low' WHEN b < 7500 THEN 'fair' ELSE 'good' END AS band_or_top,
+  CASE WHEN b >= 7500 THEN 'yes' WHEN b >= 0 THEN 'ask' ELSE 'no' END AS credit
+FROM (SELECT c_custkey, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_acctbal END AS b FROM customer)""",
 )
 def prj_case_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))
-    open_below = (
-        F.when(value.isNull(), "N/A").when(value > 8000, "Senior").when(value > 6000, "Pleno")
-    )
+    balance = F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_acctbal"))
     return table(spark, sf_dir, "customer").select(
         "c_custkey",
-        bands(value, BAND_STEPS, "Senior", "N/A").alias("nivel"),
-        bands(value, BAND_STEPS, "Senior").alias("nivel_sem_nulo"),
-        open_below.otherwise("Junior").alias("nivel_aberto"),
+        bands(balance, BALANCE_STEPS, "good", "unknown").alias("band"),
+        bands(balance, BALANCE_STEPS, "good").alias("band_or_top"),
+        F.when(balance >= 7500, "yes").when(balance >= 0, "ask").otherwise("no").alias("credit"),
     )
 
 
@@ -244,21 +242,18 @@ def flt_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "flt_null",
-    """SELECT c_custkey, o_orderkey IS NULL AS sem_pedido FROM customer
-LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) o
-  ON c_custkey = o_custkey
+    """SELECT c_custkey, o_orderkey IS NULL AS without_order FROM customer
+LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1) o
+  ON c_custkey = o_custkey AND c_acctbal >= 1000
 WHERE o_orderkey IS NULL OR c_name IS NULL""",
 )
 def flt_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pending = (
-        table(spark, sf_dir, "orders")
-        .where("o_orderstatus = 'P'")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.min("o_orderkey").alias("o_orderkey"))
-    )
-    rows = table(spark, sf_dir, "customer").join(pending, "c_custkey", "left")
+    """Customers whom no order is joined to; those of a small balance are joined to none."""
+    first = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
+    match = (F.col("c_custkey") == F.col("o_custkey")) & (F.col("c_acctbal") >= 1000)
+    rows = table(spark, sf_dir, "customer").join(first, match, "left")
     return rows.where(F.col("o_orderkey").isNull() | ~F.col("c_name").isNotNull()).select(
-        "c_custkey", F.col("o_orderkey").isNull().alias("sem_pedido")
+        "c_custkey", F.col("o_orderkey").isNull().alias("without_order")
     )
 
 
@@ -277,10 +272,20 @@ def sql_scalar_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("flt_point_lookup", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 712")
+@query(
+    "flt_point_lookup",
+    """SELECT layout, o_orderkey AS id, o_totalprice AS value FROM orders
+JOIN (VALUES ('flat'), ('bucketed')) t(layout) ON o_orderkey = 712""",
+)
 def flt_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "orders").where("o_orderkey = 712").select("o_orderkey", "o_custkey", "o_totalprice")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"), F.col("o_orderdate").alias("time")
+    )
+    paths = readings.write_layouts(orders, new_path(spark, "layouts"))
+    flat = readings.point_lookup(spark, paths["flat"], 712)
+    bucketed = readings.point_lookup(spark, paths["bucketed"], 712, readings.BUCKETS)
+    return flat.select(F.lit("flat").alias("layout"), "id", "value").unionByName(
+        bucketed.select(F.lit("bucketed").alias("layout"), "id", "value")
     )
 
 
@@ -331,9 +336,14 @@ def ord_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("ord_sample")
+@query(
+    "ord_sample",
+    "SELECT o_orderkey, o_orderstatus FROM orders WHERE substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 4) < '8000'",
+)
 def ord_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").sample(fraction=0.5, seed=42).select("o_orderkey", "o_orderstatus")
+    """Half of the orders by a hash threshold: the same ones however the table is split."""
+    lot = F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 4)
+    return table(spark, sf_dir, "orders").where(lot < "8000").select("o_orderkey", "o_orderstatus")
 
 
 # --- duplicates and unions --------------------------------------------------------
@@ -350,10 +360,12 @@ def set_drop_dup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").dropDuplicates()
 
 
-@query("set_dedupe_key", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("set_dedupe_key", "SELECT l_orderkey, l_partkey, true AS is_a_row FROM lineitem GROUP BY l_orderkey, l_partkey")
 def set_dedupe_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = ["l_orderkey", "l_linenumber"]
-    return table(spark, sf_dir, "lineitem").dropDuplicates(keys).select(*keys)
+    """One whole row of each key; which one is open, but it is a row of the table."""
+    lines = table(spark, sf_dir, "lineitem")
+    survivors = lines.dropDuplicates(["l_orderkey", "l_partkey"])
+    return survivors.intersect(lines).select("l_orderkey", "l_partkey", F.lit(True).alias("is_a_row"))
 
 
 @query(

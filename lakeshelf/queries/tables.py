@@ -12,13 +12,15 @@ from lakeshelf.operators import versions
 from lakeshelf.operators.layout import (
     bucket, compact, file_stats, partition_stats, since, time_transform, truncate_number, truncate_text,
 )
-from lakeshelf.operators.mutate import delete, merge, merge_metrics, update
+from lakeshelf.operators.mutate import (
+    delete, delete_from, merge, merge_into, merge_metrics, update, update_table,
+)
 from lakeshelf.operators.quality import reconcile
 from lakeshelf.queries.common import plain
 from lakeshelf.registry import query, table
 from lakeshelf.session import new_path, store
 from lakeshelf.sources.readers import (
-    read_delimited, read_json_lines, read_partition, sensor_readings,
+    read_delimited, read_json_lines, read_partition,
 )
 from lakeshelf.sources.sinks import (
     append_evolving, append_table, read_evolved, register_external, replace_partitions, write_files,
@@ -33,6 +35,12 @@ def _name(stem: str) -> str:
     return f"{stem}_{uuid.uuid4().hex}"
 
 
+def _without_entry(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """``rows`` of a table with a location of its own, whose catalog entry is dropped; the files stay."""
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 # --- sources ------------------------------------------------------------------
 
 
@@ -95,11 +103,12 @@ def src_csv_dup_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_SCHEMA = "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE"
 
 
-def _events_as_json(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+def _events_as_json(spark: SparkSession, sf_dir: str) -> str:
+    """A file for each core, so that a stream has several batches to take."""
     path = new_path(spark, "json")
     table(spark, sf_dir, "events").select(
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type", "value"
-    ).repartition(files).write.json(path)
+    ).repartition(spark.sparkContext.defaultParallelism).write.json(path)
     return path
 
 
@@ -111,6 +120,14 @@ def src_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_lines(spark, _events_as_json(spark, sf_dir) + "/*.json", EVENT_SCHEMA)
 
 
+@query(
+    "src_json_inferred",
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value FROM events",
+)
+def src_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_json_lines(spark, _events_as_json(spark, sf_dir))
+
+
 @query("src_parquet", "SELECT l_orderkey, l_suppkey, l_quantity FROM lineitem")
 def src_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
@@ -148,13 +165,13 @@ SEGMENT_LABELS = [("BUILDING", "Obras", 1), ("MACHINERY", "Maquinas", 2), ("FURN
     "src_literal_rows",
     """SELECT rotulo, ordem, count(c_custkey) AS clientes FROM
 (VALUES ('BUILDING', 'Obras', 1), ('MACHINERY', 'Maquinas', 2), ('FURNITURE', 'Moveis', 3)) t(seg, rotulo, ordem)
-JOIN customer ON c_mktsegment = seg GROUP BY rotulo, ordem""",
+RIGHT JOIN customer ON c_mktsegment = seg GROUP BY rotulo, ordem""",
 )
 def src_literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.createDataFrame(SEGMENT_LABELS, "seg STRING, rotulo STRING, ordem INT")
     customers = table(spark, sf_dir, "customer")
     return (
-        customers.join(F.broadcast(labels), customers.c_mktsegment == labels.seg)
+        customers.join(F.broadcast(labels), customers.c_mktsegment == labels.seg, "left")
         .groupBy("rotulo", "ordem")
         .agg(F.count("c_custkey").alias("clientes"))
     )
@@ -163,12 +180,12 @@ def src_literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "src_pandas",
     """SELECT o_orderkey, peso FROM orders
-JOIN (VALUES ('1-URGENT', 10.0::DOUBLE), ('2-HIGH', 5.5::DOUBLE)) t(p, peso) ON o_orderpriority = p""",
+LEFT JOIN (VALUES ('1-URGENT', 10.0::DOUBLE), ('2-HIGH', 5.5::DOUBLE)) t(p, peso) ON o_orderpriority = p""",
 )
 def src_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = spark.createDataFrame(pd.DataFrame({"p": ["1-URGENT", "2-HIGH"], "peso": [10.0, 5.5]}))
     orders = table(spark, sf_dir, "orders")
-    return orders.join(F.broadcast(weights), orders.o_orderpriority == weights.p).select("o_orderkey", "peso")
+    return orders.join(F.broadcast(weights), orders.o_orderpriority == weights.p, "left").select("o_orderkey", "peso")
 
 
 @query(
@@ -180,21 +197,16 @@ def src_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey")
     stop = lines.agg(F.max("l_orderkey").alias("m")).first()["m"] + 1
     per_order = lines.groupBy(c("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    keys = spark.range(0, stop, 1, 8).select(c("id").alias("k"))
+    keys = spark.range(0, stop).select(c("id").alias("k"))
     return keys.join(per_order, "k", "left").select("k", F.coalesce("n", F.lit(0)).cast("long").alias("linhas"))
 
 
-@query("src_iot_generator")
-def src_iot_generator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sensor_readings(spark, table(spark, sf_dir, "lineitem").count(), 8)
-
-
 @query("src_catalog_table", "SELECT c_custkey, c_name, c_acctbal FROM customer")
 def src_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, name = new_path(spark, "table"), _name("clientes")
     table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal").write.parquet(path)
     register_external(spark, name, path, "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE")
-    return spark.table(name)
+    return _without_entry(spark, name, spark.table(name))
 
 
 # --- sinks -----------------------------------------------------------------------
@@ -266,9 +278,9 @@ def snk_replace_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def snk_coalesced(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "lines")
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag").repartition(8)
-    write_files(rows, path, 3)
-    few = file_stats(spark, path)[0] <= 3
+    most = max(1, spark.sparkContext.defaultParallelism // 2)
+    write_files(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag"), path, most)
+    few = file_stats(spark, path)[0] <= most
     return (
         spark.read.parquet(path)
         .groupBy("l_returnflag")
@@ -300,7 +312,7 @@ def snk_table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("k"), c("s_name").alias("nome"))
     append_table(customers, name)
     append_table(suppliers, name)
-    return spark.table(name)
+    return _without_entry(spark, name, spark.table(name))
 
 
 @query(
@@ -315,10 +327,11 @@ def snk_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ddl = "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, _ano_mes STRING"
     for _ in range(2):
         register_external(spark, name, path, ddl, ["_ano_mes"])
-    return spark.sql(
+    report = spark.sql(
         f"""SELECT _ano_mes, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS quantidade
             FROM {name} GROUP BY _ano_mes"""
     )
+    return _without_entry(spark, name, store(spark, report, "report"))
 
 
 @query(
@@ -388,15 +401,21 @@ def mut_merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_metrics(*_balances(spark, sf_dir), ["c_custkey"])
 
 
-def _versioned(spark: SparkSession, sf_dir: str) -> str:
-    """Customers in three versions: without HOUSEHOLD, merged, then without BUILDING."""
-    root = new_path(spark, "versions")
+def _versioned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers in three snapshots (without HOUSEHOLD, merged, without BUILDING) and their commits."""
     target, source = _balances(spark, sf_dir)
-    versions.commit(target, root, 0, "2026-01-01T00:00:00Z")
-    versions.commit(merge(target, source, ["c_custkey"]), root, 1, "2026-01-02T00:00:00Z", "MERGE")
-    without = delete(versions.read(spark, root), c("c_mktsegment") == "BUILDING")
-    versions.commit(without, root, 2, "2026-01-03T00:00:00Z", "DELETE")
-    return root
+    merged = merge(target, source, ["c_custkey"])
+    without = delete(merged, c("c_mktsegment") == "BUILDING")
+    rows = versions.stamped(target, 0)
+    for number, snapshot in enumerate((merged, without), 1):
+        rows = rows.unionByName(versions.stamped(snapshot, number))
+    path = new_path(spark, "snapshots")
+    write_partitioned(rows, path, [versions.SNAPSHOT])
+    log = versions.commits(spark, [
+        (0, 0, "2026-01-01T00:00:00Z", "WRITE"), (1, 1, "2026-01-02T00:00:00Z", "MERGE"),
+        (2, 2, "2026-01-03T00:00:00Z", "DELETE"),
+    ])
+    return spark.read.schema(rows.schema).parquet(path), log
 
 
 @query(
@@ -406,11 +425,11 @@ UNION ALL SELECT 'as of day 2', * FROM ({MERGED_SQL})
 UNION ALL SELECT 'latest', * FROM ({MERGED_SQL}) WHERE c_mktsegment <> 'BUILDING'""",
 )
 def mut_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _versioned(spark, sf_dir)
+    rows, log = _versioned(spark, sf_dir)
     reads = {
-        "version 0": versions.read(spark, root, version=0),
-        "as of day 2": versions.read(spark, root, as_of="2026-01-02T12:00:00Z"),
-        "latest": versions.read(spark, root),
+        "version 0": versions.as_of(rows, log, version=0),
+        "as of day 2": versions.as_of(rows, log, moment="2026-01-02T12:00:00Z"),
+        "latest": versions.as_of(rows, log),
     }
     tagged = [df.select(F.lit(name).alias("leitura"), "*") for name, df in reads.items()]
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
@@ -423,10 +442,8 @@ def mut_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM customer WHERE c_mktsegment IN ('HOUSEHOLD', 'BUILDING')""",
 )
 def mut_version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _versioned(spark, sf_dir)
-    changes = versions.diff(
-        versions.read(spark, root, 0), versions.read(spark, root, 1), ["c_custkey"]
-    )
+    rows, log = _versioned(spark, sf_dir)
+    changes = versions.diff(versions.as_of(rows, log, 0), versions.as_of(rows, log, 1), ["c_custkey"])
     return changes.select(
         "c_custkey", "change", c("_before.c_acctbal").alias("antes"), c("_after.c_acctbal").alias("depois")
     )
@@ -438,17 +455,63 @@ def mut_version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
   count(*) FILTER (WHERE c_mktsegment <> 'BUILDING') AS d FROM customer)
 SELECT CAST(0 AS INTEGER) AS version, '2026-01-01T00:00:00Z' AS committed_at, 'WRITE' AS operation, b AS rows FROM n
 UNION ALL SELECT 1, '2026-01-02T00:00:00Z', 'MERGE', a FROM n
-UNION ALL SELECT 2, '2026-01-03T00:00:00Z', 'DELETE', d FROM n""",
+UNION ALL SELECT 2, '2026-01-03T00:00:00Z', 'DELETE', d FROM n
+UNION ALL SELECT 3, '2026-01-04T00:00:00Z', 'RESTORE', b FROM n""",
 )
 def mut_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions.history(spark, _versioned(spark, sf_dir))[0]
+    rows, log = _versioned(spark, sf_dir)
+    return versions.change_log(rows, versions.restored(log, 0, "2026-01-04T00:00:00Z"))
 
 
 @query("mut_restore", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'")
 def mut_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _versioned(spark, sf_dir)
-    versions.restore(spark, root, 0, "2026-01-04T00:00:00Z")
-    return versions.read(spark, root)
+    rows, log = _versioned(spark, sf_dir)
+    return versions.as_of(rows, versions.restored(log, 0, "2026-01-04T00:00:00Z"))
+
+
+def _order_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Orders as a table split by status."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = new_path(spark, "ordertable")
+    write_partitioned(orders, path, ["o_orderstatus"])
+    return path, orders
+
+
+@query(
+    "mut_update_table",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 100000 THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+  o_orderstatus FROM orders""",
+)
+def mut_update_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, orders = _order_table(spark, sf_dir)
+    cheap = (c("o_orderstatus") == "P") & (c("o_totalprice") < 100000)
+    update_table(spark, path, orders.schema, "o_orderstatus", cheap, {"o_totalprice": F.lit(0.0)})
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query(
+    "mut_delete_table",
+    """SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders
+WHERE NOT (o_orderstatus = 'P' OR (o_orderstatus = 'F' AND o_totalprice < 100000))""",
+)
+def mut_delete_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, orders = _order_table(spark, sf_dir)
+    gone = (c("o_orderstatus") == "P") | ((c("o_orderstatus") == "F") & (c("o_totalprice") < 100000))
+    delete_from(spark, path, orders.schema, "o_orderstatus", gone)
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query(
+    "mut_merge_table",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, o_orderstatus
+FROM orders UNION ALL SELECT -o_orderkey, -o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'""",
+)
+def mut_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, orders = _order_table(spark, sf_dir)
+    changed = orders.where("o_orderstatus = 'P'").withColumn("o_totalprice", -c("o_totalprice"))
+    source = changed.unionByName(changed.withColumn("o_orderkey", -c("o_orderkey")))
+    merge_into(spark, path, orders.schema, "o_orderstatus", source, ["o_orderkey"])
+    return spark.read.schema(orders.schema).parquet(path)
 
 
 @query(
@@ -466,7 +529,7 @@ def mut_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"ALTER TABLE {name} ADD COLUMNS (peso DOUBLE, ativo BOOLEAN)")
     promo = parts.where("p_type = 'PROMO'").withColumns({"peso": c("p_retailprice"), "ativo": F.lit(True)})
     append_table(promo, name)
-    return spark.table(name)
+    return _without_entry(spark, name, spark.table(name))
 
 
 @query("mut_rename_drop", "SELECT p_partkey, p_retailprice AS preco_unitario, p_size FROM part")
@@ -502,13 +565,21 @@ def lay_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("lay_bucket")
+@query(
+    "lay_bucket",
+    "SELECT count(*) AS rows, count(DISTINCT o_custkey) AS keys, true AS in_range, true AS spread FROM orders",
+)
 def lay_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
+    """What must hold of buckets: all rows, a key in one bucket only, every bucket in use."""
+    buckets = (
         table(spark, sf_dir, "orders")
         .groupBy(bucket(c("o_custkey"), 16).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_custkey").alias("keys"))
     )
+    return buckets.agg(
+        F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.every(c("bucket").between(0, 15)).alias("in_range"),
+        (F.count("bucket") == 16).alias("spread"),
+    )
 
 
 @query(
@@ -545,7 +616,7 @@ def lay_partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("lay_compact", "SELECT o_orderkey, o_custkey, true AS fewer FROM orders")
 def lay_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     small, target = new_path(spark, "small-files"), new_path(spark, "compacted")
-    table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition(40).write.parquet(small)
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").repartition(5 * spark.sparkContext.defaultParallelism).write.parquet(small)
     before, after = compact(spark, small, target)
     return spark.read.parquet(target).withColumn("fewer", F.lit(after < before))
 
@@ -553,10 +624,11 @@ def lay_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("lay_repartition", "SELECT 'by number' AS forma, o_orderkey FROM orders UNION ALL SELECT 'by key', o_orderkey FROM orders UNION ALL SELECT 'fewer', o_orderkey FROM orders")
 def lay_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cores = spark.sparkContext.defaultParallelism
     shapes = {
-        "by number": orders.repartition(6),
+        "by number": orders.repartition(cores),
         "by key": orders.repartition("o_custkey"),
-        "fewer": orders.repartition(6).coalesce(2),
+        "fewer": orders.repartition(cores).coalesce(max(1, cores // 2)),
     }
     tagged = [df.select(F.lit(name).alias("forma"), "o_orderkey") for name, df in shapes.items()]
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.operators.columns import min_max_scaled
-from lakeshelf.operators.udfs import band_batch, band_row
+from lakeshelf.operators.udfs import price_band, price_band_batch
 from lakeshelf.registry import query, table
 
 HOLES_SQL = "SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS saldo FROM customer"
@@ -18,22 +18,24 @@ def _holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "udf_bands_py",
-    f"""SELECT c_custkey, CASE WHEN saldo IS NULL THEN 'N/A' WHEN saldo < 6000 THEN 'Junior'
-  WHEN saldo < 8000 THEN 'Pleno' ELSE 'Senior' END AS nivel FROM ({HOLES_SQL})""",
-)
+PRICES_SQL = "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM orders"
+BANDS_SQL = f"""SELECT o_orderkey, CASE WHEN price IS NULL THEN 'open' WHEN price < 50000 THEN 'small'
+  WHEN price < 150000 THEN 'medium' WHEN price < 300000 THEN 'large' ELSE 'bulk' END AS band FROM ({PRICES_SQL})"""
+
+
+def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", known.alias("price"))
+
+
+@query("udf_bands_py", BANDS_SQL)
 def udf_bands_py(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _holes(spark, sf_dir).select("c_custkey", band_row("saldo").alias("nivel"))
+    return _prices(spark, sf_dir).select("o_orderkey", price_band("price").alias("band"))
 
 
-@query(
-    "udf_bands_pandas",
-    f"""SELECT c_custkey, CASE WHEN saldo IS NULL THEN 'N/A' WHEN saldo > 8000 THEN 'Senior'
-  WHEN saldo > 6000 THEN 'Pleno' ELSE 'Junior' END AS nivel FROM ({HOLES_SQL})""",
-)
+@query("udf_bands_pandas", BANDS_SQL)
 def udf_bands_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _holes(spark, sf_dir).select("c_custkey", band_batch("saldo").alias("nivel"))
+    return _prices(spark, sf_dir).select("o_orderkey", price_band_batch("price").alias("band"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -58,6 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="lakeshelf-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
@@ -66,6 +69,30 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lakeshelf/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path`` whose write was finished."""
+    files, at = _file_system(spark, path)
+    if not files.exists(at):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return [
+        f.getPath().getName()
+        for f in files.listStatus(at)
+        if f.isDirectory() and files.exists(done(f.getPath(), "_SUCCESS"))
+    ]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove intermediate data that no reader needs any more."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
 def store(spark: SparkSession, df, name: str):
     """Write ``df`` to the shared folder and read it back.
 

@@ -1,4 +1,4 @@
-"""Readers for the file formats, catalog tables and generated rows."""
+"""Readers for the file formats and catalog tables."""
 
 from __future__ import annotations
 
@@ -106,14 +106,3 @@ def read_jdbc(
         numPartitions=partitions,
         properties=options,
     )
-
-
-def sensor_readings(
-    spark: SparkSession, rows: int, partitions: int, start_epoch: int = 1_701_692_381, seed: int = 42
-) -> DataFrame:
-    """Generated readings: hashed id, random value, one second apart from ``start_epoch``."""
-    return spark.range(0, rows, 1, partitions).select(
-        F.hash("id").alias("id"),
-        F.rand(seed).alias("value"),
-        F.timestamp_seconds(F.lit(start_epoch) + F.col("id")).alias("time"),
-    )

@@ -29,22 +29,21 @@ class BatchRejected(ValueError):
     """The batch must not be written."""
 
 
-def require_few_values(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> None:
-    """Refuse partition columns that would make more than ``limit`` directories."""
-    if df.select(*columns).distinct().limit(limit + 1).count() > limit:
-        raise BatchRejected(f"{list(columns)} has more than {limit} values")
-
-
 def replace_partitions(
     df: DataFrame,
     path: str,
     column: str,
     only: Sequence[str] | None = None,
     file_format: str = "parquet",
+    already_split: bool = False,
     **options: str,
 ) -> None:
     """Overwrite the partitions present in the batch and leave all others.
 
+    Rows of a partition are brought together first, unless there is one value
+    only or the input is a table split the same way (``already_split``): then a
+    task holds few partitions anyway, and the shuffle would move every row for nothing.
+
     With ``only``, a row of any other value (or NULL) fails the write job, whose
     output is then never committed.  An empty batch changes nothing, since only
     partitions with rows are replaced, and is reported as rejected.  Both are
@@ -62,10 +61,10 @@ def replace_partitions(
         *[F.count_if(F.col(column) == v).alias(f"v{i}") for i, v in enumerate(only or [])],
     ]
     batch = batch.observe(seen, *counts)
+    together = batch if already_split or (only is not None and len(only) == 1) else balanced(batch, column)
     try:
         (
-            balanced(batch, column)
-            .write.mode("overwrite")
+            together.write.mode("overwrite")
             .format(file_format)
             .option("partitionOverwriteMode", "dynamic")
             .options(**options)

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeshelf.operators.layout import held
 from lakeshelf.operators.mutate import merge
+from lakeshelf.session import folders_in, remove_folder
 
 BATCH = "_batch"
 
@@ -66,16 +68,29 @@ def _start(
     )
 
 
+def _forget(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Folders before the last one are needed neither by readers nor to repeat a batch."""
+    for old in _finished(spark, path):
+        if old < batch_id - 1:
+            remove_folder(spark, _batch_path(path, old))
+
+
+def _finished(spark: SparkSession, path: str) -> list[int]:
+    names = [n for n in folders_in(spark, path) if n.startswith(f"{BATCH}=")]
+    return sorted(int(n.removeprefix(f"{BATCH}=")) for n in names)
+
+
 def complete_tables(
     counts: DataFrame, path: str, checkpoint: str, kind: str = "available"
 ) -> StreamingQuery:
-    """The whole result of each batch in a directory of its own.
+    """The whole result of each batch in a directory of its own; the last two stay.
 
     A batch run again after a failure writes over the same directory.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        _forget(batch.sparkSession, path, batch_id)
 
     return _start(counts, "complete", write, checkpoint, kind)
 
@@ -83,20 +98,29 @@ def complete_tables(
 def upsert_tables(
     counts: DataFrame, keys: Sequence[str], path: str, checkpoint: str, kind: str = "available"
 ) -> StreamingQuery:
-    """Update mode: only changed rows arrive and are merged into the table of the batch before."""
+    """Update mode: only changed rows arrive and are merged into the table of the batch before.
+
+    The batch is held while it is read twice; grouped rows hold a key once, so
+    that is not checked again.
+    """
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        table = changed
-        if batch_id > 0:
-            before = changed.sparkSession.read.schema(changed.schema).parquet(
-                _batch_path(path, batch_id - 1)
-            )
-            table = merge(before, changed, keys)
-        table.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        spark = changed.sparkSession
+        earlier = [b for b in _finished(spark, path) if b < batch_id]
+        with held(changed) as (rows,):
+            table = rows
+            if earlier:
+                before = spark.read.schema(changed.schema).parquet(_batch_path(path, earlier[-1]))
+                table = merge(before, rows, keys, checked=True)
+            table.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        _forget(spark, path, batch_id)
 
     return _start(counts, "update", write, checkpoint, kind)
 
 
-def latest_table(spark: SparkSession, query: StreamingQuery, path: str) -> DataFrame:
-    """The table of the last finished batch."""
-    return spark.read.parquet(_batch_path(path, query.lastProgress["batchId"]))
+def latest_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table of the last finished batch, also of a run that found nothing new."""
+    done = _finished(spark, path)
+    if not done:
+        raise ValueError(f"no finished batch below {path}")
+    return spark.read.parquet(_batch_path(path, done[-1]))

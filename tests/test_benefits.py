@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeshelf.functions.fixed_values import LANDING_COLUMNS
+from lakeshelf.operators.aggregates import total_of
 from lakeshelf.operators.quality import QualityError
 from lakeshelf.plans import benefits
 from lakeshelf.queries.common import silver_rows
@@ -125,6 +126,28 @@ def test_landing_of_one_month(spark, tmp_path):
     assert spark.read.parquet(paths["silver"]).where("sg_uf = 'BA' AND banco_codigo = 104").count() == 1
 
 
+def test_landing_counts_only_the_month_landed(spark, tmp_path):
+    names = [h if not h.startswith("Espécie") else "Espécie" for h in HEADER]
+    target = new_path(spark, "landing")
+    for month, states in (("202601", ["Bahia", "Bahia", "Acre"]), ("202602", ["Acre", "Bahia", "Bahia", "Bahia"])):
+        source = tmp_path / f"{month}.csv"
+        source.write_bytes("\n".join([";".join(names)] + [";".join(line(uf=s)) for s in states] + [""]).encode("latin-1"))
+        counts = benefits.land(spark, str(source), target, month)
+        want = [("Bahia  ", len(states) - 1), ("Acre  ", 1)]
+        assert [tuple(r) for r in counts.collect()] == want
+        assert total_of(counts).first()["total"] == len(states)
+
+
+def test_gold_reads_a_held_silver(spark, monkeypatch):
+    source, seen = new_path(spark, "landing"), []
+    replace_partitions(landing(spark, [line()] * 3), source, "_ano_mes")
+    for name in ("state_table", "state_total_table", "species_table", "bank_table", "national_kpis"):
+        made = getattr(benefits, name)
+        monkeypatch.setattr(benefits, name, lambda rows, *a, made=made: (seen.append(rows.is_cached), made(rows, *a))[1])
+    benefits.run(spark, source, new_path(spark, "lake"), AS_OF)
+    assert seen == [True] * 5
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -4,15 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeshelf.operators import versions
-from lakeshelf.operators.joins import broadcast_checked, join_null_safe, measured_bytes
+from lakeshelf.operators.joins import broadcast_checked, estimated_bytes, join_null_safe
 from lakeshelf.operators.layout import bucket, compact, file_stats, held, partition_stats, truncate_number
-from lakeshelf.operators.mutate import DuplicateKeys, delete, merge, merge_metrics, update
+from lakeshelf.operators.mutate import (
+    DuplicateKeys, delete, delete_from, merge, merge_into, merge_metrics, update, update_table,
+)
 from lakeshelf.operators.quality import (
     QualityError, at_least, at_most, codes_with_many_labels, enforce, equal_to, evaluate,
 )
-from lakeshelf.session import new_path, shared_folder, store
+from lakeshelf.session import folders_in, new_path, shared_folder, store
 from lakeshelf.sources.readers import read_delimited, read_jdbc, sniff_separator, unique_names
-from lakeshelf.sources.sinks import BatchRejected, append_evolving, replace_partitions, require_few_values, write_files
+from lakeshelf.sources import sinks
+from lakeshelf.sources.sinks import BatchRejected, append_evolving, replace_partitions, write_files
 from lakeshelf.streaming import files as streams
 
 
@@ -131,6 +134,27 @@ def test_partitioned_compaction_keeps_partitions(spark):
     assert rows(partition_stats(spark.read.parquet(big), ["p"]).select("p", "rows")) == [(0, 34), (1, 33), (2, 33)]
 
 
+def test_partitioned_compaction_keeps_text_and_file_size(spark):
+    small, big = new_path(spark, "small"), new_path(spark, "big")
+    source = spark.range(4000).selectExpr("id", "if(id % 2 = 0, '007', '010') AS p")
+    source.repartition(8).write.partitionBy("p").parquet(small)
+    _, after = compact(spark, small, big, ["p"], file_bytes=file_stats(spark, small)[1] // 6)
+    assert 6 <= after <= 8
+    assert rows(spark.read.schema(source.schema).parquet(big).groupBy("p").count()) == [("007", 2000), ("010", 2000)]
+
+
+def test_one_month_is_written_without_a_shuffle(spark, months, monkeypatch):
+    path, _ = months
+    batch, gathered = spark.range(50).selectExpr("CAST(id AS INT) AS v", "'202601' AS m"), []
+    made = sinks.balanced
+    monkeypatch.setattr(sinks, "balanced", lambda df, *columns: gathered.append(columns) or made(df, *columns))
+    replace_partitions(batch, path, "m")
+    assert gathered == [("m",)]
+    replace_partitions(batch, path, "m", only=["202601"])
+    replace_partitions(batch, path, "m", already_split=True)
+    assert gathered == [("m",)]
+
+
 def test_store_keeps_rows_and_schema(spark):
     df = spark.range(5).withColumn("x", F.lit(None).cast("decimal(12,2)"))
     assert store(spark, df, "t").schema.simpleString() == df.schema.simpleString()
@@ -154,10 +178,9 @@ def test_transforms(spark):
 # --- joins -------------------------------------------------------------------
 
 
-def test_broadcast_only_when_measured_small(spark):
+def test_broadcast_only_when_estimated_small(spark):
     small = spark.range(100)
-    assert 0 < measured_bytes(small) < 10_000
-    assert measured_bytes(small.where("id < 0")) == 0
+    assert 0 < estimated_bytes(small) < 10_000
     big = spark.range(1000)
     with_hint = big.join(broadcast_checked(small), "id")._jdf.queryExecution().toString()
     without = big.join(broadcast_checked(small, max_bytes=10), "id")._jdf.queryExecution().optimizedPlan().toString()
@@ -206,29 +229,53 @@ def test_merge_refuses_duplicate_keys(spark):
 
 
 def test_versions(spark):
-    root = new_path(spark, "v")
     one = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     two = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id int, v string")
-    versions.commit(one, root, 0, "2026-01-01")
-    versions.commit(two, root, 1, "2026-01-02")
-    assert rows(versions.read(spark, root, 0)) == rows(one)
-    assert rows(versions.read(spark, root, as_of="2026-01-01T12")) == rows(one)
-    assert rows(versions.read(spark, root)) == rows(two)
-    changes = versions.diff(versions.read(spark, root, 0), versions.read(spark, root, 1), ["id"])
+    table = versions.stamped(one, 0).unionByName(versions.stamped(two, 1))
+    log = versions.commits(spark, [(0, 0, "2026-01-01", "WRITE"), (1, 1, "2026-01-02", "WRITE"), (2, 2, "2026-01-03", "DELETE")])
+    assert rows(versions.as_of(table, log, 0)) == rows(one)
+    assert rows(versions.as_of(table, log, moment="2026-01-01T12")) == rows(one)
+    assert rows(versions.as_of(table, log, 1)) == rows(two)
+    assert rows(versions.as_of(table, log)) == []  # the last commit emptied it
+    changes = versions.diff(one, two, ["id"])
     assert rows(changes.select("id", "change")) == [(2, "changed"), (3, "added")]
-    back = versions.diff(versions.read(spark, root, 1), versions.read(spark, root, 0), ["id"])
-    assert rows(back.select("id", "change")) == [(2, "changed"), (3, "removed")]
-    assert versions.restore(spark, root, 0, "2026-01-03") == 2
-    assert rows(versions.read(spark, root)) == rows(one)
-    listed, summary = versions.history(spark, root)
-    assert [r["operation"] for r in listed.collect()] == ["WRITE", "WRITE", "RESTORE"]
-    assert tuple(summary.first()) == (0, 2, 3)
-    with pytest.raises(ValueError):
-        versions.read(spark, root, as_of="2025-01-01")
+    assert rows(versions.diff(two, one, ["id"]).select("id", "change")) == [(2, "changed"), (3, "removed")]
+    back = versions.restored(log, 0, "2026-01-04")
+    assert rows(versions.as_of(table, back)) == rows(one)
+    assert [tuple(r) for r in versions.change_log(table, back).collect()] == [
+        (0, "2026-01-01", "WRITE", 2), (1, "2026-01-02", "WRITE", 3), (2, "2026-01-03", "DELETE", 0), (3, "2026-01-04", "RESTORE", 2),
+    ]
     with pytest.raises(ValueError):
-        versions.history(spark)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        versions.commit(one, root, 1, "2026-01-04")
+        versions.as_of(table, log, moment="2025-01-01")
+
+
+@pytest.mark.parametrize("key", [1, None])
+def test_diff_refuses_a_key_held_twice(spark, key):
+    twice = spark.createDataFrame([(key, "x"), (key, "y")], "id int, v string")
+    once = spark.createDataFrame([(key, "y")], "id int, v string")
+    for left, right in ((twice, once), (once, twice)):
+        with pytest.raises(DuplicateKeys):
+            versions.diff(left, right, ["id"])
+
+
+def test_tables_changed_in_place_leave_other_partitions_alone(spark):
+    path, schema = new_path(spark, "t"), "id int, v int, p string"
+    start = spark.createDataFrame([(1, 10, "a"), (2, 20, "a"), (3, 30, "b"), (4, 40, "c"), (5, 50, None)], schema)
+    replace_partitions(start, path, "p")
+
+    def files_of(p):
+        return {r[0] for r in spark.read.schema(schema).parquet(path).where(p).select("_metadata.file_name").collect()}
+
+    def now():
+        return rows(spark.read.schema(schema).parquet(path))
+
+    untouched = files_of("p = 'c'")
+    update_table(spark, path, start.schema, "p", F.col("id") == 1, {"v": F.lit(11)})
+    merge_into(spark, path, start.schema, "p", spark.createDataFrame([(3, 33, "b"), (6, 60, "b")], schema), ["id"])
+    assert now() == rows(spark.createDataFrame([(1, 11, "a"), (2, 20, "a"), (3, 33, "b"), (6, 60, "b"), (4, 40, "c"), (5, 50, None)], schema))
+    delete_from(spark, path, start.schema, "p", (F.col("id") == 2) | (F.col("p") == "b") | F.col("p").isNull())
+    assert now() == [(1, 11, "a"), (4, 40, "c")]
+    assert files_of("p = 'c'") == untouched
 
 
 # --- quality -----------------------------------------------------------------
@@ -258,13 +305,6 @@ def test_codes_with_many_labels(spark):
     assert rows(codes_with_many_labels(df, "code", "label")) == [(2, 2)]
 
 
-def test_partition_columns_with_too_many_values(spark):
-    df = spark.range(50)
-    require_few_values(df, ["id"], 50)
-    with pytest.raises(BatchRejected):
-        require_few_values(df, ["id"], 49)
-
-
 # --- streams -----------------------------------------------------------------
 
 
@@ -282,7 +322,24 @@ def test_upsert_stream_goes_on_where_it_stopped(spark):
         counts = streams.running_counts(streams.json_stream(spark, source, schema), "k")
         running = streams.upsert_tables(counts, ["k"], out, offsets)
         running.awaitTermination()
-        return rows(streams.latest_table(spark, running, out))
+        return rows(streams.latest_table(spark, out))
 
     assert feed([1, 1, 2]) == [(1, 2), (2, 1)]
     assert feed([2, 3]) == [(1, 2), (2, 2), (3, 1)]
+    # A restart that finds nothing new still has the last table, and old ones are gone.
+    for _ in range(2):
+        counts = streams.running_counts(streams.json_stream(spark, source, schema), "k")
+        streams.upsert_tables(counts, ["k"], out, offsets).awaitTermination()
+        assert rows(streams.latest_table(spark, out)) == [(1, 2), (2, 2), (3, 1)]
+    assert feed([4]) == [(1, 2), (2, 2), (3, 1), (4, 1)]
+    assert len(folders_in(spark, out)) <= 2
+
+
+def test_complete_stream_keeps_two_tables(spark):
+    source, out, offsets = (new_path(spark, n) for n in ("in", "out", "offsets"))
+    for values in ([1], [1, 2], [2], [3]):
+        spark.createDataFrame([(v,) for v in values], "k INT").coalesce(1).write.mode("append").json(source)
+        counts = streams.running_counts(streams.json_stream(spark, source, "k INT"), "k")
+        streams.complete_tables(counts, out, offsets).awaitTermination()
+    assert rows(streams.latest_table(spark, out)) == [(1, 2), (2, 2), (3, 1)]
+    assert len(folders_in(spark, out)) == 2

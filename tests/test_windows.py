@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeshelf.operators.aggregates import lists_in_parts, salted_mean
+from lakeshelf.operators.aggregates import discrete_quantiles, lists_in_parts, salted_mean
 from lakeshelf.operators.dedupe import one_per_key
 from lakeshelf.operators.windows import add_windows, hot_keys
 
@@ -42,6 +42,45 @@ def test_pieces_give_what_a_plain_window_gives(rows, order):
     assert as_set(pieced) == as_set(plain)
 
 
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(28,10)", "int", "double"])
+def test_pieces_have_the_types_of_a_plain_window(rows, kind):
+    typed = rows.withColumn("v", (F.col("v") + F.lit(0.25)).cast(kind))
+    plain = add_windows(typed, ["k"], ["o"], ["id"], **ALL)
+    pieced = add_windows(typed, ["k"], ["o"], ["id"], **ALL, group_rows=100)
+    assert pieced.schema.simpleString() == plain.schema.simpleString()
+    assert as_set(pieced) == as_set(plain)
+
+
+def test_quantiles_against_sorted_values(rows):
+    got = discrete_quantiles(rows, ["k"], "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9, "top": 1.0}, group_rows=100)
+    values = {}
+    for r in rows.where("v IS NOT NULL").collect():
+        values.setdefault(r["k"], []).append(r["v"])
+    for r in got.collect():
+        v = sorted(values.pop(r["k"]))
+        want = [v[max(0, -(-q * len(v) // 10) - 1)] for q in (1, 5, 9, 10)]
+        assert [r["p10"], r["p50"], r["p90"], r["top"]] == want
+    assert not values
+
+
+def test_input_with_work_is_computed_once(spark, rows):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    add_windows(rows.mapInPandas(seen, rows.schema), ["k"], ["o"], ["id"], row_number="rn", group_rows=100).collect()
+    assert runs.value == 3000
+
+
+def test_equal_values_of_a_hot_key_are_split(spark):
+    df = spark.range(1000).select("id", F.lit(1).alias("k"), F.lit("x").alias("v"))
+    got = lists_in_parts(df, ["k"], "v", ["id"], part_items=64, group_rows=100).collect()
+    assert sum(r["items"] for r in got) == 1000 and max(r["items"] for r in got) <= 64
+
+
 def test_one_value_fills_a_hot_group(spark):
     df = spark.range(500).select("id", F.lit(1).alias("k"), F.lit(5).alias("o"))
     got = add_windows(df, ["k"], ["o"], ["id"], rank="rk", dense_rank="dr", row_number="rn", group_rows=20)
