@@ -7,9 +7,9 @@ the least similarity that can pass is missed with probability ``MISS`` at most.
 pairs found, the share of the template's shingles of five words that the window holds
 is worked out exactly; from ``SHARE`` on it is a match.
 
-All in Spark's own functions.  Before the windows, texts without any template's key word
-are set aside: a key word stands in more than 1 - ``SHARE`` of a template's shingles, so
-a text without it cannot match.
+All in Spark's own functions.  Only windows with a key word of a template of their length
+are made: it stands in more than 1 - ``SHARE`` of the template's shingles, so a window
+(and a text) without it cannot match.
 
 Defined results: null and empty texts match nothing; templates of fewer than five words
 are refused.  One row for each document row and license, at the window with the largest
@@ -57,9 +57,9 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
 
 
-def shingles(text: Column) -> Column:
+def shingles(w: Column) -> Column:
     """64-bit hashes of all runs of five words, in order."""
-    return let(words(text), lambda w: upto(F.size(w) - SHINGLE, lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, F.lit(SHINGLE)), " "))))
+    return upto(F.size(w) - SHINGLE, lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, F.lit(SHINGLE)), " ")))
 
 
 def stride(n: int) -> int:
@@ -94,7 +94,7 @@ def license_matches(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
                     templates: Sequence[tuple[str, str]] = TEMPLATES, share: float = SHARE, miss: float = MISS) -> DataFrame:
     """doc_id, license, share, start_word, n_words (of the window)."""
     table = spark.createDataFrame([(i, name, t) for i, (name, t) in enumerate(templates)], "template int, license string, t string")
-    known = table.select("template", "license", words(F.col("t")).alias("w"), F.array_distinct(shingles(F.col("t"))).alias("wanted"))
+    known = table.select("template", "license", words(F.col("t")).alias("w"), F.array_distinct(let(words(F.col("t")), shingles)).alias("wanted"))
     listed = [(r["w"], len(r["w"])) for r in known.collect()]  # as many as templates were given
     if any(n < SHINGLE for _, n in listed):
         raise ValueError(f"a template needs {SHINGLE} words or more")
@@ -116,16 +116,25 @@ def license_matches(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id"
     for word in sorted({key_word(w, share) for w, _ in listed}):
         gate = gate | F.contains(F.lower("text"), F.lit(word))
 
-    def of_length(h: Column, n: int) -> Column:
-        width = F.lit(n + stride(n) - SHINGLE + 1)
-        return upto(
-            F.size(h) - 1, lambda s: F.struct(F.lit(n).alias("n"), s.alias("start"), F.slice(h, s + 1, width).alias("held")), stride(n)
+    def of_length(w: Column, h: Column, n: int) -> Column:
+        step, width = stride(n), F.lit(n + stride(n) - SHINGLE + 1)
+        keys = [F.lit(k) for k in sorted({key_word(t, share) for t, size in listed if size == n})]
+        places = F.filter(upto(F.size(w) - 1, lambda i: i), lambda i: F.array_contains(F.array(*keys), F.get(w, i)))
+
+        def around(p: Column) -> Column:
+            first = F.greatest(F.lit(0), F.floor((p - n) / step).cast("int"))
+            return F.transform(F.sequence(first, F.floor(p / step).cast("int")), lambda i: i * step)
+
+        starts = F.array_distinct(F.flatten(F.transform(places, around)))
+        return F.transform(
+            F.filter(starts, lambda s: s < F.size(h)),
+            lambda s: F.struct(F.lit(n).alias("n"), s.alias("start"), F.slice(h, s + 1, width).alias("held")),
         )
 
-    def windows(h: Column) -> Column:
-        return F.concat(*[of_length(h, n) for n in lengths])
+    def windows(w: Column) -> Column:
+        return let(shingles(w), lambda h: F.concat(*[of_length(w, h, n) for n in lengths]))
 
-    spread = source.where(gate).select("row", "doc_id", F.explode(let(shingles(F.col("text")), windows)).alias("win"))
+    spread = source.where(gate).select("row", "doc_id", F.explode(let(words(F.col("text")), windows)).alias("win"))
     spread = spread.select("row", "doc_id", "win.n", "win.start", "win.held")
     spread = spread.select("row", "doc_id", "n", "start", "held", F.posexplode(each_band(F.col("n"), F.col("held"))).alias("band", "least"))
     # As many rows as templates times bands.
