@@ -110,7 +110,8 @@ def mixed(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     # Repeated rows share a key: their copies are added and dealt out evenly.
     times = plan.groupBy("row").agg(F.sum("copies").alias("\x00c"), F.count(F.lit(1)).alias("\x00n")).withColumnRenamed("row", "\x00r")
     times = written(spark, times.where("`\x00c` > 0").select(F.col("`\x00r`").alias("r"), F.col("`\x00c`").alias("c"), F.col("`\x00n`").alias("n")), "copies")
-    times = times.select(*[F.col(c).alias("\x00" + c) for c in ("r", "c", "n")])
+    # Rows meet their copies by a shuffle of both, alike at every size; the narrow side is hashed, texts are not sorted.
+    times = times.select(*[F.col(c).alias("\x00" + c) for c in ("r", "c", "n")]).hint("shuffle_hash")
     once = docs.withColumn("\x00row", row).join(times, F.col("`\x00row`") == F.col("`\x00r`"))
     repeated = times.where("`\x00n` > 1")
     if not repeated.isEmpty():
