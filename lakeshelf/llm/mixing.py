@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm.common import WORD, ordered_prefix, written
@@ -61,14 +61,19 @@ def targets(spark: SparkSession, sources: DataFrame, weights: Sequence[float] =
     return table.select("source", "source_size", "weight", F.least(top, share).alias("target"))
 
 
-def unit(*parts) -> F.Column:
-    """A number in [0, 1) that depends on ``parts`` alone."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+def lot(seed: int, *parts: Column) -> Column:
+    """A hash of ``parts`` that SQL engines share."""
+    return F.md5(F.concat_ws("|", F.lit(seed), *parts))
 
 
-def copies(step, rank, offset) -> F.Column:
+def offset(seed: int, draw: int, source: Column) -> Column:
+    """A number in [0, 1) for each draw and source, from 52 bits of the hash."""
+    return F.conv(F.substring(lot(seed, F.lit(draw), source), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def copies(step: Column, rank: Column, start: Column) -> Column:
     """Integer boundaries crossed by the step to prefix sum ``step * (rank + 1)``."""
-    return F.floor(offset + step * (rank + 1)) - F.floor(offset + step * rank)
+    return F.floor(start + step * (rank + 1)) - F.floor(start + step * rank)
 
 
 def mix(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -83,21 +88,21 @@ def _mix(spark: SparkSession, sizes: DataFrame, weights: Sequence[float], ceilin
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = targets(spark, per_source, weights, ceiling)
     step = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    goals = written(spark, goals.withColumn("step", step).withColumnRenamed("source", "of"), "targets")
-    order = [F.col("size").desc(), F.xxhash64(F.lit(seed), *extra).asc()]
+    starts = F.array(*[offset(seed, i, F.col("source")) for i in range(draws)])
+    goals = written(spark, goals.withColumns({"step": step, "starts": starts}).withColumnRenamed("source", "of"), "targets")
+    order = [F.col("size").desc(), lot(seed, *[F.col(c) for c in extra]).asc()]
     ranked = ordered_prefix(spark, sizes.withColumn("_one", F.lit(1)), order, "_one", "rank", group="source", name="ranks").drop("_one")
     same = F.col("source").eqNullSafe(F.col("of"))
     ranked = ranked.join(goals, same)
-    tries = [unit(F.lit(seed), F.col("of"), F.lit(i)) for i in range(draws)]
+    tries = [F.get("starts", F.lit(i)) for i in range(draws)]
     far = ranked.groupBy("of").agg(
         F.first("target").alias("target"), *[F.sum(F.col("size") * copies(F.col("step"), F.col("rank"), u)).alias(f"t{i}") for i, u in enumerate(tries)]
     )
     # The nearest draw; of equally near ones the first.
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{i}") - F.col("target")).alias("d"), F.lit(i).alias("i")) for i in range(draws)]))
     best = far.select(F.col("of").alias("of2"), nearest["i"].alias("draw"))
-    offset = unit(F.lit(seed), F.col("of"), F.col("draw"))
     ranked = ranked.join(best, F.col("of").eqNullSafe(F.col("of2")))
-    taken = copies(F.col("step"), F.col("rank"), offset).cast("long")
+    taken = copies(F.col("step"), F.col("rank"), F.get("starts", F.col("draw"))).cast("long")
     return ranked.select(*extra, "source", "size", "source_size", "target", taken.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 

@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm import (
-    decontaminate, licenses, mixing, passages, quality, secrets, sharding, simhash, token_files, toxicity,
+    decontaminate, licenses, mixing, passages, quality, secrets, sharding, simhash, token_files, toxicity, twins,
 )
 from lakeshelf.llm.common import documents
 from lakeshelf.llm.registry import query
 
 
-@query("op2_systematic_mix")
+@query("op2_systematic_mix", twins.mix_sql())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, documents(spark, sf_dir))
 
@@ -55,7 +55,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, documents(spark, sf_dir), labels)
 
 
-@query("op1_license_windows")
+@query("op1_license_windows", twins.license_sql())
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_matches(spark, documents(spark, sf_dir))
 
