@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +35,12 @@ from lakeshelf.llm.common import written
 from lakeshelf.session import new_path
 
 END_ID = 1
-FILE_BYTES = 64 << 20  # of text in a file
-CACHE_WORDS = 400_000  # words a worker remembers; then it starts anew
+FILE_BYTES = 32 << 20  # of text in a file
+KEPT_WORDS = 500_000  # words met again that a worker remembers
+NEW_WORDS = 500_000  # words met once that it remembers in the meantime
 ORC = {
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.row.index.stride": "2000",
-    "orc.stripe.size": str(32 << 20), "orc.create.index": "true", "compression": "zstd",
+    "orc.stripe.size": str(32 << 20), "orc.create.index": "true", "compression": "snappy",
 }
 
 
@@ -45,24 +48,71 @@ class Encoder:
     """Texts to ids, word by word."""
 
     def __init__(self, model: str, end_id: int) -> None:
-        self.model, self.end = Tokenizer.from_str(model), np.array([end_id], np.int32).tobytes()
-        # Kept with the library's module, so the next task of this worker finds it.
-        held = vars(tokenizers).setdefault("_words_by_model", {})
-        self.known: dict[bytes, bytes] = held.setdefault(zlib.crc32(model.encode()), {})
-
-    def encode(self, text: bytes | None) -> bytes:
-        """The ids as little-endian 32-bit integers, end id included."""
-        words, known = (text or b"").split(), self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for i in range(0, len(new), 10_000):
-                part = new[i : i + 10_000]
-                found = self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-                known.update((w, np.array(x.ids, "<i4").tobytes()) for w, x in zip(part, found, strict=True))
-        return b"".join(map(known.__getitem__, words)) + self.end
+        self.end = array("i", [end_id]).tobytes()
+        # Kept with the library's module, so the next task of this worker finds it: the tokenizer, its
+        # word-end tokens, the words met again, and those met once; most words come only once.
+        held, key = vars(tokenizers).setdefault("_words_by_model", {}), zlib.crc32(model.encode())
+        if key not in held:
+            made = Tokenizer.from_str(model)
+            ends = np.zeros(made.get_vocab_size(with_added_tokens=True), bool)
+            ends[[i for token, i in made.get_vocab().items() if token.endswith("</w>")]] = True
+            held[key] = (made, ends, [{}, {}])
+        self.model, self.ends, (self.known, self.once) = held[key]
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """For each text its ids as little-endian 32-bit integers, end id included."""
+        known, once = self.known, self.once
+        for words, most in ((known, KEPT_WORDS), (once, NEW_WORDS)):
+            if len(words) > most:
+                words.clear()
+        split = [token_words(t or b"") for t in texts]
+        new = set(filterfalse(known.__contains__, chain.from_iterable(split)))
+        new -= self._again(new)
+        # A mark after a letter at a word's end is a token of its own.
+        marked = [w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()]
+        bases = {w[:-1] for w in marked}.difference(known, new)
+        bases -= self._again(bases)
+        letters, others = [], []
+        for word in chain(new.difference(marked), bases):
+            (letters if word.isalpha() or (not word.isascii() and word.decode("utf-8", "replace").isalpha()) else others).append(word)
+        marks = {w[-1:] for w in marked}.difference(known, others)
+        self._learn(letters, [*others, *marks])
+        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in marked)
+        made = [b"".join(map(known.__getitem__, words)) + self.end for words in split]
+        once.update((w, known.pop(w)) for w in chain(letters, others, marked))
+        return made
+
+    def _again(self, words: set[bytes]) -> set[bytes]:
+        """Those of ``words`` met once before; they are kept from now on."""
+        found = self.once.keys() & words
+        self.known.update((w, self.once.pop(w)) for w in found)
+        return found
+
+    def _learn(self, letters: list[bytes], others: list[bytes]) -> None:
+        """Words of letters alone are one token run each, so many go in one text and are cut at word ends."""
+        known = self.known
+        groups = [letters[i : i + 64] for i in range(0, len(letters), 64)]
+        for i in range(0, len(groups), 32):
+            part = groups[i : i + 32]
+            texts = [b" ".join(g).decode("utf-8", "replace") for g in part]
+            for group, made in zip(part, self.model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(made.ids, "<i4")
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                if cuts.size != len(group):  # not one run a word after all
+                    others = [*others, *group]
+                    continue
+                data, cuts = ids.tobytes(), (4 * cuts).tolist()
+                known.update((w, data[a:b]) for w, a, b in zip(group, [0, *cuts], cuts))
+        for i in range(0, len(others), 2000):
+            part = others[i : i + 2000]
+            found = self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
+            known.update((w, array("i", x.ids).tobytes()) for w, x in zip(part, found, strict=True))
+
+
+def token_words(text: bytes) -> list[bytes]:
+    """Parts of a text that the tokenizer never joins; it lower-cases anyway, so fewer different ones
+    are left to encode.  Texts that may hold a special token stay as they are."""
+    return text.split() if b"<|" in text else text.lower().split()
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, model: str, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -84,9 +134,9 @@ def write_tokens(spark: SparkSession, docs: DataFrame, model: str, path: str, do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, encoder = TaskContext.get().partitionId(), 0, Encoder(model, end_id)
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                piece = batch.slice(i, 512)
-                made = [encoder.encode(t) for t in piece.column(1).to_pylist()]
+            for i in range(0, batch.num_rows, 1024):
+                piece = batch.slice(i, 1024)
+                made = encoder.encode(piece.column(1).to_pylist())
                 sizes = np.fromiter((len(m) // 4 for m in made), np.int64, len(made))
                 ends = np.cumsum(sizes)
                 ids = pa.ListArray.from_arrays(

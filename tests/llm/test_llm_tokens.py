@@ -54,7 +54,8 @@ def test_digests(spark, rows):
 
 
 def test_a_full_word_store_changes_nothing(monkeypatch, rows):
-    monkeypatch.setattr(token_files, "CACHE_WORDS", 5)
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 5)
+    monkeypatch.setattr(token_files, "NEW_WORDS", 7)
     with open(PATH, encoding="utf-8") as file:
         encoder = token_files.Encoder(file.read(), 1)
     for _, text, _ in rows[:30]:
