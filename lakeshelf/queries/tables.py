@@ -504,12 +504,12 @@ def mut_delete_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "mut_merge_table",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, o_orderstatus
-FROM orders UNION ALL SELECT -o_orderkey, -o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'""",
+FROM orders UNION ALL SELECT -1 - o_orderkey, -o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'""",
 )
 def mut_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, orders = _order_table(spark, sf_dir)
     changed = orders.where("o_orderstatus = 'P'").withColumn("o_totalprice", -c("o_totalprice"))
-    source = changed.unionByName(changed.withColumn("o_orderkey", -c("o_orderkey")))
+    source = changed.unionByName(changed.withColumn("o_orderkey", -1 - c("o_orderkey")))
     merge_into(spark, path, orders.schema, "o_orderstatus", source, ["o_orderkey"])
     return spark.read.schema(orders.schema).parquet(path)
 
