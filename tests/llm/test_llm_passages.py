@@ -51,8 +51,8 @@ def test_every_repeated_run_is_covered(spark):
         for i in range(len(w) - passages.PASSAGE + 1):
             if len(windows[tuple(w[i : i + passages.PASSAGE])]) > 1:
                 repeated.add(d)
-                # Two texts may agree by chance for a word or two beyond what both share with the source.
-                assert any(a <= i + 2 and i + passages.PASSAGE - 2 <= b for a, b in covered[d]), (d, i, covered[d])
+                # Two texts may agree for a few words beyond what both share with the source, as next to an edit of it.
+                assert any(a <= i + 8 and i + passages.PASSAGE - 8 <= b for a, b in covered[d]), (d, i, covered[d])
     assert 400 in covered and set(covered) - {400} <= repeated
     firsts = {r.source_doc_id for r in found if not r.first}
     assert firsts <= set(covered)
