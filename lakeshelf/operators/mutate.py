@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
+from lakeshelf.operators.joins import join_null_safe
 from lakeshelf.session import remove_folder, store
 from lakeshelf.sources.sinks import replace_partitions
 
@@ -89,8 +90,11 @@ def merge_into(
     A key must not move to another partition.
     """
     target = spark.read.schema(schema).parquet(path)
-    touched = source.select(partition).distinct()
-    old = target.join(touched, partition, "left_semi")
+    place = F.col(partition)
+    if isinstance(schema[partition].dataType, StringType):
+        place = F.nullif(place, F.lit(""))  # both are written to the folder of NULL
+    touched = source.select(place.alias(partition)).distinct()
+    old = join_null_safe(target, touched, [partition], "left_semi")
     _rewrite(merge(old, source, keys), path, partition)
 
 
@@ -100,7 +104,7 @@ def update_table(
     """UPDATE applied to a partitioned table: only partitions with a changed row are written again."""
     target = spark.read.schema(schema).parquet(path)
     touched = target.where(F.coalesce(where, F.lit(False))).select(partition).distinct()
-    _rewrite(update(target.join(touched, partition, "left_semi"), where, values), path, partition)
+    _rewrite(update(join_null_safe(target, touched, [partition], "left_semi"), where, values), path, partition)
 
 
 def delete_from(spark: SparkSession, path: str, schema: StructType, partition: str, where: Column) -> None:
@@ -109,7 +113,8 @@ def delete_from(spark: SparkSession, path: str, schema: StructType, partition: s
     hit = F.coalesce(where, F.lit(False))
     sizes = target.groupBy(partition).agg(F.count_if(hit).alias("gone"), F.count(F.lit(1)).alias("n"))
     touched = store(spark, sizes.where("gone > 0"), "touched")
-    _rewrite(delete(target.join(touched.where("gone < n").select(partition), partition, "left_semi"), where), path, partition)
+    left = join_null_safe(target, touched.where("gone < n").select(partition), [partition], "left_semi")
+    _rewrite(delete(left, where), path, partition)
     for row in touched.where("gone = n").select(F.coalesce(F.col(partition).cast("string"), F.lit(NULL_FOLDER)).alias("p")).toLocalIterator():
         remove_folder(spark, f"{path}/{partition}={row['p']}")  # one folder name at a time
 

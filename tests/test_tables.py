@@ -278,6 +278,27 @@ def test_tables_changed_in_place_leave_other_partitions_alone(spark):
     assert files_of("p = 'c'") == untouched
 
 
+def test_tables_changed_in_place_keep_the_rows_without_a_partition(spark):
+    schema = "id int, v int, p string"
+    start = spark.createDataFrame([(1, 10, "a"), (2, 20, None), (3, 30, None), (4, 40, "c")], schema)
+
+    def changed(change):
+        path = new_path(spark, "t")
+        replace_partitions(start, path, "p")
+        change(path)
+        return rows(spark.read.schema(schema).parquet(path))
+
+    def merged(*source):
+        return changed(lambda path: merge_into(spark, path, start.schema, "p", spark.createDataFrame(source, schema), ["id"]))
+
+    assert merged((2, 22, None), (5, 50, None)) == [(1, 10, "a"), (2, 22, None), (3, 30, None), (4, 40, "c"), (5, 50, None)]
+    assert merged((2, 22, "")) == [(1, 10, "a"), (2, 22, None), (3, 30, None), (4, 40, "c")]
+    updated = changed(lambda path: update_table(spark, path, start.schema, "p", F.col("id") <= 2, {"v": F.lit(0)}))
+    assert updated == [(1, 0, "a"), (2, 0, None), (3, 30, None), (4, 40, "c")]
+    left = changed(lambda path: delete_from(spark, path, start.schema, "p", F.col("id") == 2))
+    assert left == [(1, 10, "a"), (3, 30, None), (4, 40, "c")]
+
+
 # --- quality -----------------------------------------------------------------
 
 
