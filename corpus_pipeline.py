@@ -9,7 +9,7 @@ from lakeshelf.llm.common import documents, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, bands=quality.fitted(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_compression_bands")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(documents(spark, sf_dir), keep=["doc_id"])
+    docs = documents(spark, sf_dir)
+    bands = quality.fitted(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.quality(docs, keep=["doc_id"], bands=bands)
 
 
 @query("op4_simhash_trie")
