@@ -2,6 +2,8 @@
 
 1. Seeds.  Of the hashed runs of ``K`` words of a text, the least of every ``SPAN``
    neighbours is a seed, so two texts that share ``K + SPAN - 1`` words share a seed there.
+   Every run of four words is one: a passage of 50 words or more of which a fifth is
+   replaced leaves four words in a row somewhere.
 2. Join.  A seed found in several texts leads from each of them to one place, in the
    text with the least hash among them: links grow with the seeds, not with their pairs.
    A seed in very many texts is pre-aggregated for its place and split by the join.
@@ -38,8 +40,10 @@ from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, St
 
 from lakeshelf.llm.common import written
 
-K = 8
-SPAN = 10
+K = 4
+SPAN = 1
+STRETCH = 10  # a run that comes again within so few words is numbered
+THIN = 8  # of links that follow each other word by word, every eighth is chained, and both ends
 GAP_COST = 1 / 64  # of a link, for each word skipped in either text
 MAX_GAP = 64  # words between neighbours of a chain
 EXTEND = 48  # words tried beyond either end; more than seeds can leave out
@@ -47,6 +51,7 @@ DROP = 6  # an extension ends when its score falls so far below its best
 RUN = 20
 PASSAGE = 50
 EDITS = 0.2  # of a run's words
+OUT_ROWS = 100_000  # seeds a task gathers before it hands them on
 
 _APART = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -77,11 +82,13 @@ def seeds(codes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.ndarray,
         parts = [windows[i : i + 65_536].argmin(axis=1) + np.arange(i, min(i + 65_536, len(windows))) for i in range(0, len(windows), 65_536)]
         at = np.unique(np.concatenate(parts))
     found = run[at]
-    # In a stretch of one repeated run every place is a least one; every ``span``-th stays,
-    # as itself and with its number in the stretch, so that stretches also link in order.
-    again = np.concatenate(([False], (found[1:] == found[:-1]) & (np.diff(at) < span)))
+    # In a stretch of repeated words every ``STRETCH``-th place of a run stays, as itself
+    # and with its number in the stretch, so that stretches also link in order.
+    order = np.lexsort((at, found))
+    at, found = at[order], found[order]
+    again = np.concatenate(([False], (found[1:] == found[:-1]) & (np.diff(at) < STRETCH)))
     stretch = np.arange(at.size) - np.maximum.accumulate(np.where(again, 0, np.arange(at.size)))
-    keep = stretch % span == 0
+    keep = stretch % STRETCH == 0
     at, found, stretch = at[keep], found[keep], stretch[keep]
     numbered = stretch > 0
     counted = found[numbered] + stretch[numbered].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -99,20 +106,26 @@ def _hashed(docs: DataFrame, text: str) -> DataFrame:
 def occurrences(hashed: DataFrame) -> DataFrame:
     """(th, seed, pos); a task takes equal texts once."""
 
+    def flush(*held: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=["th", "seed", "pos"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
-            texts, places, hashes = [], [], []
-            for th, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if th not in done:
-                    done.add(th)
-                    at, found = seeds(word_codes(text))
-                    texts.append(np.full(at.size, th, np.int64))
+            texts, places, hashes, held = [], [], [], 0
+            for th, text in zip(batch.column(0), batch.column(1), strict=True):
+                if th.as_py() not in done:
+                    done.add(th.as_py())
+                    at, found = seeds(word_codes(text.as_py()))
+                    texts.append(np.full(at.size, th.as_py(), np.int64))
                     places.append(at.astype(np.int32))
                     hashes.append(found)
+                    held += at.size
+                    if held > OUT_ROWS:
+                        yield flush(texts, hashes, places)
+                        texts, places, hashes, held = [], [], [], 0
             if texts:
-                columns = [pa.array(np.concatenate(x)) for x in (texts, hashes, places)]
-                yield pa.RecordBatch.from_arrays(columns, names=["th", "seed", "pos"])
+                yield flush(texts, hashes, places)
 
     return hashed.mapInArrow(run, SEED)
 
@@ -188,6 +201,12 @@ def chains(links: list[tuple[int, int]], gap_cost: float = GAP_COST, max_gap: in
     return out
 
 
+def thinned(links: list[tuple[int, int]], thin: int = THIN) -> list[tuple[int, int]]:
+    """Without most links that lie between two neighbours on their diagonal; what they join stays joined."""
+    held = set(links)
+    return [(x, y) for x, y in held if x % thin == 0 or (x - 1, y - 1) not in held or (x + 1, y + 1) not in held]
+
+
 def distance(a: np.ndarray, b: np.ndarray) -> int:
     """Edit distance of two short word runs."""
     row = list(range(len(b) + 1))
@@ -243,7 +262,7 @@ def chained(linked: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for th, rth, links in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for chain in chains([(x["pos"], x["rpos"]) for x in links]):
+                for chain in chains(thinned([(x["pos"], x["rpos"]) for x in links])):
                     (x, y), (x2, y2) = chain[0], chain[-1]
                     alo, blo = max(0, x - EXTEND), max(0, y - EXTEND)
                     places = np.array([(p - alo, q - blo) for p, q in chain], "<i4").tobytes()

@@ -111,3 +111,34 @@ def test_distance():
 
 def test_empty_table(spark):
     assert passages.repeated_passages(spark, table(spark, [])).count() == 0
+
+
+def edited_pairs(gap, n=60):
+    """Pairs of documents that share 60 words, of which every ``gap``-th is replaced in one of them."""
+    draw, rows = random.Random(gap), []
+    for i in range(n):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(60)]
+        other, start = list(words), draw.randrange(gap)
+        other[start::gap] = [f"e{draw.randrange(10**6)}" for _ in other[start::gap]]
+        for side, held in enumerate((words, other)):
+            around = [[f"v{draw.randrange(10**6)}" for _ in range(30)] for _ in range(2)]
+            rows.append((2 * i + side, " ".join(around[0] + held + around[1]), "s"))
+    return rows
+
+
+def test_edited_passages_are_found(spark):
+    for gap, least in ((5, 0.8), (6, 0.95), (8, 1.0), (12, 1.0)):
+        found = passages.repeated_passages(spark, table(spark, edited_pairs(gap))).collect()
+        pairs = {r.doc_id // 2 for r in found if not r.first and r.source_doc_id // 2 == r.doc_id // 2}
+        print("every", gap, len(pairs), "of 60")
+        assert len(pairs) >= least * 60
+
+
+def test_any_fifth_of_a_passage_edited_leaves_a_seed():
+    draw = random.Random(2)
+    for _ in range(300):
+        words = np.array([draw.randrange(2**32) for _ in range(passages.PASSAGE)], np.uint32)
+        other = words.copy()
+        for i in draw.sample(range(passages.PASSAGE), int(passages.EDITS * passages.PASSAGE)):
+            other[i] = draw.randrange(2**32)
+        assert set(passages.seeds(words)[1].tolist()) & set(passages.seeds(other)[1].tolist())
