@@ -1,4 +1,4 @@
-"""The ten registered queries: thin digests of what the operators give."""
+"""The registered queries: thin digests of what the operators give."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshelf.llm import (
-    decontaminate, licenses, mixing, passages, quality, secrets, sharding, simhash, token_files, toxicity, twins,
+    decontaminate, factor_quality, licenses, mixing, passages, quality, resampling, secrets, sharding, simhash,
+    token_files, toxicity, twins, vector_codes,
 )
 from lakeshelf.llm.common import documents
 from lakeshelf.llm.registry import query
@@ -79,3 +80,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_seed_chains")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(spark, documents(spark, sf_dir))
+
+
+@query("op11_factor_quality")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return factor_quality.score(spark, documents(spark, sf_dir), labels)
+
+
+@query("op12_active_codes", twins.codes_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_codes.compressed(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op13_kernel_resampling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    rows = resampling.resample(spark, documents(spark, sf_dir), target)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import licenses, mixing
+from lakeshelf.llm import licenses, mixing, vector_codes
 
 
 def mix_sql(seed: int = mixing.SEED, draws: int = mixing.DRAWS, ceiling: int = mixing.CEILING) -> str:
@@ -57,3 +57,30 @@ best AS (SELECT doc_id, license, share, start, n + step AS width FROM shares WHE
 SELECT doc_id, license, share, CAST(start AS INTEGER) AS start_word, CAST(width AS INTEGER) AS n_words FROM best x
 WHERE NOT EXISTS (SELECT 1 FROM best y WHERE y.doc_id = x.doc_id AND y.share > x.share
   AND y.start < x.start + x.width AND x.start < y.start + y.width)"""
+
+
+def codes_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """Lloyd's rounds written out, every part against every entry in every round."""
+    away = "CAST(list_sum(list_transform(list_zip(x.v, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, x.p, min(struct_pack(d := {away}, e := b.e)) AS near
+  FROM parts x JOIN b{r} b ON x.p = b.p GROUP BY vec_id, x.p)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT p, e, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT x.p, near.e AS e,
+  unnest(range(1, len(v) + 1)) AS place, unnest(v) AS x FROM parts x JOIN a{r} USING (vec_id, p)) GROUP BY p, e, place),
+n{r} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM m{r} GROUP BY p, e),
+b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.c, b.c) AS c FROM b{r} b LEFT JOIN n{r} n ON b.p = n.p AND b.e = n.e)""")
+    cut = f"v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})]"
+    return f"""WITH kept AS MATERIALIZED (SELECT vec_id, label,
+  list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE}.0::DOUBLE * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, p, {cut} AS v FROM kept CROSS JOIN range({parts}) t(p)),
+first AS (SELECT v, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {entries}),
+b0 AS MATERIALIZED (SELECT p, e, {cut} AS c FROM first CROSS JOIN range({parts}) t(p)),
+{", ".join(steps)},
+coded AS (SELECT vec_id, string_agg(lower(printf('%02x', CAST(near.e AS INTEGER))), '' ORDER BY p) AS code,
+  CAST(sum(near.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS digest FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id) CROSS JOIN books"""
