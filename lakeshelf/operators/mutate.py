@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from lakeshelf.operators.joins import join_null_safe
-from lakeshelf.session import remove_folder, store
-from lakeshelf.sources.sinks import replace_partitions
+from lakeshelf.session import new_path, remove_folder, subfolders
+from lakeshelf.sources.sinks import replace_partitions, write_partitioned
 
 
 def update(df: DataFrame, where: Column, values: Mapping[str, Column]) -> DataFrame:
@@ -32,10 +33,6 @@ class DuplicateKeys(ValueError):
     """The merge source holds a key more than once."""
 
 
-# What Spark names the folder of a NULL partition value.
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
 def _whole(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
@@ -85,43 +82,103 @@ def merge_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 def merge_into(
     spark: SparkSession, path: str, schema: StructType, partition: str, source: DataFrame, keys: Sequence[str]
 ) -> None:
-    """MERGE applied to a partitioned table: only partitions that hold a matched or a new row are written again.
+    """MERGE applied to a partitioned table: only partitions that hold a matched row or take a new one are written again.
 
-    A key must not move to another partition.
+    Keys are looked up in the whole table, so a matched row leaves its old partition
+    when the source has it in another one.
     """
+    require_unique(source, keys)
+    rows = source.select(*schema.names)
     target = spark.read.schema(schema).parquet(path)
-    place = F.col(partition)
-    if isinstance(schema[partition].dataType, StringType):
-        place = F.nullif(place, F.lit(""))  # both are written to the folder of NULL
-    touched = source.select(place.alias(partition)).distinct()
-    old = join_null_safe(target, touched, [partition], "left_semi")
-    _rewrite(merge(old, source, keys), path, partition)
+    matched = target.select(*keys, _folder()).join(rows.select(*keys), list(keys), "left_semi")
+
+    def change(old: DataFrame) -> DataFrame:
+        return merge(old, rows, keys, checked=True)
+
+    _rewrite(spark, path, schema, partition, matched, rows.select(partition), change)
 
 
 def update_table(
     spark: SparkSession, path: str, schema: StructType, partition: str, where: Column, values: Mapping[str, Column]
 ) -> None:
-    """UPDATE applied to a partitioned table: only partitions with a changed row are written again."""
+    """UPDATE applied to a partitioned table: only partitions with a changed row are written again.
+
+    SET may name the partition column: the partitions that take the moved rows are
+    written again too, with what they held before.
+    """
     target = spark.read.schema(schema).parquet(path)
-    touched = target.where(F.coalesce(where, F.lit(False))).select(partition).distinct()
-    _rewrite(update(join_null_safe(target, touched, [partition], "left_semi"), where, values), path, partition)
+    hit = target.where(F.coalesce(where, F.lit(False)))
+    arriving = update(hit, where, values).select(partition) if partition in values else None
+
+    def change(old: DataFrame) -> DataFrame:
+        return update(old, where, values)
+
+    _rewrite(spark, path, schema, partition, hit.select(_folder()), arriving, change)
 
 
 def delete_from(spark: SparkSession, path: str, schema: StructType, partition: str, where: Column) -> None:
     """DELETE applied to a partitioned table: partitions with a deleted row are written again, emptied ones removed."""
     target = spark.read.schema(schema).parquet(path)
-    hit = F.coalesce(where, F.lit(False))
-    sizes = target.groupBy(partition).agg(F.count_if(hit).alias("gone"), F.count(F.lit(1)).alias("n"))
-    touched = store(spark, sizes.where("gone > 0"), "touched")
-    left = join_null_safe(target, touched.where("gone < n").select(partition), [partition], "left_semi")
-    _rewrite(delete(left, where), path, partition)
-    for row in touched.where("gone = n").select(F.coalesce(F.col(partition).cast("string"), F.lit(NULL_FOLDER)).alias("p")).toLocalIterator():
-        remove_folder(spark, f"{path}/{partition}={row['p']}")  # one folder name at a time
-
-
-def _rewrite(rows: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions of ``rows``; they are read from the same files, so they are stored before."""
-    spark = rows.sparkSession
-    kept = store(spark, rows, "rewritten")
-    if not kept.isEmpty():
-        replace_partitions(kept, path, partition)
+
+    def change(old: DataFrame) -> DataFrame:
+        return delete(old, where)
+
+    hit = target.where(F.coalesce(where, F.lit(False)))
+    _rewrite(spark, path, schema, partition, hit.select(_folder()), None, change)
+
+
+FOLDER = "_folder"
+
+
+def _folder() -> Column:
+    """The name of the partition folder a row was read from, escaped as file paths are."""
+    return F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias(FOLDER)
+
+
+def _folders(spark: SparkSession, path: str, schema: StructType, partition: str, hit: DataFrame, arriving: DataFrame | None) -> list[str]:
+    """Folders of the rows hit, and those that already hold a value of ``arriving``.
+
+    They are the names on disk, taken from the files: a value may be escaped there
+    (``a:b``), spelt otherwise (``007`` read as 7) or NULL.  One name per partition comes here.
+    """
+    found = hit.select(FOLDER)
+    if arriving is not None:
+        place = F.col(partition)
+        if isinstance(schema[partition].dataType, StringType):
+            place = F.nullif(place, F.lit(""))  # both are written to the folder of NULL
+        # Values of all partitions: read from the paths, no column of the files is.
+        known = spark.read.schema(schema).parquet(path).select(partition, _folder()).distinct()
+        wanted = arriving.select(place.alias(partition)).distinct()
+        found = found.union(join_null_safe(known, wanted, [partition], "left_semi").select(FOLDER))
+    return sorted(unquote(r[FOLDER]) for r in found.distinct().toLocalIterator())
+
+
+def _rewrite(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    partition: str,
+    hit: DataFrame,
+    arriving: DataFrame | None,
+    change: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Put ``change`` of the folders in place of those folders.
+
+    The new rows are stored first, split like the table: they are read from the files
+    they replace.  Folders that got new rows are replaced, then those left
+    without any are removed; a MERGE stopped in between ends right when it is run again.
+    """
+    folders = _folders(spark, path, schema, partition, hit, arriving)
+    if not folders and arriving is None:
+        return
+    reader = spark.read.schema(schema).option("basePath", path)
+    old = reader.parquet(*[f"{path}/{f}" for f in folders]) if folders else spark.createDataFrame([], schema)
+    staged = new_path(spark, "rewritten")
+    write_partitioned(change(old), staged, [partition])
+    made = subfolders(spark, staged)
+    if made:
+        replace_partitions(spark.read.schema(schema).parquet(staged), path, partition, already_split=True)
+    for folder in folders:
+        if folder not in made and not remove_folder(spark, f"{path}/{folder}"):
+            raise FileNotFoundError(f"no folder {path}/{folder} to remove")
+    remove_folder(spark, staged)

@@ -470,47 +470,59 @@ def mut_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Orders as a table split by status."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    """Orders as a table split by a status whose text is escaped in folder names; NULL for status O."""
+    status = F.when(c("o_orderstatus") != "O", F.concat("o_orderstatus", F.lit(": 100%/day")))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", status.alias("status"))
     path = new_path(spark, "ordertable")
-    write_partitioned(orders, path, ["o_orderstatus"])
+    write_partitioned(orders, path, ["status"])
     return path, orders
 
 
+ORDER_TABLE_SQL = """(SELECT o_orderkey, o_totalprice,
+  CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus || ': 100%/day' END AS status FROM orders)"""
+
+
 @query(
     "mut_update_table",
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice < 100000 THEN 0.0 ELSE o_totalprice END AS o_totalprice,
-  o_orderstatus FROM orders""",
+    f"""SELECT o_orderkey, CASE WHEN o_totalprice < 100000 THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_totalprice >= 100000 THEN status WHEN status IS NULL THEN 'F: 100%/day' WHEN status LIKE 'P%' THEN 'new'
+  END AS status FROM {ORDER_TABLE_SQL}""",
 )
 def mut_update_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheap orders move: those without a status to F, those of P to a new one, those of F to none."""
     path, orders = _order_table(spark, sf_dir)
-    cheap = (c("o_orderstatus") == "P") & (c("o_totalprice") < 100000)
-    update_table(spark, path, orders.schema, "o_orderstatus", cheap, {"o_totalprice": F.lit(0.0)})
+    moved = F.when(c("status").isNull(), "F: 100%/day").when(c("status").startswith("P"), "new")
+    update_table(spark, path, orders.schema, "status", c("o_totalprice") < 100000, {"o_totalprice": F.lit(0.0), "status": moved})
     return spark.read.schema(orders.schema).parquet(path)
 
 
 @query(
     "mut_delete_table",
-    """SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders
-WHERE NOT (o_orderstatus = 'P' OR (o_orderstatus = 'F' AND o_totalprice < 100000))""",
+    f"""SELECT o_orderkey, o_totalprice, status FROM {ORDER_TABLE_SQL}
+WHERE NOT coalesce(status LIKE 'P%' OR (status LIKE 'F%' AND o_totalprice < 100000), false)""",
 )
 def mut_delete_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of P go, so its folder does; cheap ones of F go."""
     path, orders = _order_table(spark, sf_dir)
-    gone = (c("o_orderstatus") == "P") | ((c("o_orderstatus") == "F") & (c("o_totalprice") < 100000))
-    delete_from(spark, path, orders.schema, "o_orderstatus", gone)
+    gone = c("status").startswith("P") | (c("status").startswith("F") & (c("o_totalprice") < 100000))
+    delete_from(spark, path, orders.schema, "status", gone)
     return spark.read.schema(orders.schema).parquet(path)
 
 
 @query(
     "mut_merge_table",
-    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, o_orderstatus
-FROM orders UNION ALL SELECT -1 - o_orderkey, -o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'""",
+    f"""SELECT o_orderkey, CASE WHEN status LIKE 'P%' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN status LIKE 'P%' AND o_totalprice < 100000 THEN 'F: 100%/day' WHEN status NOT LIKE 'P%' THEN status END AS status
+FROM {ORDER_TABLE_SQL}
+UNION ALL SELECT -1 - o_orderkey, -o_totalprice, 'new: 1/2' FROM {ORDER_TABLE_SQL} WHERE status LIKE 'P%'""",
 )
 def mut_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of P move to F or to no status; as many new keys come in a partition of their own."""
     path, orders = _order_table(spark, sf_dir)
-    changed = orders.where("o_orderstatus = 'P'").withColumn("o_totalprice", -c("o_totalprice"))
-    source = changed.unionByName(changed.withColumn("o_orderkey", -1 - c("o_orderkey")))
-    merge_into(spark, path, orders.schema, "o_orderstatus", source, ["o_orderkey"])
+    changed = orders.where(c("status").startswith("P")).withColumn("o_totalprice", -c("o_totalprice"))
+    moved = changed.withColumn("status", F.when(c("o_totalprice") > -100000, "F: 100%/day"))
+    added = changed.withColumns({"o_orderkey": -1 - c("o_orderkey"), "status": F.lit("new: 1/2")})
+    merge_into(spark, path, orders.schema, "status", moved.unionByName(added), ["o_orderkey"])
     return spark.read.schema(orders.schema).parquet(path)
 
 

@@ -87,10 +87,16 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     ]
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove intermediate data that no reader needs any more."""
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of all folders right below ``path``, as they are on disk."""
     files, at = _file_system(spark, path)
-    files.delete(at, True)
+    return [f.getPath().getName() for f in files.listStatus(at) if f.isDirectory()] if files.exists(at) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove data that no reader needs any more; whether there was any."""
+    files, at = _file_system(spark, path)
+    return files.delete(at, True)
 
 
 def store(spark: SparkSession, df, name: str):

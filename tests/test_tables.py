@@ -12,7 +12,7 @@ from lakeshelf.operators.mutate import (
 from lakeshelf.operators.quality import (
     QualityError, at_least, at_most, codes_with_many_labels, enforce, equal_to, evaluate,
 )
-from lakeshelf.session import folders_in, new_path, shared_folder, store
+from lakeshelf.session import folders_in, new_path, shared_folder, store, subfolders
 from lakeshelf.sources.readers import read_delimited, read_jdbc, sniff_separator, unique_names
 from lakeshelf.sources import sinks
 from lakeshelf.sources.sinks import BatchRejected, append_evolving, replace_partitions, write_files
@@ -299,6 +299,100 @@ def test_tables_changed_in_place_keep_the_rows_without_a_partition(spark):
     assert left == [(1, 10, "a"), (3, 30, None), (4, 40, "c")]
 
 
+def _table(spark, data, schema="id int, v int, p string"):
+    path, start = new_path(spark, "t"), spark.createDataFrame(data, schema)
+    replace_partitions(start, path, "p")
+    return path, start.schema
+
+
+def _now(spark, path, schema):
+    return rows(spark.read.schema(schema).parquet(path))
+
+
+# Values whose folder is not named like them, NULL among them.
+ODD = ["a:b", "a/b", "a%b", "a b", "é", "x=y", "a?*[{", "+&#", "007", None]
+
+
+def test_update_moves_rows_and_loses_none(spark):
+    start = [(1, 10, "x"), (2, 20, "x"), (3, 30, "y"), (4, 40, "y"), (5, 50, "z"), (6, 60, None)]
+    path, schema = _table(spark, start)
+    update_table(spark, path, schema, "p", F.col("id") == 1, {"p": F.lit("y")})
+    assert _now(spark, path, schema) == rows(spark.createDataFrame([(1, 10, "y"), *start[1:]], schema))
+    # All rows leave z and the NULL partition, for one that is new and one that is there.
+    update_table(spark, path, schema, "p", F.col("id") >= 5, {"p": F.when(F.col("id") == 5, "new").otherwise("x"), "v": F.col("v") + 1})
+    wanted = [(1, 10, "y"), (2, 20, "x"), (3, 30, "y"), (4, 40, "y"), (5, 51, "new"), (6, 61, "x")]
+    assert _now(spark, path, schema) == rows(spark.createDataFrame(wanted, schema))
+    assert sorted(subfolders(spark, path)) == ["p=new", "p=x", "p=y"]
+    # To NULL, spelt as the empty text.
+    update_table(spark, path, schema, "p", F.col("p") == "y", {"p": F.lit("")})
+    wanted = [(i, v, None if p == "y" else p) for i, v, p in wanted]
+    assert _now(spark, path, schema) == rows(spark.createDataFrame(wanted, schema))
+
+
+def test_update_swaps_two_partitions(spark):
+    path, schema = _table(spark, [(1, 10, "x"), (2, 20, "y")])
+    update_table(spark, path, schema, "p", F.lit(True), {"p": F.when(F.col("p") == "x", "y").otherwise("x")})
+    assert _now(spark, path, schema) == [(1, 10, "y"), (2, 20, "x")]
+
+
+def test_delete_removes_folders_whose_names_are_escaped(spark):
+    start = [(i, i, p) for i, p in enumerate(ODD)] + [(100 + i, i, p) for i, p in enumerate(ODD)]
+    for i, p in enumerate(ODD):
+        path, schema = _table(spark, start)
+        delete_from(spark, path, schema, "p", F.col("p").eqNullSafe(p))
+        assert _now(spark, path, schema) == rows(spark.createDataFrame([r for r in start if r[2] != p], schema)), p
+        assert len(subfolders(spark, path)) == len(ODD) - 1
+        if i == 0:  # a row each, then all that is left
+            delete_from(spark, path, schema, "p", F.col("id") < 100)
+            assert _now(spark, path, schema) == rows(spark.createDataFrame([r for r in start[len(ODD):] if r[2] != p], schema))
+            delete_from(spark, path, schema, "p", F.lit(True))
+            assert _now(spark, path, schema) == [] and subfolders(spark, path) == []
+
+
+def test_changes_in_partitions_with_escaped_names(spark):
+    start = [(i, i, p) for i, p in enumerate(ODD)]
+    path, schema = _table(spark, start)
+    update_table(spark, path, schema, "p", F.lit(True), {"v": -F.col("v")})
+    merge_into(spark, path, schema, "p", spark.createDataFrame([(50 + i, 1, p) for i, p in enumerate(ODD)], schema), ["id"])
+    wanted = [(i, -i, p) for i, p in enumerate(ODD)] + [(50 + i, 1, p) for i, p in enumerate(ODD)]
+    assert _now(spark, path, schema) == rows(spark.createDataFrame(wanted, schema))
+
+
+def test_folders_spelt_otherwise_are_replaced(spark):
+    path, _ = _table(spark, [(1, 10, "007"), (2, 20, "8")])
+    schema = spark.createDataFrame([], "id int, v int, p int").schema
+    update_table(spark, path, schema, "p", F.col("id") == 1, {"v": F.lit(11)})
+    assert _now(spark, path, schema) == [(1, 11, 7), (2, 20, 8)]
+    assert sorted(subfolders(spark, path)) == ["p=7", "p=8"]
+
+
+def test_merge_updates_keys_in_whatever_partition_they_lie(spark):
+    path, schema = _table(spark, [(1, 10, "x"), (2, 20, "x"), (3, 30, None), (4, 40, "z"), (None, 50, "w"), (6, 60, "u")])
+
+    def files_of(p):
+        return {r[0] for r in spark.read.schema(schema).parquet(path).where(p).select("_metadata.file_name").collect()}
+
+    untouched = files_of("p IN ('w', 'u')")
+    # 1 moves to a new partition, 3 leaves the NULL partition, 4 enters it; 2 stays where it is.
+    source = [(1, 11, "y"), (3, 33, "x"), (4, 44, None), (5, 55, "y"), (None, 0, "y")]
+    for _ in range(2):  # again: a MERGE that is repeated changes nothing, but NULL keys match nothing
+        merge_into(spark, path, schema, "p", spark.createDataFrame(source, schema), ["id"])
+        source = source[:-1]
+    wanted = [(1, 11, "y"), (2, 20, "x"), (3, 33, "x"), (4, 44, None), (5, 55, "y"), (None, 0, "y"), (None, 50, "w"), (6, 60, "u")]
+    assert _now(spark, path, schema) == rows(spark.createDataFrame(wanted, schema))
+    assert "p=z" not in subfolders(spark, path) and files_of("p IN ('w', 'u')") == untouched
+    merge_into(spark, path, schema, "p", spark.createDataFrame([], schema), ["id"])
+    assert _now(spark, path, schema) == rows(spark.createDataFrame(wanted, schema))
+
+
+def test_changes_that_hit_nothing_write_nothing(spark):
+    path, schema = _table(spark, [(1, 10, "x"), (2, 20, "y")])
+    files = {r[0] for r in spark.read.parquet(path).select("_metadata.file_name").collect()}
+    update_table(spark, path, schema, "p", F.col("id") == 9, {"p": F.lit("y")})
+    delete_from(spark, path, schema, "p", F.col("id") == 9)
+    assert {r[0] for r in spark.read.parquet(path).select("_metadata.file_name").collect()} == files
+
+
 # --- quality -----------------------------------------------------------------
 
 
