@@ -6,8 +6,10 @@ Bloom filter, and stripes are read in parallel.  Each file row holds the ids of
 document, the number of its file (``part``) and the ids before it in that file
 (``before``), so a document's place in the whole stream needs only one total per file.
 
-A word (a run without ASCII white space) is encoded alone and remembered: the
-tokenizer drops white space and never joins across it, so the ids are the same.
+A task takes its rows in blocks of bounded bytes.  Where the tokenizer drops white space and never
+joins across it, the different words of a block (runs without ASCII white space) are encoded
+once each and put in place by index, so the ids are those of the whole texts; any other tokenizer
+gets whole texts.  What a task remembers between blocks is bounded in bytes.
 
 Defined results: a null or empty text has only the end id.  Null doc_ids come
 first; equal doc_ids are ordered by a hash of their texts, equal rows are
@@ -16,15 +18,15 @@ interchangeable.  An empty table writes no row and reads back empty.
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
-import tokenizers
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,83 +38,134 @@ from lakeshelf.session import new_path
 
 END_ID = 1
 FILE_BYTES = 32 << 20  # of text in a file
-KEPT_WORDS = 500_000  # words met again that a worker remembers
-NEW_WORDS = 500_000  # words met once that it remembers in the meantime
+MOST_FILES = 8192  # at any size: tasks of the range sort, which stream their rows
+BLOCK_BYTES = 24 << 20  # of text encoded at a time
+KEPT_BYTES = 64 << 20  # of words a task remembers from block to block
+ENTRY_BYTES = 170  # that a remembered word takes besides its letters and ids
 ORC = {
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.row.index.stride": "2000",
     "orc.stripe.size": str(32 << 20), "orc.create.index": "true", "compression": "snappy",
 }
 
 
+def by_words(model: str) -> bool:
+    """Whether the tokenizer never joins across white space, lower-cases, and marks the ends of words with ``</w>``."""
+    held = json.loads(model)
+    normal, first = held.get("normalizer") or {}, held.get("pre_tokenizer") or {}
+    first = (first.get("pretokenizers") or [first])[0]
+    lower = any(n.get("type") == "Lowercase" for n in normal.get("normalizers") or [normal])
+    dropped = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
+    return lower and dropped and held["model"].get("end_of_word_suffix") == "</w>"
+
+
 class Encoder:
-    """Texts to ids, word by word."""
+    """Texts to ids: the different words of a block once each, then all places by index.
+
+    Words are remembered in two generations; when the young one holds half of ``KEPT_BYTES`` it
+    becomes the old one, which is forgotten then.  So they hold that and the words of a block at most.  A tokenizer that is not ``by_words`` gets whole texts.
+    """
 
     def __init__(self, model: str, end_id: int) -> None:
-        self.end = array("i", [end_id]).tobytes()
-        # Kept with the library's module, so the next task of this worker finds it: the tokenizer, its
-        # word-end tokens, the words met again, and those met once; most words come only once.
-        held, key = vars(tokenizers).setdefault("_words_by_model", {}), zlib.crc32(model.encode())
-        if key not in held:
-            made = Tokenizer.from_str(model)
-            ends = np.zeros(made.get_vocab_size(with_added_tokens=True), bool)
-            ends[[i for token, i in made.get_vocab().items() if token.endswith("</w>")]] = True
-            held[key] = (made, ends, [{}, {}])
-        self.model, self.ends, (self.known, self.once) = held[key]
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """For each text its ids as little-endian 32-bit integers, end id included."""
-        known, once = self.known, self.once
-        for words, most in ((known, KEPT_WORDS), (once, NEW_WORDS)):
-            if len(words) > most:
-                words.clear()
-        split = [token_words(t or b"") for t in texts]
-        new = set(filterfalse(known.__contains__, chain.from_iterable(split)))
-        new -= self._again(new)
-        # A mark after a letter at a word's end is a token of its own.
-        marked = [w for w in new if w[-1:] in (b".", b",") and w[-2:-1].isalpha()]
-        bases = {w[:-1] for w in marked}.difference(known, new)
-        bases -= self._again(bases)
-        letters, others = [], []
-        for word in chain(new.difference(marked), bases):
-            (letters if word.isalpha() or (not word.isascii() and word.decode("utf-8", "replace").isalpha()) else others).append(word)
-        marks = {w[-1:] for w in marked}.difference(known, others)
-        self._learn(letters, [*others, *marks])
-        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in marked)
-        made = [b"".join(map(known.__getitem__, words)) + self.end for words in split]
-        once.update((w, known.pop(w)) for w in chain(letters, others, marked))
+        self.model, self.end = Tokenizer.from_str(model), np.array([end_id], "<i4").tobytes()
+        self.by_words = by_words(model)
+        self.ends = np.zeros(self.model.get_vocab_size(with_added_tokens=True), bool)
+        self.ends[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, where each text's ids end), the end id included; ``texts`` is binary."""
+        if not self.by_words:
+            whole = [(t or b"").decode("utf-8", "replace") for t in texts.to_pylist()]
+            made = [np.array(e.ids + [0], "<i4") for e in self.model.encode_batch_fast(whole, add_special_tokens=False)]
+            for ids in made:
+                ids[-1:] = np.frombuffer(self.end, "<i4")
+            return np.concatenate([*made, np.zeros(0, "<i4")]), np.cumsum([m.size for m in made], dtype=np.int64)
+        words, owner = split_words(texts)
+        coded = words.dictionary_encode()
+        found = self.ids_of(coded.dictionary.to_pylist())
+        # The end id is one more word, put in after the last word of each text.
+        per_text = np.bincount(owner, minlength=len(texts))
+        places = np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(per_text), len(found))
+        found.append(self.end)
+        flat = np.frombuffer(b"".join(found), "<i4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, lengths = (np.cumsum(sizes) - sizes)[places], sizes[places]
+        stops = np.cumsum(lengths)
+        at = np.arange(stops[-1] if stops.size else 0, dtype=np.int32)  # a block has far fewer than 2**31 ids
+        at += np.repeat((starts - (stops - lengths)).astype(np.int32), lengths)
+        return flat[at], stops[np.cumsum(per_text + 1) - 1]
+
+    def ids_of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words."""
+        if self.held > KEPT_BYTES // 2:
+            self.old, self.young, self.held = self.young, {}, 0
+        young, old = self.young, self.old
+        new = [w for w in words if w not in young]
+        if old:
+            again = [w for w in new if w in old]
+            young.update((w, old[w]) for w in again)
+            new = [w for w in new if w not in young]
+        self.learn(new, young)
+        made = list(map(young.__getitem__, words))
+        self.held = sum(map(len, young)) + sum(map(len, young.values())) + ENTRY_BYTES * len(young)
         return made
 
-    def _again(self, words: set[bytes]) -> set[bytes]:
-        """Those of ``words`` met once before; they are kept from now on."""
-        found = self.once.keys() & words
-        self.known.update((w, self.once.pop(w)) for w in found)
-        return found
-
-    def _learn(self, letters: list[bytes], others: list[bytes]) -> None:
+    def learn(self, words: list[bytes], made: dict[bytes, bytes]) -> None:
         """Words of letters alone are one token run each, so many go in one text and are cut at word ends."""
-        known = self.known
+        letters, others = [], []
+        for word in words:
+            (letters if word.isalpha() or (not word.isascii() and word.decode("utf-8", "replace").isalpha()) else others).append(word)
         groups = [letters[i : i + 64] for i in range(0, len(letters), 64)]
         for i in range(0, len(groups), 32):
             part = groups[i : i + 32]
             texts = [b" ".join(g).decode("utf-8", "replace") for g in part]
-            for group, made in zip(part, self.model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                ids = np.array(made.ids, "<i4")
+            for group, result in zip(part, self.model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(result.ids, "<i4")
                 cuts = np.flatnonzero(self.ends[ids]) + 1
                 if cuts.size != len(group):  # not one run a word after all
-                    others = [*others, *group]
+                    others += group
                     continue
                 data, cuts = ids.tobytes(), (4 * cuts).tolist()
-                known.update((w, data[a:b]) for w, a, b in zip(group, [0, *cuts], cuts))
+                made.update((w, data[a:b]) for w, a, b in zip(group, [0, *cuts], cuts))
         for i in range(0, len(others), 2000):
             part = others[i : i + 2000]
-            found = self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            known.update((w, array("i", x.ids).tobytes()) for w, x in zip(part, found, strict=True))
-
-
-def token_words(text: bytes) -> list[bytes]:
-    """Parts of a text that the tokenizer never joins; it lower-cases anyway, so fewer different ones
-    are left to encode.  Texts that may hold a special token stay as they are."""
-    return text.split() if b"<|" in text else text.lower().split()
+            results = self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
+            made.update((w, np.array(x.ids, "<i4").tobytes()) for w, x in zip(part, results, strict=True))
+
+
+# Marks after a letter are a token run of their own, so they may stand alone.  Not so apostrophes, which may
+# belong to the word, and marks after capitals, which may become a letter and a mark.
+_MARKS = r"([\p{Ll}\p{Lo}])([!-&(-/:-@\[-`{-~]+)(\s|$)"
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words, the text of each): parts that the tokenizer never joins.  It lower-cases anyway, so fewer different ones
+    are left to encode; texts that may hold a special token stay as they are."""
+    text = pc.cast(pc.fill_null(texts, b""), options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
+    lower = pc.replace_substring_regex(pc.ascii_lower(text), _MARKS, r"\1 \2\3")
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(text, "<|"), text, lower))
+    words = pc.list_flatten(lists)
+    full = pc.greater(pc.binary_length(words), 0)
+    binary = pc.cast(words.filter(full), pa.binary())
+    return binary, pc.list_parent_indices(lists).filter(full).to_numpy()
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a task in blocks of about ``most`` bytes of text; a longer text is a block of its own."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start = 0
+        for row in range(batch.num_rows):
+            if size and size + sizes[row] > most:
+                yield pa.concat_batches([*held, batch.slice(start, row - start)])
+                held, size, start = [], 0, row
+            size += int(sizes[row])
+        held.append(batch.slice(start))
+    if held:
+        yield pa.concat_batches(held)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, model: str, path: str, doc_id: str = "doc_id", text: str = "text",
@@ -124,6 +177,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, model: str, path: str, do
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("t"))
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, math.ceil(total / file_bytes), min(2 * spark.sparkContext.defaultParallelism, math.ceil(total / (1 << 20))))
+    n = min(n, MOST_FILES)
     rows = rows.withColumn("h", F.xxhash64("t")).withColumn("row", F.monotonically_increasing_id())
     order = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("row")]
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "t")
@@ -133,20 +187,18 @@ def write_tokens(spark: SparkSession, docs: DataFrame, model: str, path: str, do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, encoder = TaskContext.get().partitionId(), 0, Encoder(model, end_id)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                piece = batch.slice(i, 1024)
-                made = encoder.encode(piece.column(1).to_pylist())
-                sizes = np.fromiter((len(m) // 4 for m in made), np.int64, len(made))
-                ends = np.cumsum(sizes)
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(np.frombuffer(b"".join(made), "<i4"))
-                )
-                starts = pa.array(before + ends - sizes)
+        for block in blocks(batches, 1, BLOCK_BYTES):
+            ids, ends = encoder.encode(block.column(1))
+            for i in range(0, block.num_rows, 1024):
+                mine = ends[i : i + 1024]
+                first = int(ends[i - 1]) if i else 0
+                offsets = np.concatenate(([first], mine))
+                lists = pa.ListArray.from_arrays(pa.array((offsets - first).astype(np.int32)), pa.array(ids[first : int(mine[-1])]))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(np.full(len(made), part, np.int32)), starts, ids], names=schema.fieldNames()
+                    [block.column(0).slice(i, mine.size), pa.array(np.full(mine.size, part, np.int32)), pa.array(before + offsets[:-1]), lists],
+                    names=schema.fieldNames(),
                 )
-                before += int(ends[-1])
+            before += int(ends[-1]) if ends.size else 0
 
     writer = rows.mapInArrow(run, schema).write
     for key, value in ORC.items():
