@@ -68,6 +68,16 @@ def pa_type(field: StructField) -> pa.DataType:
     return simple[field.dataType.simpleString()]
 
 
+def row_key(df: DataFrame) -> Column:
+    """128 bits that tell rows apart by all their columns, NULLs by the column they are in.
+
+    Two hashes of 64 bits with seeds of their own: over 10**12 different rows, equal keys of two
+    of them are less likely than one in 10**14.
+    """
+    values = [part for c in df.columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string"))]
+    return F.concat_ws("-", *[F.hex(F.xxhash64(F.lit(seed), *values)) for seed in (1, 2)])
+
+
 def parts_for(spark: SparkSession, rows_hint: int | None = None) -> int:
     """Partitions for a range sort: what the session uses for shuffles, at least one a core."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.llm.common import WORD, ordered_prefix, written
+from lakeshelf.llm.common import WORD, ordered_prefix, row_key, written
 
 WEIGHTS = (5, 2, 1)
 CEILING = 3
@@ -108,8 +108,8 @@ def _mix(spark: SparkSession, sizes: DataFrame, weights: Sequence[float], ceilin
 
 def mixed(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
           weights: Sequence[float] = WEIGHTS, ceiling: float = CEILING, seed: int = SEED, draws: int = DRAWS) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
+    """The rows of ``docs``, each as often as the mix takes it; rows are told apart by ``row_key``."""
+    row = row_key(docs)
     narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), n_words(text).alias("size"), row.alias("row"))
     plan = _mix(spark, written(spark, narrow, "sizes"), weights, ceiling, seed, draws)
     # Repeated rows share a key: their copies are added and dealt out evenly.

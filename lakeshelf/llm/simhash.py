@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lakeshelf.llm.common import add_columns, parts_for, written
+from lakeshelf.llm.common import add_columns, parts_for, row_key, written
 from lakeshelf.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -228,7 +228,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
 
     The winners are found on narrow rows; the texts are only filtered, never shuffled by class.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
+    row = row_key(docs)
     tagged = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), row.alias("row"))
     marked = written(spark, fingerprints(tagged, "text", ["doc_id", "row"]).withColumnRenamed("fingerprint", "fp"), "fingerprints")
     reps = written(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")

@@ -5,6 +5,7 @@ import pytest
 from llm_rows import awkward, prose, table
 
 from lakeshelf.llm import mixing
+from lakeshelf.llm.common import row_key
 
 
 def shares(sizes, weights=(5, 2, 1), ceiling=3):
@@ -72,6 +73,25 @@ def test_mixed_rows_are_the_planned_copies(spark):
         assert got[s] == plan[s]
 
 
+def test_mixed_takes_each_row_as_planned_whatever_column_is_null(spark):
+    """Rows that differ only in which column is NULL or empty are rows of their own; equal ones are taken together."""
+    text = prose(1, 30)
+    rows = [(1, text, "x", None), (1, text, None, "x"), (1, text, "", "x"), (1, text, "x", ""), (1, None, text, "x"), (None, text, "x", "1"),
+            (1, text, "x", "x"), (1, text, "x", "x"), (1, text, "xx", ""), (2, text, "\\N", None), (2, text, None, "\\N")]
+    rows += [(10 + i, prose(i, 20 + i % 17), "big", "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    # The plan, by row: the mix with the other column along as its id is the same draw for every row.
+    plan = mixing._mix(spark, docs.select("*", mixing.n_words().alias("size"), row_key(docs).alias("row")).drop("text").alias("d")
+                       .select("doc_id", "source", "size", "row"), mixing.WEIGHTS, mixing.CEILING, mixing.SEED, mixing.DRAWS)
+    keys = {r.key: tuple(r)[:4] for r in docs.withColumn("key", row_key(docs)).collect()}
+    assert len(keys) == len(set(rows))
+    wanted = Counter()
+    for r in plan.collect():
+        wanted[keys[r.row]] += r.copies
+    got = Counter(tuple(r) for r in mixing.mixed(spark, docs).collect())
+    assert got == +wanted and sum(got.values()) > 0
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark, table(spark, [])).count() == 0
     assert mixing.mixed(spark, table(spark, [])).count() == 0
