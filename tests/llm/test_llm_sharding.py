@@ -1,6 +1,9 @@
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
 from llm_rows import awkward, prose, table
 
 from lakeshelf.llm import sharding
@@ -32,6 +35,35 @@ def test_order_is_reshuffled_and_agrees_between_runs(spark):
     assert Counter(sharding.shards(spark, docs, 4, seed=1, bucket_bytes=20_000).collect()) != Counter(first)
 
 
+def hashed(spark, docs, n):
+    """(bucket, key, row number) of every row in reading order, by Spark's hash."""
+    crc = F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")))
+    rows = docs.withColumn("n", F.monotonically_increasing_id())
+    return rows.select("*", F.xxhash64(F.lit(sharding.SEED), "doc_id", crc, "n").alias("key")).selectExpr("*", f"pmod(key, {n}) AS b").collect()
+
+
+@pytest.mark.parametrize("most_parts", [1, 3, 8192])
+def test_order_is_that_of_a_plain_shuffle(spark, most_parts):
+    """Bucket by bucket, sorted, then swapped from the end: in plain Python."""
+    docs = table(spark, rows()).coalesce(1)
+    n, parts = sharding.bucket_numbers(spark, sum(len((t or "").encode()) + 16 for _, t, _ in rows()), 6_000, most_parts)
+    assert n > 8 and parts == min(n, most_parts)
+    line = []
+    for bucket in range(n):
+        mine = sorted((r for r in hashed(spark, docs, n) if r.b == bucket), key=lambda r: (r.key, r.doc_id is not None, r.doc_id, r.n))
+        draw = np.random.Generator(np.random.PCG64([sharding.SEED, bucket]))
+        for last, pick in zip(range(len(mine) - 1, 0, -1), draw.integers(0, np.arange(len(mine), 0, -1)).tolist()):
+            mine[last], mine[pick] = mine[pick], mine[last]
+        line += [(r.doc_id, r.text, r.source) for r in mine]
+    found = sharding.shards(spark, docs, 7, bucket_bytes=6_000, most_parts=most_parts, few_buckets=0 if most_parts == 3 else 100).collect()
+    placed = sorted(found, key=lambda r: r.slot * 7 + r.shard)
+    assert [(r.doc_id, r.text, r.source) for r in placed] == line
+
+
+def test_partitions_stay_few_at_any_size(spark):
+    assert sharding.bucket_numbers(spark, 10**14, sharding.BUCKET_BYTES, sharding.MOST_PARTS) == (2_980_233, 8192)
+
+
 def test_fisher_yates():
     orders = Counter(tuple(sharding.fisher_yates(4, 9, bucket).tolist()) for bucket in range(4800))
     assert len(orders) == 24 and all(sorted(o) == [0, 1, 2, 3] for o in orders)
