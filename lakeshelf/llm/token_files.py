@@ -39,8 +39,8 @@ from lakeshelf.session import new_path
 END_ID = 1
 FILE_BYTES = 32 << 20  # of text in a file
 MOST_FILES = 8192  # at any size: tasks of the range sort, which stream their rows
-BLOCK_BYTES = 24 << 20  # of text encoded at a time
-KEPT_BYTES = 64 << 20  # of words a task remembers from block to block
+BLOCK_BYTES = 8 << 20  # of text encoded at a time
+KEPT_BYTES = 32 << 20  # of words a task remembers from block to block
 ENTRY_BYTES = 170  # that a remembered word takes besides its letters and ids
 ORC = {
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.row.index.stride": "2000",
