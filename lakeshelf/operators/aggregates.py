@@ -1,16 +1,14 @@
-"""Grouped reports: salted sums, frequencies, exact quantiles, lists in bounded parts."""
+"""Grouped reports: salted sums, frequencies, lists in bounded parts, profiles."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from decimal import Decimal
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshelf.operators.joins import join_null_safe
+from lakeshelf.operators.quantiles import discrete_quantiles
 from lakeshelf.operators.windows import GROUP_ROWS, add_windows
-from lakeshelf.session import store
 
 
 def salted_mean(df: DataFrame, keys: Sequence[str], value: str, spread: Column, salts: int = 32) -> DataFrame:
@@ -43,29 +41,6 @@ def total_of(counts: DataFrame, name: str = "count") -> DataFrame:
     return counts.agg(F.sum(name).alias("total"))
 
 
-def discrete_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Exact: per key the least value that at least this share of the rows does not exceed.
-
-    Rows are counted per key and value first, with a map-side combine; the running
-    counts over the values that remain are split for a key with very many of them.
-    NULL values do not count, so a key without values has no row.
-    """
-    spark = df.sparkSession
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    counts = store(spark, counts, "valuecounts")
-    upto = add_windows(counts, keys, [value], running_sum={"_upto": "_n"}, group_rows=group_rows)
-    both = join_null_safe(upto, counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")), keys)
-
-    def place(share: float) -> Column:
-        return F.ceil(F.col("_rows").cast("decimal(18,0)") * F.lit(Decimal(str(share))))
-
-    return both.groupBy(*keys).agg(
-        *[F.min(F.when(F.col("_upto") >= place(q), F.col(value))).alias(name) for name, q in quantiles.items()]
-    )
-
-
 def lists_in_parts(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,8 +67,7 @@ def lists_in_parts(
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, stddev, min, exact quartiles and max per numeric column.
 
-    Two passes over the columns: one for the moments, one for the value counts
-    the quartiles come from.
+    Three passes over the columns: one for the moments, two in which the quartiles are selected.
     """
     entries = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns]

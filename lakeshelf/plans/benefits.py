@@ -22,10 +22,11 @@ from lakeshelf.functions.fixed_values import (
     UNKNOWN_REGION,
 )
 from lakeshelf.functions.measures import mean_of, pct_of_rows, share
-from lakeshelf.operators.aggregates import discrete_quantiles, frequency
+from lakeshelf.operators.aggregates import frequency
 from lakeshelf.operators.joins import join_null_safe
 from lakeshelf.operators.layout import held
 from lakeshelf.operators.quality import enforce
+from lakeshelf.operators.quantiles import discrete_quantiles
 from lakeshelf.sources.readers import read_delimited
 from lakeshelf.sources.sinks import replace_partitions
 

@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 
 from lakeshelf.functions.measures import mean_of, null_counts, pct_of_rows
 from lakeshelf.operators.aggregates import (
-    discrete_quantiles, frequency, lists_in_parts, profile, salted_mean, total_of,
+    frequency, lists_in_parts, profile, salted_mean, total_of,
+)
+from lakeshelf.operators.distincts import code_bitmaps, distinct_counts, merged_bitmaps
+from lakeshelf.operators.quantiles import (
+    RANK_ERROR, discrete_quantiles, merged_sketches, quantile_sketches, rank_errors, sketch_quantiles,
 )
 from lakeshelf.operators.windows import add_windows, with_group_total
 from lakeshelf.queries.common import plain
 from lakeshelf.registry import query, table
+from lakeshelf.session import new_path
+from lakeshelf.sources.sinks import write_partitioned
 
 
 def money(name: str):
@@ -139,6 +145,56 @@ def agg_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discrete_quantiles(lines, ["l_returnflag"], "l_extendedprice", {"mediana": 0.5, "p90": 0.9})
 
 
+@query(
+    "agg_sketch_percentiles",
+    """SELECT l_returnflag, count(*) AS linhas, count(DISTINCT strftime(l_shipdate, '%Y%m')) AS meses,
+  true AS mediana_certa, true AS p90_certo, true AS p99_certo FROM lineitem GROUP BY l_returnflag""",
+)
+def agg_sketch_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sketch per month and flag, kept in a table by month and merged; its estimates are held against true ranks."""
+    shares = {"mediana": 0.5, "p90": 0.9, "p99": 0.99}
+    month = F.date_format("l_shipdate", "yyyyMM").alias("mes")
+    lines = table(spark, sf_dir, "lineitem").select(month, "l_returnflag", "l_extendedprice")
+    path = new_path(spark, "sketches")
+    write_partitioned(quantile_sketches(lines, ["mes", "l_returnflag"], "l_extendedprice"), path, ["mes"])
+    kept = spark.read.parquet(path)
+    found = sketch_quantiles(merged_sketches(kept, ["l_returnflag"]), ["l_returnflag"], shares)
+    off = rank_errors(lines, ["l_returnflag"], "l_extendedprice", found, shares)
+    months = kept.groupBy("l_returnflag").agg(F.sum("rows").alias("linhas"), F.count_distinct("mes").alias("meses"))
+    return months.join(off, "l_returnflag").select(
+        "l_returnflag", "linhas", "meses", (F.col("mediana") <= RANK_ERROR).alias("mediana_certa"),
+        (F.col("p90") <= RANK_ERROR).alias("p90_certo"), (F.col("p99") <= RANK_ERROR).alias("p99_certo"),
+    )
+
+
+@query(
+    "agg_distinct_rollup",
+    """SELECT 'month' AS grain, strftime(l_shipdate, '%Y%m') AS mes, l_returnflag, count(DISTINCT l_suppkey) AS fornecedores,
+  count(DISTINCT l_partkey) AS produtos, count(DISTINCT l_orderkey) AS pedidos FROM lineitem GROUP BY 2, 3
+UNION ALL SELECT 'flag', NULL, l_returnflag, count(DISTINCT l_suppkey), count(DISTINCT l_partkey), count(DISTINCT l_orderkey)
+  FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT l_suppkey), count(DISTINCT l_partkey), count(DISTINCT l_orderkey) FROM lineitem""",
+)
+def agg_distinct_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct codes of three columns at three grains: bitmaps of the finest are kept, and merged upwards."""
+    names = {"fornecedores": "l_suppkey", "produtos": "l_partkey", "pedidos": "l_orderkey"}
+    month = F.date_format("l_shipdate", "yyyyMM").alias("mes")
+    lines = table(spark, sf_dir, "lineitem").select(month, "l_returnflag", *names.values())
+    path = new_path(spark, "bitmaps")
+    write_partitioned(code_bitmaps(lines, ["mes", "l_returnflag"], names), path, ["mes"])
+    kept = spark.read.parquet(path)
+    finest = distinct_counts(kept, ["mes", "l_returnflag"], names)
+    flags = distinct_counts(merged_bitmaps(kept, ["l_returnflag"]), ["l_returnflag"], names)
+    whole = distinct_counts(merged_bitmaps(kept, []), [], names)
+    parts = {"month": finest, "flag": flags, "all": whole}
+    text = F.lit(None).cast("string")
+    tagged = [
+        df.select(F.lit(grain).alias("grain"), *[(F.col(k).cast("string") if k in df.columns else text).alias(k) for k in ("mes", "l_returnflag")], *names)
+        for grain, df in parts.items()
+    ]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
 @query(
     "agg_pivot_auto",
     f"""SELECT o_orderpriority, CAST(sum({PRICE_SQL}) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) AS F,

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeshelf.operators.aggregates import discrete_quantiles, lists_in_parts, salted_mean
+from lakeshelf.operators.aggregates import lists_in_parts, salted_mean
 from lakeshelf.operators.dedupe import one_per_key
+from lakeshelf.operators.quantiles import discrete_quantiles
 from lakeshelf.operators.windows import add_windows, hot_keys
 
 ALL = dict(
@@ -52,7 +53,7 @@ def test_pieces_have_the_types_of_a_plain_window(rows, kind):
 
 
 def test_quantiles_against_sorted_values(rows):
-    got = discrete_quantiles(rows, ["k"], "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9, "top": 1.0}, group_rows=100)
+    got = discrete_quantiles(rows, ["k"], "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9, "top": 1.0})
     values = {}
     for r in rows.where("v IS NOT NULL").collect():
         values.setdefault(r["k"], []).append(r["v"])
