@@ -23,6 +23,7 @@ from lakeshelf.functions.fixed_values import (
 )
 from lakeshelf.functions.measures import mean_of, pct_of_rows, share
 from lakeshelf.operators.aggregates import frequency
+from lakeshelf.operators.distincts import code_bitmaps, distinct_counts
 from lakeshelf.operators.joins import join_null_safe
 from lakeshelf.operators.layout import held
 from lakeshelf.operators.quality import enforce
@@ -163,6 +164,12 @@ def _with_quantiles(
     return join_null_safe(df.groupBy(*keys).agg(*measures), found, keys, "left")
 
 
+def _with_distincts(report: DataFrame, df: DataFrame, keys: Sequence[str], codes: dict[str, str]) -> DataFrame:
+    """Exact distinct counts of code columns beside a report, from bitmaps: no row is expanded for each of them."""
+    counted = distinct_counts(code_bitmaps(df, keys, codes), keys, codes)
+    return join_null_safe(report, counted, keys, "left").fillna(0, list(codes))
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -173,7 +180,7 @@ def _is(name: str, value: str) -> Column:
 
 def _state_measures(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     value = F.col("vl_liquido")
-    return _with_quantiles(
+    report = _with_quantiles(
         rows,
         keys,
         [
@@ -186,11 +193,11 @@ def _state_measures(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
             pct_of_rows(_is("sexo", "Masculino")).alias("pct_masculino"),
             pct_of_rows(_is("ramo_atividade", "Rural")).alias("pct_rural"),
             pct_of_rows(F.col("fl_mesmo_municipio")).alias("pct_pagto_mesmo_municipio"),
-            F.count_distinct("mun_resid_codigo").alias("qtd_municipios_atendidos"),
-            F.count_distinct("banco_codigo").alias("qtd_bancos_utilizados"),
         ],
         {"vl_mediano": 0.5},
     )
+    codes = {"qtd_municipios_atendidos": "mun_resid_codigo", "qtd_bancos_utilizados": "banco_codigo"}
+    return _with_distincts(report, rows, keys, codes)
 
 
 def _ranks_and_shares(report: DataFrame) -> DataFrame:
@@ -300,26 +307,28 @@ def bank_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
 def national_kpis(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     """One row per month."""
     value = F.col("vl_liquido")
-    return _with_quantiles(
+    report = _with_quantiles(
         silver_rows,
         [MONTH],
         [
             _rows().alias("total_beneficios"),
             F.count_distinct("uf").alias("total_ufs_atendidas"),
-            F.count_distinct("mun_resid_codigo").alias("total_municipios_atendidos"),
             F.sum(value).alias("vl_total_brasil"),
             mean_of(value).alias("vl_medio_nacional"),
             F.max(value).alias("vl_maximo_nacional"),
             pct_of_rows(_is("sexo", "Feminino")).alias("pct_feminino"),
             pct_of_rows(_is("ramo_atividade", "Rural")).alias("pct_rural"),
             pct_of_rows(F.col("fl_mesmo_municipio")).alias("pct_pagto_mesmo_municipio"),
-            F.count_distinct("especie_codigo").alias("total_especies_ativas"),
-            F.count_distinct("banco_codigo").alias("total_bancos_pagadores"),
             F.count_if(F.col("fl_vl_zero")).alias("qtd_vl_zero"),
             F.count_if(F.col("sexo").isNull()).alias("qtd_sexo_nulo"),
         ],
         {"vl_mediano_nacional": 0.5, "vl_p90_nacional": 0.9},
-    ).withColumn("_gold_ts", F.lit(stamped_at))
+    )
+    codes = {
+        "total_municipios_atendidos": "mun_resid_codigo", "total_especies_ativas": "especie_codigo",
+        "total_bancos_pagadores": "banco_codigo",
+    }
+    return _with_distincts(report, silver_rows, [MONTH], codes).withColumn("_gold_ts", F.lit(stamped_at))
 
 
 def region_table(state_totals: DataFrame) -> DataFrame:

@@ -170,3 +170,9 @@ def test_report_reads_only_its_columns(spark):
 def test_no_python_in_the_layers(spark):
     text = plan(benefits.species_table(silver_rows(spark, "/root/testdata/sf0.001"), AS_OF))
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_distinct_codes_need_no_expand(spark):
+    rows = silver_rows(spark, "/root/testdata/sf0.001")
+    for report in (benefits.national_kpis(rows, AS_OF), benefits.state_table(rows, AS_OF), benefits.state_total_table(rows, AS_OF)):
+        assert "Expand" not in plan(report)
