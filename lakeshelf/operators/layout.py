@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from itertools import groupby
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeshelf.operators.joins import broadcast_checked
+from lakeshelf.session import folders_in, remove_folder, rename_file
 from lakeshelf.sources.sinks import balanced
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -101,6 +105,100 @@ def compact(
     return before, after
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, columns: Sequence[str], buckets: int, sort: Sequence[str] = ()) -> None:
+    """``df`` as a catalog table whose rows are dealt to ``buckets`` files by the hash of ``columns``.
+
+    The one shuffle is paid at the write, by the same hash, so a bucket is one file.  Joins
+    and aggregates on those columns, with tables of as many buckets, need no shuffle any more.
+    """
+    dealt = df.repartition(buckets, *columns)
+    writer = dealt.write.format("parquet").option("path", path).bucketBy(buckets, *columns)
+    (writer.sortBy(*sort) if sort else writer).saveAsTable(name)
+
+
+# --- compaction in place -------------------------------------------------------------
+
+STAGED = "_compacting"  # readers of a Parquet folder leave out names that begin so
+PLAN = "plan"
+
+
+def pack(sizes: Sequence[tuple[str, int]], most: int) -> list[list[str]]:
+    """First fit, the largest first: names in groups of ``most`` bytes at most; groups of one name are left out."""
+    groups: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes, key=lambda s: (-s[1], s[0])):
+        for i, (held, names) in enumerate(groups):
+            if held + size <= most:
+                groups[i] = (held + size, [*names, name])
+                break
+        else:
+            groups.append((size, [name]))
+    return [names for _, names in groups if len(names) > 1]
+
+
+def small_file_groups(spark: SparkSession, path: str, file_bytes: int) -> list[list[str]]:
+    """Groups of files below ``path`` to be joined, all of a group from one folder.
+
+    Names and sizes come from the file listing, a folder at a time; no content is read.
+    """
+    listing = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+        .where(F.col("length") < file_bytes)
+        .select(F.col("_metadata.file_path").alias("file"), "length")
+        .withColumn("folder", F.regexp_extract("file", "^(.*)/[^/]+$", 1))
+    )
+    made: list[list[str]] = []
+    for _, rows in groupby(listing.orderBy("folder", "file").toLocalIterator(), key=lambda r: r["folder"]):
+        made += pack([(r["file"], r["length"]) for r in rows], file_bytes)
+    return made
+
+
+def compact_in_place(
+    spark: SparkSession, path: str, schema: StructType, partition_columns: Sequence[str] = (), file_bytes: int = TARGET_FILE_BYTES
+) -> tuple[int, int]:
+    """Join small files of a table; files of ``file_bytes`` or more are neither read nor renamed.
+
+    The small files of each folder are packed into groups of about ``file_bytes``; a group becomes one
+    file, so only rows of small files are shuffled.  The new files are staged in a hidden folder
+    and listed in a plan with those they replace; only then are they moved in and the old ones removed.  A run
+    that stops on the way is finished by the next.  Between the moves and the removals a reader may see
+    rows twice.  ``schema`` has the partition columns as the text they are in the folder names.
+    Returns the files replaced and the files made.
+    """
+    finish_compaction(spark, path)
+    groups = small_file_groups(spark, path, file_bytes)
+    if not groups:
+        return 0, 0
+    numbers = spark.createDataFrame([(f, i) for i, names in enumerate(groups) for f in names], "_file string, _group int")
+    names = [unquote(f) for group in groups for f in group]
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*names).withColumn("_from", F.col("_metadata.file_path"))
+    rows = rows.join(broadcast_checked(numbers), F.col("_from") == F.col("_file")).drop("_from", "_file")
+    staged = f"{path}/{STAGED}/files"
+    remove_folder(spark, staged)
+    rows.repartitionById(len(groups), "_group").drop("_group").write.partitionBy(*partition_columns).parquet(staged)
+    made = [unquote(r["f"]) for r in _listing(spark, staged).toLocalIterator()]
+    plan = [("old", n) for n in names] + [("new", n) for n in made]
+    spark.createDataFrame(plan, "kind string, file string").coalesce(1).write.mode("overwrite").json(f"{path}/{STAGED}/{PLAN}")
+    finish_compaction(spark, path)
+    return len(names), len(made)
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("_metadata.file_path").alias("f"))
+
+
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """Carry out a complete plan, if there is one; each step may have been done before."""
+    if PLAN in folders_in(spark, f"{path}/{STAGED}"):
+        plan = spark.read.schema("kind string, file string").json(f"{path}/{STAGED}/{PLAN}")
+        mark = f"/{STAGED}/files/"
+        for row in plan.where("kind = 'new'").toLocalIterator():
+            rename_file(spark, row["file"], row["file"].replace(mark, "/"))
+        for row in plan.where("kind = 'old'").toLocalIterator():
+            remove_folder(spark, row["file"])
+    remove_folder(spark, f"{path}/{STAGED}")
+
+
 @contextmanager
 def held(*frames: DataFrame, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[list[DataFrame]]:
     """Keep frames that are used twice or more, and release them at the end.

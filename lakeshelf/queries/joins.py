@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshelf.operators.joins import broadcast_checked
+from lakeshelf.operators.joins import broadcast_checked, full_join
 from lakeshelf.queries.common import plain
 from lakeshelf.registry import query, table
 
@@ -51,8 +51,7 @@ def join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("join_full", _kind_sql("FULL"))
 def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers, orders = _sides(spark, sf_dir)
-    return customers.join(orders, "custkey", "full")
+    return full_join(*_sides(spark, sf_dir), ["custkey"])
 
 
 @query(

@@ -204,11 +204,11 @@ def dq_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "iot_layouts",
     """SELECT layout, 1 AS hits, count(*) AS readings, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / count(*) AS mean_value
-FROM events JOIN (VALUES ('flat'), ('bucketed')) t(layout)
+FROM events JOIN (VALUES ('flat'), ('arrival'), ('bucketed')) t(layout)
   ON ts >= TIMESTAMP '2024-01-05 12:19:00' AND ts <= TIMESTAMP '2024-01-20 13:01:20' GROUP BY layout""",
 )
 def iot_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as readings in both layouts: one id, and a mean over a time range, from each."""
+    """Events as readings in all layouts: one id, and a mean over a time range, from each."""
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"), F.col("value").cast("decimal(12,2)").alias("value"),
         F.col("ts").cast("timestamp").alias("time"),
@@ -221,7 +221,7 @@ def iot_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         hits = readings.point_lookup(spark, path, wanted, buckets).agg(F.count(F.lit(1)).cast("int").alias("hits"))
         mean = readings.mean_between(spark.read.parquet(path), "2024-01-05 12:19:00", "2024-01-20 13:01:20")
         results.append(row_values(layout, hits, mean))
-    return results[0].unionByName(results[1])
+    return results[0].unionByName(results[1]).unionByName(results[2])
 
 
 def row_values(layout: str, hits: DataFrame, mean: DataFrame) -> DataFrame:
@@ -263,4 +263,4 @@ def stm_update_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         streams.running_counts(stream, "user_id"), ["user_id"], out, new_path(spark, "offsets")
     )
     running.awaitTermination()
-    return streams.latest_table(spark, out)
+    return streams.latest_upserts(spark, out)

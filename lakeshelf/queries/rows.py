@@ -275,18 +275,19 @@ def sql_scalar_subquery(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "flt_point_lookup",
     """SELECT layout, o_orderkey AS id, o_totalprice AS value FROM orders
-JOIN (VALUES ('flat'), ('bucketed')) t(layout) ON o_orderkey = 712""",
+JOIN (VALUES ('flat'), ('arrival'), ('bucketed')) t(layout) ON o_orderkey = 712""",
 )
 def flt_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("value"), F.col("o_orderdate").alias("time")
     )
     paths = readings.write_layouts(orders, new_path(spark, "layouts"))
-    flat = readings.point_lookup(spark, paths["flat"], 712)
-    bucketed = readings.point_lookup(spark, paths["bucketed"], 712, readings.BUCKETS)
-    return flat.select(F.lit("flat").alias("layout"), "id", "value").unionByName(
-        bucketed.select(F.lit("bucketed").alias("layout"), "id", "value")
-    )
+    found = [
+        readings.point_lookup(spark, path, 712, readings.BUCKETS if layout == "bucketed" else None)
+        .select(F.lit(layout).alias("layout"), "id", "value")
+        for layout, path in paths.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query(

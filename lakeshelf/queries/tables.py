@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from lakeshelf.operators import versions
 from lakeshelf.operators.layout import (
-    bucket, compact, file_stats, partition_stats, since, time_transform, truncate_number, truncate_text,
+    bucket, compact, compact_in_place, file_stats, partition_stats, since, time_transform, truncate_number, truncate_text,
+    write_bucketed,
 )
 from lakeshelf.operators.mutate import (
     delete, delete_from, merge, merge_into, merge_metrics, update, update_table,
@@ -28,6 +29,7 @@ from lakeshelf.sources.sinks import (
 )
 
 c = F.col
+BUCKETS = 16
 
 
 def _name(stem: str) -> str:
@@ -633,6 +635,53 @@ def lay_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).withColumn("fewer", F.lit(after < before))
 
 
+@query(
+    "lay_compact_in_place",
+    """SELECT status, count(*) AS linhas, CAST(sum(o_orderkey) AS BIGINT) AS soma, true AS menos_arquivos, true AS grandes_ficam
+FROM (SELECT o_orderkey, o_orderstatus || ': 1/2' AS status FROM orders) GROUP BY status""",
+)
+def lay_compact_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One large file and many small ones for each status; the small ones are joined, the large ones stay."""
+    path, cores = new_path(spark, "orderfiles"), spark.sparkContext.defaultParallelism
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.concat("o_orderstatus", F.lit(": 1/2")).alias("status"))
+    late = c("o_orderkey") % 5 == 0
+    orders.where(~late).repartition("status").write.partitionBy("status").parquet(path)
+    large, size = file_stats(spark, path)
+    orders.where(late).repartition(4 * cores).write.mode("append").partitionBy("status").parquet(path)
+
+    def files() -> DataFrame:
+        return spark.read.schema(orders.schema).parquet(path).groupBy("status").agg(
+            F.count(F.lit(1)).alias("linhas"), F.sum("o_orderkey").alias("soma"), F.collect_set("_metadata.file_name").alias("nomes")
+        )
+
+    before = store(spark, files(), "filenames")
+    compact_in_place(spark, path, orders.schema, ["status"], file_bytes=max(1, size // large // 4))
+    now = files().select(c("status").alias("s"), "linhas", "soma", c("nomes").alias("agora"))
+    both = now.join(before.select("status", "nomes"), now["s"].eqNullSafe(c("status")))
+    return both.select(
+        "status", "linhas", "soma", (F.size("agora") < F.size("nomes")).alias("menos_arquivos"),
+        (F.size(F.array_intersect("agora", "nomes")) >= 1).alias("grandes_ficam"),
+    )
+
+
+@query(
+    "lay_bucketed_join",
+    """SELECT o_orderkey, o_orderstatus, count(*) AS linhas, CAST(sum(CAST(l_quantity AS DECIMAL(6,2))) AS DOUBLE) AS quantidade
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus""",
+)
+def lay_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines as tables bucketed by the order: joined and grouped by it without a shuffle."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", c("l_quantity").cast("decimal(6,2)").alias("l_quantity"))
+    sides = []
+    for df, key in ((orders, "o_orderkey"), (lines, "l_orderkey")):
+        name = _name("bucketed")
+        write_bucketed(df, name, new_path(spark, "bucketed"), [key], BUCKETS, [key])
+        sides.append(_without_entry(spark, name, spark.table(name)))
+    both = sides[0].join(sides[1].hint("merge"), c("o_orderkey") == c("l_orderkey"))
+    return plain(both.groupBy("o_orderkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("linhas"), F.sum("l_quantity").alias("quantidade")))
+
+
 @query("lay_repartition", "SELECT 'by number' AS forma, o_orderkey FROM orders UNION ALL SELECT 'by key', o_orderkey FROM orders UNION ALL SELECT 'fewer', o_orderkey FROM orders")
 def lay_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

@@ -99,6 +99,15 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return files.delete(at, True)
 
 
+def rename_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file within a file system; done already if only the target is there."""
+    files, at = _file_system(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(to.getParent())
+    if not files.rename(at, to) and not (files.exists(to) and not files.exists(at)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def store(spark: SparkSession, df, name: str):
     """Write ``df`` to the shared folder and read it back.
 

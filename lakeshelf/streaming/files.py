@@ -7,12 +7,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from lakeshelf.operators.joins import join_null_safe
 from lakeshelf.operators.layout import held
-from lakeshelf.operators.mutate import merge
-from lakeshelf.session import folders_in, remove_folder
+from lakeshelf.session import folders_in, remove_folder, subfolders
+from lakeshelf.sources.sinks import balanced
 
 BATCH = "_batch"
+BUCKET = "_bucket"
+BUCKETS = 64
 
 
 def trigger(kind: str = "available", interval: str = "10 seconds") -> dict:
@@ -96,28 +100,74 @@ def complete_tables(
 
 
 def upsert_tables(
-    counts: DataFrame, keys: Sequence[str], path: str, checkpoint: str, kind: str = "available"
+    counts: DataFrame, keys: Sequence[str], path: str, checkpoint: str, kind: str = "available", buckets: int = BUCKETS
 ) -> StreamingQuery:
-    """Update mode: only changed rows arrive and are merged into the table of the batch before.
+    """Update mode: only changed rows arrive; the buckets of their keys are written again, all others stay as they are.
 
-    The batch is held while it is read twice; grouped rows hold a key once, so
-    that is not checked again.
+    A batch's folder holds the buckets that it changed; the table is the newest folder of each
+    bucket (``latest_upserts``).  A batch that is repeated starts from the buckets before it and writes over its
+    own folder.  The batch is held while it is read twice; grouped rows hold a key once, NULL
+    keys included, so that is not checked again.
     """
 
     def write(changed: DataFrame, batch_id: int) -> None:
         spark = changed.sparkSession
-        earlier = [b for b in _finished(spark, path) if b < batch_id]
-        with held(changed) as (rows,):
+        number = F.pmod(F.hash(*keys), F.lit(buckets))
+        with held(changed.withColumn(BUCKET, number)) as (rows,):
+            touched = {r[BUCKET] for r in rows.select(BUCKET).distinct().collect()}  # numbers below ``buckets``
+            newest = _newest_buckets(spark, path, batch_id)
+            old = [newest[b] for b in sorted(touched & newest.keys())]
             table = rows
-            if earlier:
-                before = spark.read.schema(changed.schema).parquet(_batch_path(path, earlier[-1]))
-                table = merge(before, rows, keys, checked=True)
-            table.write.mode("overwrite").parquet(_batch_path(path, batch_id))
-        _forget(spark, path, batch_id)
+            if old:
+                before = _read_buckets(spark, path, old, rows.schema)
+                table = join_null_safe(before, rows.select(*keys), keys, "left_anti").unionByName(rows)
+            balanced(table, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(_batch_path(path, batch_id))
+        _forget_buckets(spark, path, batch_id)
 
     return _start(counts, "update", write, checkpoint, kind)
 
 
+def _bucket_numbers(spark: SparkSession, path: str, batch: int) -> list[int]:
+    names = subfolders(spark, _batch_path(path, batch))
+    return [int(n.removeprefix(f"{BUCKET}=")) for n in names if n.startswith(f"{BUCKET}=")]
+
+
+def _newest_buckets(spark: SparkSession, path: str, below: int | None = None) -> dict[int, str]:
+    """The folder of each bucket's last finished batch, of those before ``below``."""
+    newest = {}
+    for batch in _finished(spark, path):
+        if below is None or batch < below:
+            newest |= {b: f"{_batch_path(path, batch)}/{BUCKET}={b}" for b in _bucket_numbers(spark, path, batch)}
+    return newest
+
+
+def _read_buckets(spark: SparkSession, path: str, folders: Sequence[str], schema: StructType | None = None) -> DataFrame:
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(schema) if schema else reader).parquet(*folders).drop(BATCH)
+
+
+def _forget_buckets(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Folders that a batch before ``batch_id`` has replaced are needed neither by readers nor to repeat this batch."""
+    newest = set(_newest_buckets(spark, path, batch_id).values())
+    for batch in _finished(spark, path):
+        if batch >= batch_id:
+            continue
+        folders = [f"{_batch_path(path, batch)}/{BUCKET}={b}" for b in _bucket_numbers(spark, path, batch)]
+        kept = [f for f in folders if f in newest]
+        for folder in (f for f in folders if f not in newest):
+            remove_folder(spark, folder)
+        if not kept and batch < batch_id - 1:
+            remove_folder(spark, _batch_path(path, batch))
+
+
+def latest_upserts(spark: SparkSession, path: str) -> DataFrame:
+    """The upserted table: of each bucket the rows of the last batch that changed it."""
+    newest = _newest_buckets(spark, path)
+    if not newest:
+        raise ValueError(f"no finished batch with rows below {path}")
+    return _read_buckets(spark, path, sorted(newest.values())).drop(BUCKET)
+
+
 def latest_table(spark: SparkSession, path: str) -> DataFrame:
     """The table of the last finished batch, also of a run that found nothing new."""
     done = _finished(spark, path)

@@ -1,17 +1,22 @@
 """Sinks, mutation, versions, quality rules and streams on small frames."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from lakeshelf.operators import versions
-from lakeshelf.operators.joins import broadcast_checked, estimated_bytes, join_null_safe
-from lakeshelf.operators.layout import bucket, compact, file_stats, held, partition_stats, truncate_number
+from lakeshelf.operators import layout, versions
+from lakeshelf.operators.joins import broadcast_checked, estimated_bytes, full_join, join_null_safe
+from lakeshelf.operators.layout import (
+    STAGED, bucket, compact, compact_in_place, file_stats, held, pack, partition_stats, truncate_number,
+)
 from lakeshelf.operators.mutate import (
     DuplicateKeys, delete, delete_from, merge, merge_into, merge_metrics, update, update_table,
 )
 from lakeshelf.operators.quality import (
     QualityError, at_least, at_most, codes_with_many_labels, enforce, equal_to, evaluate,
 )
+from lakeshelf.plans import readings
 from lakeshelf.session import folders_in, new_path, shared_folder, store, subfolders
 from lakeshelf.sources.readers import read_delimited, read_jdbc, sniff_separator, unique_names
 from lakeshelf.sources import sinks
@@ -143,6 +148,153 @@ def test_partitioned_compaction_keeps_text_and_file_size(spark):
     assert rows(spark.read.schema(source.schema).parquet(big).groupBy("p").count()) == [("007", 2000), ("010", 2000)]
 
 
+def _names(spark, path, schema):
+    found = spark.read.schema(schema).parquet(path).select("_metadata.file_path").distinct().collect()
+    return {"/".join(r[0].split("/")[-2:]) for r in found}
+
+
+def _files_to_compact(spark):
+    """A large file and eight small ones in three folders, one of them NULL, one escaped."""
+    path = new_path(spark, "files")
+    source = spark.range(9000).selectExpr("id", "CASE id % 3 WHEN 0 THEN 'a:b/c%' WHEN 1 THEN '007' END AS p")
+    schema = source.schema
+    source.where("id < 8000").repartition("p").write.partitionBy("p").parquet(path)
+    large = _names(spark, path, schema)
+    source.where("id >= 8000").repartition(8).write.mode("append").partitionBy("p").parquet(path)
+    limit = min(size for _, size in _sizes(spark, path, large)) - 1
+    return path, schema, large, limit, rows(source)
+
+
+def _sizes(spark, path, names=None):
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    found = [("/".join(r[0].split("/")[-2:]), r[1]) for r in listing.select("_metadata.file_path", "length").collect()]
+    return [f for f in found if names is None or f[0] in names]
+
+
+def test_compaction_in_place_leaves_large_files(spark):
+    path, schema, large, limit, data = _files_to_compact(spark)
+    old, new = compact_in_place(spark, path, schema, ["p"], limit)
+    assert (old, new) == (24, 3)  # eight small files of each folder became one
+    names = _names(spark, path, schema)
+    assert large < names and len(names) == 6
+    assert rows(spark.read.schema(schema).parquet(path)) == data
+    assert compact_in_place(spark, path, schema, ["p"], limit) == (0, 0)
+    assert _names(spark, path, schema) == names and f"{STAGED}" not in subfolders(spark, path)
+
+
+@pytest.mark.parametrize("done", range(4))
+def test_compaction_that_stops_is_finished(spark, monkeypatch, done):
+    """Stopped after so many moves and removals, the next run ends it and loses nothing."""
+    path, schema, large, limit, data = _files_to_compact(spark)
+    left, moved, removed = [done * 9], layout.rename_file, layout.remove_folder
+
+    def counted(fn):
+        def run(s, at, *a):
+            if at.endswith(".parquet"):
+                if left[0] == 0:
+                    raise RuntimeError("stopped")
+                left[0] -= 1
+            return fn(s, at, *a)
+        return run
+
+    monkeypatch.setattr(layout, "rename_file", counted(moved))
+    monkeypatch.setattr(layout, "remove_folder", counted(removed))
+    if done < 3:
+        with pytest.raises(RuntimeError):
+            compact_in_place(spark, path, schema, ["p"], limit)
+    else:
+        compact_in_place(spark, path, schema, ["p"], limit)
+    monkeypatch.undo()
+    layout.finish_compaction(spark, path)
+    assert rows(spark.read.schema(schema).parquet(path)) == data and len(_names(spark, path, schema)) == 6
+
+
+def test_packing_is_first_fit():
+    sizes = [("a", 6), ("b", 5), ("c", 4), ("d", 3), ("e", 2), ("f", 9)]
+    assert pack(sizes, 10) == [["a", "c"], ["b", "d", "e"]]
+    assert pack([], 10) == [] and pack([("a", 1)], 10) == []
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from lakeshelf.queries.tables import lay_bucketed_join
+
+    made = lay_bucketed_join(spark, "/root/testdata/sf0.001")
+    assert made.count() > 0
+    text = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "SortMergeJoin" in text and "Bucketed: true" in text
+
+
+def test_full_join_lets_null_keys_by_and_splits_hot_ones(spark):
+    left = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 3), (None, "d", None), (3, None, 5)], "k int, x string, j int")
+    right = spark.createDataFrame([("p", 1), ("q", 2), (None, None), ("r", None), ("s", 1)], "y string, k int")
+    want = rows(left.join(right, ["k"], "full"))
+    got = full_join(left, right, ["k"])
+    assert got.columns == ["k", "x", "j", "y"] and rows(got) == want
+    assert "FullOuter" not in got._jdf.queryExecution().executedPlan().toString()
+    two = right.withColumnsRenamed({"y": "z"}).withColumn("j", F.lit(1))
+    assert rows(full_join(left, two, ["k", "j"])) == rows(left.join(two, ["k", "j"], "full"))
+    assert rows(full_join(left.where("k > 9"), right, ["k"])) == rows(left.where("k > 9").join(right, ["k"], "full"))
+    with pytest.raises(ValueError):
+        full_join(left, right.withColumnRenamed("y", "x"), ["k"])
+
+
+def test_hot_key_of_a_full_join_is_split(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    hot = new_path(spark, "hot")
+    spark.range(60000).selectExpr("if(id < 30000, 1, id) AS k", "uuid() AS x").repartition(8).write.parquet(hot)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left, right = spark.read.parquet(hot), spark.range(50, 300).selectExpr("id * 300 - 14999 AS k", "id AS y").repartition(3)
+        made = full_join(left, right, ["k"])
+        assert made.count() == left.join(right, ["k"], "full").count()
+        joined = full_join(left, right, ["k"])
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _scanned_rows(df):
+    """Rows that the file scans of an executed frame gave."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name.startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        if hasattr(node, "plan") and name.endswith("QueryStage"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_point_lookup_skips_by_bloom_filter(spark):
+    path = new_path(spark, "arrival")
+    ids = spark.range(0, 40000).selectExpr("id * 2 AS id", "CAST(id AS DOUBLE) AS value", "timestamp_seconds(id) AS time")
+    readings.write_as_they_come(ids.orderBy(F.hash("id")).coalesce(2), path, group_rows=1000)
+    for wanted, hits in ((4242, 1), (79998, 1), (4243, 0), (33333, 0)):
+        found = readings.point_lookup(spark, path, wanted)
+        assert len(found.collect()) == hits
+        # Every row group spans nearly all ids, so only the filter can leave one out; 1 in 100 may deceive.
+        assert _scanned_rows(found) <= 1000 * hits + 2000
+    plain = new_path(spark, "plain")
+    ids.orderBy(F.hash("id")).coalesce(2).write.option("parquet.block.row.count.limit", "1000").parquet(plain)
+    found = readings.point_lookup(spark, plain, 4242)
+    assert len(found.collect()) == 1 and _scanned_rows(found) > 20000
+
+
 def test_one_month_is_written_without_a_shuffle(spark, months, monkeypatch):
     path, _ = months
     batch, gathered = spark.range(50).selectExpr("CAST(id AS INT) AS v", "'202601' AS m"), []
@@ -437,7 +589,7 @@ def test_upsert_stream_goes_on_where_it_stopped(spark):
         counts = streams.running_counts(streams.json_stream(spark, source, schema), "k")
         running = streams.upsert_tables(counts, ["k"], out, offsets)
         running.awaitTermination()
-        return rows(streams.latest_table(spark, out))
+        return rows(streams.latest_upserts(spark, out))
 
     assert feed([1, 1, 2]) == [(1, 2), (2, 1)]
     assert feed([2, 3]) == [(1, 2), (2, 2), (3, 1)]
@@ -445,9 +597,51 @@ def test_upsert_stream_goes_on_where_it_stopped(spark):
     for _ in range(2):
         counts = streams.running_counts(streams.json_stream(spark, source, schema), "k")
         streams.upsert_tables(counts, ["k"], out, offsets).awaitTermination()
-        assert rows(streams.latest_table(spark, out)) == [(1, 2), (2, 2), (3, 1)]
+        assert rows(streams.latest_upserts(spark, out)) == [(1, 2), (2, 2), (3, 1)]
     assert feed([4]) == [(1, 2), (2, 2), (3, 1), (4, 1)]
-    assert len(folders_in(spark, out)) <= 2
+
+
+def test_upsert_stream_writes_the_buckets_of_changed_keys_only(spark):
+    source, out, offsets = (new_path(spark, n) for n in ("in", "out", "offsets"))
+
+    def feed(values, buckets=8):
+        spark.createDataFrame([(v,) for v in values], "k INT").coalesce(1).write.mode("append").json(source)
+        counts = streams.running_counts(streams.json_stream(spark, source, "k INT"), "k")
+        streams.upsert_tables(counts, ["k"], out, offsets, buckets=buckets).awaitTermination()
+        seen.update(v for v in values)
+        return rows(streams.latest_upserts(spark, out))
+
+    def files():
+        return {p for b, p in streams._newest_buckets(spark, out).items()}
+
+    seen = Counter()
+    everything = [*range(40), None, None]
+    assert feed(everything) == sorted(seen.items(), key=str)
+    before = files()
+    assert len(before) == 8
+    for batch in ([7, 7], [None], [100]):  # a key that is there, one that is NULL, a new one
+        assert feed(batch) == sorted(seen.items(), key=str)
+        assert len(files() - before) == 1  # one bucket was written again
+        before = files()
+    # Folders that were replaced are gone, but for those that the last batch started from.
+    everywhere = [f for b in streams._finished(spark, out) for f in streams._bucket_numbers(spark, out, b)]
+    assert len(everywhere) <= 9
+
+
+def test_upsert_batch_that_is_repeated_gives_the_same(spark):
+    out = new_path(spark, "out")
+    write = []
+    stream = spark.readStream.format("rate").load()
+    made, streams._start = streams._start, lambda s, mode, fn, *a: write.append(fn)
+    try:
+        streams.upsert_tables(stream, ["k"], out, "unused", buckets=4)
+    finally:
+        streams._start = made
+    schema = "k int, count bigint"
+    for batch, data in enumerate(([(1, 1), (2, 1)], [(2, 5), (None, 1)], [(None, 2)])):
+        for _ in range(3 if batch else 1):
+            write[0](spark.createDataFrame(data, schema), batch)
+    assert rows(streams.latest_upserts(spark, out)) == [(1, 1), (2, 5), (None, 2)]
 
 
 def test_complete_stream_keeps_two_tables(spark):
