@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,8 +40,9 @@ from lakeshelf.session import new_path
 END_ID = 1
 FILE_BYTES = 32 << 20  # of text in a file
 MOST_FILES = 8192  # at any size: tasks of the range sort, which stream their rows
-BLOCK_BYTES = 8 << 20  # of text encoded at a time
-KEPT_BYTES = 32 << 20  # of words a task remembers from block to block
+BLOCK_BYTES = 4 << 20  # of text encoded at a time
+KEPT_BYTES = 24 << 20  # of words a task remembers from block to block
+BATCH_ROWS = 1000  # rows that Spark hands to a task at a time
 ENTRY_BYTES = 170  # that a remembered word takes besides its letters and ids
 ORC = {
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.row.index.stride": "2000",
@@ -66,6 +68,8 @@ class Encoder:
     """
 
     def __init__(self, model: str, end_id: int) -> None:
+        # A task has one core; threads of the library would each keep buffers of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model, self.end = Tokenizer.from_str(model), np.array([end_id], "<i4").tobytes()
         self.by_words = by_words(model)
         self.ends = np.zeros(self.model.get_vocab_size(with_added_tokens=True), bool)
@@ -199,11 +203,20 @@ def write_tokens(spark: SparkSession, docs: DataFrame, model: str, path: str, do
                     names=schema.fieldNames(),
                 )
             before += int(ends[-1]) if ends.size else 0
+            del block, ids, ends, lists
+            pa.default_memory_pool().release_unused()
 
     writer = rows.mapInArrow(run, schema).write
     for key, value in ORC.items():
         writer = writer.option(key, value)
-    writer.orc(path)
+    # Batches of whole texts are held on both sides of the pipe, so they are kept small for this write.
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(old)) if int(old) > 0 else BATCH_ROWS))
+    try:
+        writer.orc(path)
+    finally:
+        spark.conf.set(name, old)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
