@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType
 
 from lakeshelf.operators.joins import join_null_safe
 from lakeshelf.session import new_path, store
@@ -60,9 +61,13 @@ def add_windows(
 
     ``row_number``, ``rank`` and ``dense_rank`` name the new column; the dicts map
     new column to source column.  Equal ranks are decided on ``order`` alone;
-    ``order`` and ``tie`` together should be unique within a group.  Types do not
-    depend on which way a group goes; running sums of doubles may differ in the last bits.
+    ``order`` and ``tie`` together should be unique within a group.  Neither types nor values
+    depend on which way a group goes; so running sums are of integers and decimals only (a sum of
+    doubles depends on where it starts).
     """
+    inexact = [c for c in (running_sum or {}).values() if isinstance(df.schema[c].dataType, FractionalType) and not isinstance(df.schema[c].dataType, DecimalType)]
+    if inexact:
+        raise TypeError(f"running sum of {inexact}: cast to a decimal first")
     wanted = {
         "row_number": row_number,
         "rank": rank,
@@ -87,10 +92,23 @@ def add_windows(
     )
 
 
+# Plan nodes that cost no more the second time than reading does.
+LIGHT_NODES = {
+    "Project", "Filter", "LogicalRelation", "Relation", "LocalRelation", "LogicalRDD", "Range", "Union", "InMemoryRelation",
+    "DataSourceV2ScanRelation", "OneRowRelation",
+}
+
+
 def _has_work(df: DataFrame) -> bool:
-    """Whether more than a scan, a filter and a projection stands behind the frame."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(word in plan for word in ("Join", "Aggregate", "Window", "Generate", "Sort", "Distinct", "InArrow", "InPandas"))
+    """Whether more than a scan, a filter and a projection stands behind the frame; Python functions are nodes of their own."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split()[0] not in LIGHT_NODES:
+            return True
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return False
 
 
 def _plain(df: DataFrame, keys, order, tie, wanted) -> DataFrame:

@@ -361,12 +361,13 @@ def set_drop_dup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").dropDuplicates()
 
 
-@query("set_dedupe_key", "SELECT l_orderkey, l_partkey, true AS is_a_row FROM lineitem GROUP BY l_orderkey, l_partkey")
+@query("set_dedupe_key", "SELECT l_orderkey, l_partkey, true AS de_uma_linha FROM lineitem GROUP BY l_orderkey, l_partkey")
 def set_dedupe_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One whole row of each key; which one is open, but it is a row of the table."""
-    lines = table(spark, sf_dir, "lineitem")
-    survivors = lines.dropDuplicates(["l_orderkey", "l_partkey"])
-    return survivors.intersect(lines).select("l_orderkey", "l_partkey", F.lit(True).alias("is_a_row"))
+    """One row of each key; which one is open, but its columns belong together: the hash beside them is its own."""
+    own = F.xxhash64("l_linenumber", "l_suppkey", "l_extendedprice")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    survivors = lines.withColumn("marca", own).dropDuplicates(["l_orderkey", "l_partkey"])
+    return survivors.select("l_orderkey", "l_partkey", (F.col("marca") == own).alias("de_uma_linha"))
 
 
 @query(

@@ -465,6 +465,29 @@ def mut_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.change_log(rows, versions.restored(log, 0, "2026-01-04T00:00:00Z"))
 
 
+@query(
+    "mut_history_summary",
+    """SELECT how, CAST(0 AS INTEGER) AS min_version, CAST(3 AS INTEGER) AS max_version, CAST(4 AS BIGINT) AS versions,
+  'RESTORE' AS last_operation, CAST(2 AS BIGINT) AS first_two,
+  (SELECT count(*) FROM customer WHERE c_mktsegment <> 'HOUSEHOLD') AS rows_of_last
+FROM (VALUES ('name'), ('path')) t(how)""",
+)
+def mut_history_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a table, kept as files and as a catalog table: its summary by either, and the rows of the last version."""
+    rows, log = _versioned(spark, sf_dir)
+    path, name = new_path(spark, "commits"), _name("commits")
+    versions.restored(log, 0, "2026-01-04T00:00:00Z").write.parquet(path)
+    register_external(spark, name, path, versions.COMMITS)
+    logs = {"path": versions.commit_log(spark, path=path), "name": _without_entry(spark, name, versions.commit_log(spark, name=name))}
+    found = []
+    for how, kept in logs.items():
+        first_two = versions.listed(kept, 2).agg(F.count(F.lit(1)).alias("first_two"))
+        last = versions.as_of(rows, kept).agg(F.count(F.lit(1)).alias("rows_of_last"))
+        parts = [df.withColumn("how", F.lit(how)) for df in (versions.summary(kept), first_two, last)]
+        found.append(parts[0].join(parts[1], "how").join(parts[2], "how"))
+    return found[0].unionByName(found[1])
+
+
 @query("mut_restore", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'")
 def mut_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, log = _versioned(spark, sf_dir)

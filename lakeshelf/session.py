@@ -108,12 +108,24 @@ def rename_file(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+_stored: list[str] = []
+
+
 def store(spark: SparkSession, df, name: str):
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with a written table, so a lost executor costs a re-read
-    of files and not a re-run of everything upstream.
+    of files and not a re-run of everything upstream.  ``forget_stored`` removes it.
     """
     path = new_path(spark, name)
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget_stored(spark: SparkSession) -> int:
+    """Remove every table that ``store`` has left so far; for when the results made of them are no longer read."""
+    removed = 0
+    while _stored:
+        removed += remove_folder(spark, _stored.pop())
+    return removed

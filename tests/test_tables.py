@@ -17,7 +17,7 @@ from lakeshelf.operators.quality import (
     QualityError, at_least, at_most, codes_with_many_labels, enforce, equal_to, evaluate,
 )
 from lakeshelf.plans import readings
-from lakeshelf.session import folders_in, new_path, shared_folder, store, subfolders
+from lakeshelf.session import folders_in, forget_stored, new_path, shared_folder, store, subfolders
 from lakeshelf.sources.readers import read_delimited, read_jdbc, sniff_separator, unique_names
 from lakeshelf.sources import sinks
 from lakeshelf.sources.sinks import BatchRejected, append_evolving, replace_partitions, write_files
@@ -401,6 +401,30 @@ def test_versions(spark):
         versions.as_of(table, log, moment="2025-01-01")
 
 
+def test_commit_log_by_name_or_path(spark):
+    path, log = new_path(spark, "log"), versions.commits(spark, [(2, 2, "c", "DELETE"), (0, 0, "a", "WRITE"), (1, 1, "b", "MERGE"), (1, 1, "b", "MERGE")])
+    log.write.parquet(path)
+    sinks.register_external(spark, "commit_log_test", path, versions.COMMITS)
+    try:
+        for kept in (versions.commit_log(spark, name="commit_log_test"), versions.commit_log(spark, path=path)):
+            assert [r.version for r in versions.listed(kept, 3).collect()] == [0, 1, 1]
+            assert rows(versions.summary(kept)) == [(0, 2, 3, "DELETE")]
+    finally:
+        spark.sql("DROP TABLE commit_log_test")
+    for wrong in ({}, {"name": "a", "path": "b"}):
+        with pytest.raises(ValueError, match="exactly one"):
+            versions.commit_log(spark, **wrong)
+    assert rows(versions.summary(versions.commits(spark, []))) == [(None, None, 0, None)]
+
+
+def test_stored_tables_can_be_removed(spark):
+    made = [store(spark, spark.range(n), "kept") for n in (3, 4)]
+    assert [m.count() for m in made] == [3, 4]
+    folder = made[0].inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert forget_stored(spark) >= 2 and forget_stored(spark) == 0
+    assert folder.rsplit("/", 1)[1] not in subfolders(spark, folder.rsplit("/", 1)[0])
+
+
 @pytest.mark.parametrize("key", [1, None])
 def test_diff_refuses_a_key_held_twice(spark, key):
     twice = spark.createDataFrame([(key, "x"), (key, "y")], "id int, v string")

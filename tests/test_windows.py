@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakeshelf.operators.aggregates import lists_in_parts, salted_mean
 from lakeshelf.operators.dedupe import one_per_key
 from lakeshelf.operators.quantiles import discrete_quantiles
-from lakeshelf.operators.windows import add_windows, hot_keys
+from lakeshelf.operators.windows import _has_work, add_windows, hot_keys
 
 ALL = dict(
     row_number="rn",
@@ -43,7 +43,7 @@ def test_pieces_give_what_a_plain_window_gives(rows, order):
     assert as_set(pieced) == as_set(plain)
 
 
-@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(28,10)", "int", "double"])
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(28,10)", "int"])
 def test_pieces_have_the_types_of_a_plain_window(rows, kind):
     typed = rows.withColumn("v", (F.col("v") + F.lit(0.25)).cast(kind))
     plain = add_windows(typed, ["k"], ["o"], ["id"], **ALL)
@@ -52,6 +52,20 @@ def test_pieces_have_the_types_of_a_plain_window(rows, kind):
     assert as_set(pieced) == as_set(plain)
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_running_sums_of_doubles_are_refused(rows, kind):
+    with pytest.raises(TypeError, match="decimal"):
+        add_windows(rows.withColumn("v", F.col("v").cast(kind)), ["k"], ["o"], ["id"], running_sum={"acc": "v"})
+
+
+def test_work_is_told_from_the_plan_not_from_names(spark, rows, tmp_path):
+    path = str(tmp_path / "Join Sort Window")
+    rows.select(F.col("id").alias("Aggregate")).write.parquet(path)
+    read = spark.read.parquet(path)
+    assert not _has_work(read.where("Aggregate > 3").select((F.col("Aggregate") + 1).alias("Sort")))
+    assert _has_work(read.select(F.udf(lambda x: x, "bigint")("Aggregate"))) and _has_work(read.distinct()) and _has_work(read.orderBy("Aggregate"))
+
+
 def test_quantiles_against_sorted_values(rows):
     got = discrete_quantiles(rows, ["k"], "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9, "top": 1.0})
     values = {}
