@@ -1,17 +1,16 @@
 """Substring dedup: collinear chains of shared word seeds find passages that repeat across documents.
 
-1. Seeds.  Of the hashed runs of ``K`` words of a text, the least of every ``SPAN``
-   neighbours is a seed, so two texts that share ``K + SPAN - 1`` words share a seed there.
-   Every run of four words is one: a passage of 50 words or more of which a fifth is
-   replaced leaves four words in a row somewhere.
+1. Seeds.  Every hashed run of ``K`` words of a text is a seed: a passage of 50 words or
+   more of which a fifth is replaced leaves four words in a row somewhere.
 2. Join.  A seed found in several texts leads from each of them to one place, in the
    text with the least hash among them: links grow with the seeds, not with their pairs.
-   A seed in very many texts is pre-aggregated for its place and split by the join.
+   Texts of one task meet there, in numpy; what is left meets in one shuffle by seed, sorted, so the first
+   place of a seed comes first and the others stream by.  A seed of very many texts sends on a few rows for each task.
 3. Chains.  The links of two texts, ordered in both, are chained for the best score
    of links less gap costs; a Fenwick tree over the second text's places gives the best
    link to go on from.
 4. Alignment.  Gaps between links are aligned by edit distance, the ends are
-   extended word by word; runs of ``RUN`` words or more with few edits stay.
+   extended by edit distance in a band; runs of ``RUN`` words or more with few edits stay.
 5. Passages.  Runs of a text that touch are joined; from ``PASSAGE`` words on they
    count.  One row for each document and passage.
 
@@ -29,29 +28,35 @@ null doc_id is kept, and comes last in choosing the least.  Empty tables give no
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from lakeshelf.llm.common import written
+from lakeshelf.llm.common import parts_for, written
 
 K = 4
-SPAN = 1
+KEEP = 1  # every run is a seed
+CHUNK = 1 << 21  # occurrences that a task sorts at a time
 STRETCH = 10  # a run that comes again within so few words is numbered
 THIN = 8  # of links that follow each other word by word, every eighth is chained, and both ends
 GAP_COST = 1 / 64  # of a link, for each word skipped in either text
 MAX_GAP = 64  # words between neighbours of a chain
 EXTEND = 48  # words tried beyond either end; more than seeds can leave out
 DROP = 6  # an extension ends when its score falls so far below its best
+BAND = 6  # words put in or left out that an extension bears
+LEAST_AHEAD = 4  # equal words ahead without which there is nothing to gain
 RUN = 20
 PASSAGE = 50
 EDITS = 0.2  # of a run's words
-OUT_ROWS = 100_000  # seeds a task gathers before it hands them on
+OUT_ROWS = 100_000  # rows of a batch
+PART_BYTES = 32 << 20  # of texts whose seeds meet in a task
 
 _APART = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -62,8 +67,8 @@ def word_codes(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
 
-def seeds(codes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the least of every ``span`` neighbouring runs of ``k`` words."""
+def seeds(codes: np.ndarray, k: int = K, keep: int = KEEP) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the runs of ``k`` words, those whose hash is a multiple of ``keep``."""
     n = codes.size - k + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -75,12 +80,7 @@ def seeds(codes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.ndarray,
     run ^= run >> np.uint64(32)
     run *= np.uint64(0xD6E8FEB86659FD93)
     run ^= run >> np.uint64(29)
-    if n <= span:
-        at = np.array([int(run.argmin())])
-    else:
-        windows = np.lib.stride_tricks.sliding_window_view(run, span)
-        parts = [windows[i : i + 65_536].argmin(axis=1) + np.arange(i, min(i + 65_536, len(windows))) for i in range(0, len(windows), 65_536)]
-        at = np.unique(np.concatenate(parts))
+    at = np.flatnonzero(run % np.uint64(keep) == 0) if keep > 1 else np.arange(n)
     found = run[at]
     # In a stretch of repeated words every ``STRETCH``-th place of a run stays, as itself
     # and with its number in the stretch, so that stretches also link in order.
@@ -88,14 +88,18 @@ def seeds(codes: np.ndarray, k: int = K, span: int = SPAN) -> tuple[np.ndarray,
     at, found = at[order], found[order]
     again = np.concatenate(([False], (found[1:] == found[:-1]) & (np.diff(at) < STRETCH)))
     stretch = np.arange(at.size) - np.maximum.accumulate(np.where(again, 0, np.arange(at.size)))
-    keep = stretch % STRETCH == 0
-    at, found, stretch = at[keep], found[keep], stretch[keep]
+    stay = stretch % STRETCH == 0
+    at, found, stretch = at[stay], found[stay], stretch[stay]
     numbered = stretch > 0
     counted = found[numbered] + stretch[numbered].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return np.concatenate((at, at[numbered])), np.concatenate((found, counted)).view(np.int64)
 
 
-SEED = StructType([StructField("th", LongType()), StructField("seed", LongType()), StructField("pos", IntegerType())])
+PLACED = StructType(
+    [StructField("key", LongType()), StructField("th", LongType()), StructField("pos", IntegerType()),
+     StructField("rth", LongType()), StructField("rpos", IntegerType())]
+)
+LINK = StructType(PLACED.fields[1:])
 WORDS = StructType([StructField("th", LongType()), StructField("words", BinaryType())])
 
 
@@ -103,31 +107,83 @@ def _hashed(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").cast("binary").alias("t"))
 
 
-def occurrences(hashed: DataFrame) -> DataFrame:
-    """(th, seed, pos); a task takes equal texts once."""
+def led(seed: np.ndarray, th: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """Occurrences of a task as rows of ``PLACED``: what is to meet by seed, and links that need not.
+
+    The least text of each seed leads it here: its places go on under the seed, all other texts
+    link to its first place at once.  So a seed in very many texts sends on a row or two for each
+    ``CHUNK`` occurrences, not one for each text.
+    """
+    order = np.lexsort((pos, th, seed))
+    seed, th, pos = seed[order], th[order], pos[order]
+    new = np.ones(seed.size, bool)
+    new[1:] = seed[1:] != seed[:-1]
+    lead = np.maximum.accumulate(np.where(new, np.arange(seed.size), 0))
+    own = th == th[lead]
+    key = np.where(own, seed, th)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key), pa.array(th), pa.array(pos), pa.array(th[lead], mask=own), pa.array(pos[lead], mask=own)], names=PLACED.fieldNames()
+    )
+
 
-    def flush(*held: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=["th", "seed", "pos"])
+def occurrences(hashed: DataFrame, keep: int = KEEP, chunk: int = CHUNK) -> DataFrame:
+    """``PLACED`` rows of all texts; a task takes equal texts once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                rows = led(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held.clear()
+                for i in range(0, rows.num_rows, OUT_ROWS):
+                    yield rows.slice(i, OUT_ROWS)
+
         for batch in batches:
-            texts, places, hashes, held = [], [], [], 0
-            for th, text in zip(batch.column(0), batch.column(1), strict=True):
-                if th.as_py() not in done:
-                    done.add(th.as_py())
-                    at, found = seeds(word_codes(text.as_py()))
-                    texts.append(np.full(at.size, th.as_py(), np.int64))
-                    places.append(at.astype(np.int32))
-                    hashes.append(found)
-                    held += at.size
-                    if held > OUT_ROWS:
-                        yield flush(texts, hashes, places)
-                        texts, places, hashes, held = [], [], [], 0
-            if texts:
-                yield flush(texts, hashes, places)
-
-    return hashed.mapInArrow(run, SEED)
+            for th, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if th not in done:
+                    done.add(th)
+                    at, found = seeds(word_codes(text.as_py()), keep=keep)
+                    held.append((found, np.full(at.size, th, np.int64), at.astype(np.int32)))
+                    size += at.size
+                    if size > chunk:
+                        yield from flush()
+                        size = 0
+        yield from flush()
+
+    return hashed.mapInArrow(run, PLACED)
+
+
+def links(placed: DataFrame) -> DataFrame:
+    """(th, pos, rth, rpos): each place beside the first place of its seed's least text, from one shuffle.
+
+    ``placed`` is dealt by key and sorted, so the places of a seed stream by, the first one leading;
+    a seed in one text only goes no further.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, first = None, (0, 0)  # the seed that the batch before ended in, and its lead
+        for batch in batches:
+            open_ = pc.is_null(batch.column(3))
+            there = batch.filter(pc.invert(open_))
+            yield pa.RecordBatch.from_arrays(there.columns[1:], names=LINK.fieldNames())
+            rows = batch.filter(open_)
+            if not rows.num_rows:
+                continue
+            seed, th, pos = (rows.column(i).to_numpy() for i in range(3))
+            new = np.ones(seed.size, bool)
+            new[1:] = seed[1:] != seed[:-1]
+            new[0] = seed[0] != now
+            lead = np.maximum.accumulate(np.where(new, np.arange(seed.size), -1))
+            rth = np.where(lead >= 0, th[lead], first[0])
+            rpos = np.where(lead >= 0, pos[lead], first[1]).astype(np.int32)
+            now, first = seed[-1], (rth[-1], rpos[-1])
+            other = th != rth
+            yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in (th, pos, rth, rpos)], names=LINK.fieldNames())
+
+    return placed.mapInArrow(run, LINK)
 
 
 def text_words(hashed: DataFrame) -> DataFrame:
@@ -201,10 +257,26 @@ def chains(links: list[tuple[int, int]], gap_cost: float = GAP_COST, max_gap: in
     return out
 
 
-def thinned(links: list[tuple[int, int]], thin: int = THIN) -> list[tuple[int, int]]:
-    """Without most links that lie between two neighbours on their diagonal; what they join stays joined."""
-    held = set(links)
-    return [(x, y) for x, y in held if x % thin == 0 or (x - 1, y - 1) not in held or (x + 1, y + 1) not in held]
+def thinned(group: np.ndarray, x: np.ndarray, y: np.ndarray, thin: int = THIN) -> np.ndarray:
+    """Which links stay, of all groups at once: not those given twice, nor most of those that lie between two
+    neighbours on their diagonal; what they join stays joined."""
+    shift = x.astype(np.int64) - y
+    order = np.lexsort((x, shift, group))
+    g, d, p = group[order], shift[order], x[order]
+    same = np.zeros(g.size, bool)
+    same[1:] = (g[1:] == g[:-1]) & (d[1:] == d[:-1])
+    step = np.zeros(g.size, np.int64)
+    step[1:] = np.where(same[1:], np.diff(p), 0)
+    twice = same & (step == 0)
+    # Neighbours among different links: those given twice are passed over.
+    held = np.flatnonzero(~twice)
+    follows = np.zeros(g.size, bool)
+    follows[held[1:]] = same[held[1:]] & (p[held[1:]] - p[held[:-1]] == 1)
+    followed = np.zeros(g.size, bool)
+    followed[held[:-1]] = follows[held[1:]]
+    stay = np.zeros(g.size, bool)
+    stay[order] = ~twice & ((p % thin == 0) | ~follows | ~followed)
+    return stay
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> int:
@@ -217,17 +289,53 @@ def distance(a: np.ndarray, b: np.ndarray) -> int:
     return row[-1]
 
 
-def extend(same: np.ndarray) -> tuple[int, int]:
-    """(length, edits) of the best prefix: a word gained for an equal one, two lost for another."""
-    if not same.size:
-        return 0, 0
+def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """(words of a, words of b, edits) of the best pair of beginnings: a word gained for an equal one, two lost for an edit.
+
+    First place by place.  Where that ends before the texts do, by edit distance in a band of
+    ``BAND`` words, for words put in or left out; only if some words ahead are equal at all.
+    """
+    n = min(a.size, b.size)
+    if not n:
+        return 0, 0, 0
+    same = a[:n] == b[:n]
     score = np.cumsum(np.where(same, 1, -2))
     low = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score > DROP)
     score = score[: low[0]] if low.size else score
-    if not score.size or score.max() <= 0:
-        return 0, 0
-    length = int(score.argmax()) + 1
-    return length, int((~same[:length]).sum())
+    length = int(score.argmax()) + 1 if score.size and score.max() > 0 else 0
+    best = (length - 3 * int((~same[:length]).sum()), length, length, int((~same[:length]).sum()))
+    ahead = min(a.size, b.size) - length
+    if ahead < LEAST_AHEAD:
+        return best[1:]
+    x, y = a[length : length + BAND + LEAST_AHEAD], b[length : length + BAND + LEAST_AHEAD]
+    if np.isin(x, y).sum() < LEAST_AHEAD:
+        return best[1:]
+    return max(best, banded(a.tolist(), b.tolist()), key=lambda t: t[0])[1:]
+
+
+def banded(a: list[int], b: list[int], band: int = BAND, drop: int = DROP) -> tuple[int, int, int, int]:
+    """(score, words of a, words of b, edits) of the best pair of beginnings within the band."""
+    far = -(10**9)
+    row = {j: (-2 * j, j) for j in range(min(band, len(b)) + 1)}  # place in b -> (score, edits)
+    best = (0, 0, 0, 0)
+    for i, x in enumerate(a, 1):
+        made: dict[int, tuple[int, int]] = {}
+        for j in range(max(0, i - band), min(len(b), i + band) + 1):
+            found = (far, 0)
+            if j and j - 1 in row:
+                s, e = row[j - 1]
+                found = (s + 1, e) if x == b[j - 1] else (s - 2, e + 1)
+            for near in (row.get(j), made.get(j - 1)):
+                if near is not None and near[0] - 2 > found[0]:
+                    found = (near[0] - 2, near[1] + 1)
+            if found[0] > far:
+                made[j] = found
+                if found[0] > best[0]:
+                    best = (found[0], i, j, found[1])
+        row = made
+        if max(s for s, _ in row.values()) < best[0] - drop:
+            break
+    return best
 
 
 def align(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]], k: int = K) -> tuple[int, int, int, int, int]:
@@ -240,12 +348,10 @@ def align(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]], k: int = K
             gap_a, gap_b = a[x + k : x2], b[y + k : y2]
             edits += max(distance(gap_a, gap_b), abs((x2 - x) - (y2 - y)))
     (x, y), (x2, y2) = chain[0], chain[-1]
-    n = min(x, y)
-    left, more = extend(a[x - n : x][::-1] == b[y - n : y][::-1])
+    left_a, left_b, more = extend(a[max(0, x - EXTEND) : x][::-1], b[max(0, y - EXTEND) : y][::-1])
     x2, y2 = x2 + k, y2 + k
-    n = min(a.size - x2, b.size - y2)
-    right, yet = extend(a[x2 : x2 + n] == b[y2 : y2 + n])
-    return x - left, x2 + right, y - left, y2 + right, edits + more + yet
+    right_a, right_b, yet = extend(a[x2 : x2 + EXTEND], b[y2 : y2 + EXTEND])
+    return x - left_a, x2 + right_a, y - left_b, y2 + right_b, edits + more + yet
 
 
 CHAIN = StructType(
@@ -255,21 +361,47 @@ CHAIN = StructType(
 )
 
 
+def pairs_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(th, rth, pos, rpos) of sorted links, cut between text pairs."""
+    held: tuple[np.ndarray, ...] | None = None
+    for batch in batches:
+        now = tuple(batch.column(i).to_numpy() for i in (0, 2, 1, 3))
+        if held is not None:
+            now = tuple(np.concatenate(c) for c in zip(held, now, strict=True))
+        if not now[0].size:
+            continue
+        cuts = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
+        end = int(cuts[-1]) + 1 if cuts.size else 0
+        if end:
+            yield tuple(c[:end] for c in now)
+        held = tuple(c[end:] for c in now)
+    if held is not None and held[0].size:
+        yield held
+
+
 def chained(linked: DataFrame) -> DataFrame:
-    """(th, rth, links) -> one row for each chain: the stretch of either text to align, and the chain's places."""
+    """Links sorted by text pair -> one row for each chain: the stretch of either text to align, and the chain's places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for th, rth, pos, rpos in pairs_of_texts(batches):
+            new = np.ones(th.size, bool)
+            new[1:] = (th[1:] != th[:-1]) | (rth[1:] != rth[:-1])
+            stay = thinned(np.cumsum(new), pos, rpos)
+            starts = np.flatnonzero(np.concatenate(([True], np.diff(np.cumsum(new)[stay]) > 0)))
+            a, b, x, y = (c[stay] for c in (th, rth, pos, rpos))
+            places = list(zip(x.tolist(), y.tolist(), strict=True))
             rows = []
-            for th, rth, links in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for chain in chains(thinned([(x["pos"], x["rpos"]) for x in links])):
-                    (x, y), (x2, y2) = chain[0], chain[-1]
-                    alo, blo = max(0, x - EXTEND), max(0, y - EXTEND)
-                    places = np.array([(p - alo, q - blo) for p, q in chain], "<i4").tobytes()
-                    rows.append((th, rth, alo, x2 + K + EXTEND - alo, blo, y2 + K + EXTEND - blo, places))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * len(CHAIN)
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), x.size], strict=True):
+                mine = places[start:end]
+                for chain in chains(mine) if len(mine) > 1 else [mine]:
+                    (x1, y1), (x2, y2) = chain[0], chain[-1]
+                    alo, blo = max(0, x1 - EXTEND), max(0, y1 - EXTEND)
+                    inside = np.array([(p - alo, q - blo) for p, q in chain], "<i4").tobytes()
+                    rows.append((int(a[start]), int(b[start]), alo, x2 + K + EXTEND - alo, blo, y2 + K + EXTEND - blo, inside))
             types = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=CHAIN.fieldNames())
+            for i in range(0, len(rows), OUT_ROWS):
+                columns = zip(*rows[i : i + OUT_ROWS], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=CHAIN.fieldNames())
 
     return linked.mapInArrow(run, CHAIN)
 
@@ -336,21 +468,21 @@ def passages_of_texts(runs: DataFrame) -> DataFrame:
     return runs.mapInArrow(run, PASSAGES)
 
 
-def repeated_passages(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_passages(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: int = KEEP) -> DataFrame:
     """doc_id, start_word, end_word, first, source_doc_id, source_start, source_end, edits.
 
     ``first`` marks the place that stays; the others name the document and place they repeat.
     """
     hashed = _hashed(docs, text)
-    ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("th"))
+    ids = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.octet_length(F.col(f"`{text}`")).cast("long").alias("size")
+    )
     ids = written(spark, ids, "texthashes")
 
-    place = F.struct("th", "pos")
-    shared = occurrences(hashed).groupBy("seed").agg(F.min(place).alias("r"), F.max("th").alias("most"))
-    shared = shared.where(F.col("r.th") != F.col("most")).select("seed", F.col("r.th").alias("rth"), F.col("r.pos").alias("rpos"))
-    shared = written(spark, shared, "sharedseeds")
-    linked = occurrences(hashed).join(shared, "seed").where("th <> rth")
-    linked = linked.groupBy("th", "rth").agg(F.collect_set(F.struct("pos", "rpos")).alias("links"))
+    size = ids.agg(F.sum("size")).first()[0] or 0
+    n = max(parts_for(spark), math.ceil(size / PART_BYTES))
+    placed = occurrences(hashed, keep).repartition(n, "key").sortWithinPartitions("key", "th", "pos")
+    linked = links(placed).repartition(n, "th", "rth").sortWithinPartitions("th", "rth", "pos", "rpos")
     chain = written(spark, chained(linked), "chains")
 
     texts = ids.groupBy("th").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
