@@ -9,8 +9,10 @@ These length-normalised differences go through a logistic curve.
 
 Learning uses the labelled rows outside the held-out fold: counts come from all of folds
 0 and 1, the curve from at most ``CURVE_ROWS`` rows of fold 3 (those with the least
-hashed ids).  The counted events that are shipped to tasks number at most ``MAX_EVENTS``:
-if there are more, the rarest fall back to the shared counts.
+hashed ids; of rows with one id the least text).  All events take part, whatever their number.  If they are few
+enough to ship to tasks, words are looked up there; otherwise the different words of the documents, once
+each, are joined with the events, and every block of documents meets the ratios of its words.
+Both give the same scores.
 
 Defined results: a null or empty text, or one without a letter or digit, gets the
 toxic share of the rows of the curve.  Without usable labels of both classes every text
@@ -26,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
@@ -38,10 +42,11 @@ TOP_SHARES = (0.01, 0.02)
 MOST = 8.0  # what a share's mean counts for at most
 FOLDS, HELD_OUT, CURVE_FOLD = 4, 2, 3
 CURVE_ROWS = 20_000
-MAX_EVENTS = 2_000_000
+FEW_EVENTS = 2_000_000  # so many events and histories (24 MB) are shipped to tasks; more are joined
 THRESHOLD = 0.3
 TASK_WORDS = 500_000  # distinct words a task gathers before it hands them on
 CACHE_WORDS = 400_000
+BLOCK_BYTES = 8 << 20  # of text that meets its words' ratios in a task
 
 # ASCII but letters and digits separates words, so "^" and "$" can mark their ends.
 _APART = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -117,19 +122,12 @@ def shared_backoff(spark: SparkSession, grams: DataFrame, order: int, discount:
     return out
 
 
-def model_tables(spark: SparkSession, counted: DataFrame, order: int, discount: float, max_events: int) -> tuple[DataFrame, DataFrame]:
+def model_tables(spark: SparkSession, counted: DataFrame, order: int, discount: float) -> tuple[DataFrame, DataFrame]:
     """((gram, ratio) of seen events, (history, ratio) of a letter not seen after a history)."""
     totals = counted.groupBy(F.expr("left(gram, length(gram) - 1)").alias("h")).agg(
         *[F.sum(f"n{y}").alias(f"c{y}") for y in (0, 1)], *[F.sum((F.col(f"n{y}") > 0).cast("long")).alias(f"t{y}") for y in (0, 1)]
     )
     totals = written(spark, totals, "histories")
-    # How many events each power of two keeps; at most 64 rows.
-    size = F.floor(F.log2(F.col("n1") + F.col("n0"))).cast("int")
-    steps = {r["k"]: r["n"] for r in counted.groupBy(size.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    least = 0
-    while sum(n for k, n in steps.items() if k >= least) > max_events:
-        least += 1
-    kept = counted.where(F.col("n1") + F.col("n0") >= 2**least)
     backoff = shared_backoff(spark, counted.select("gram"), order, discount)
 
     def gamma(y: int):
@@ -141,13 +139,11 @@ def model_tables(spark: SparkSession, counted: DataFrame, order: int, discount:
 
     suffix = F.expr("right(gram, length(gram) - 1)")
     seen = (
-        kept.withColumn("h", F.expr("left(gram, length(gram) - 1)")).join(totals, "h")
+        counted.withColumn("h", F.expr("left(gram, length(gram) - 1)")).join(totals, "h")
         .join(backoff.withColumnRenamed("gram", "s"), suffix == F.col("s"))
         .select("gram", F.log(probability(1) / probability(0)).alias("ratio"))
     )
-    # Of histories, those that kept events have; never more than there are events.
-    used = kept.select(F.expr("left(gram, length(gram) - 1)").alias("h")).distinct()
-    unseen = totals.join(used, "h").select(F.col("h").alias("gram"), F.log(gamma(1) / gamma(0)).alias("ratio"))
+    unseen = totals.select(F.col("h").alias("gram"), F.log(gamma(1) / gamma(0)).alias("ratio"))
     return seen, unseen
 
 
@@ -172,7 +168,7 @@ def codes(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def run_codes(table: DataFrame, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The (gram, ratio) rows as sorted codes and their ratios; at most ``MAX_EVENTS`` rows come to the driver."""
+    """The (gram, ratio) rows as sorted codes and their ratios; at most ``FEW_EVENTS`` rows come to the driver."""
     schema = StructType([StructField("code", LongType()), StructField("ratio", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,27 +239,116 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 FEATURES = StructType([StructField("n", LongType())] + [StructField(n, DoubleType()) for n in ("mean", "top1", "top2")])
+NO_EVENTS = (np.zeros(0, np.uint64), np.zeros(0, np.float32))
+
+
+def in_blocks(spark: SparkSession, docs: DataFrame, text: str, block_bytes: int) -> DataFrame:
+    """``docs``, written, with the number of its block: rows of a task of about ``block_bytes`` together."""
+    schema = StructType([*docs.schema, StructField("block", LongType())])
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            numbers = []
+            for size in pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist():
+                if held and held + size > block_bytes:
+                    number, held = number + 1, 0
+                held += size + 1
+                numbers.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=schema.fieldNames())
+
+    return written(spark, docs.mapInArrow(run, schema), "blocks")
+
+
+def words_of_blocks(blocks: DataFrame) -> DataFrame:
+    """(block, word): the different words of each block."""
+    schema = StructType([StructField("block", LongType()), StructField("word", BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, set()
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now] * len(held), pa.int64()), pa.array(list(held), pa.binary())], names=schema.fieldNames())
+
+        for batch in batches:
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if block != now:
+                    if held:
+                        yield flush()
+                    now, held = block, set()
+                held.update(words_of(text.as_py()))
+        if held:
+            yield flush()
+
+    return blocks.select("block", F.col("text").cast("binary")).mapInArrow(run, schema).distinct()
+
+
+def word_ratios(words: DataFrame, seen: DataFrame, unseen: DataFrame, order: int) -> DataFrame:
+    """(word, ratio) of different words, by joining each letter's run, or else its history, with the events."""
+    marked = words.select("word", F.concat(F.lit("^"), F.col("word").cast("string"), F.lit("$")).alias("s"))
+    runs = F.transform(
+        F.sequence(F.lit(2), F.length("s")),
+        lambda i: F.substring(F.col("s"), F.greatest(F.lit(1), i - (order - 1)), F.least(F.lit(order), i)),
+    )
+    each = marked.select("word", F.explode(runs).alias("gram")).withColumn("h", F.expr("left(gram, length(gram) - 1)"))
+    # Lighter numbers, as those that are shipped.
+    hit = seen.select("gram", F.col("ratio").cast("float").alias("hit"))
+    miss = unseen.select(F.col("gram").alias("h"), F.col("ratio").cast("float").alias("miss"))
+    joined = each.join(hit, "gram", "left").join(miss, "h", "left")
+    return joined.groupBy("word").agg(F.sum(F.coalesce("hit", "miss", F.lit(0.0)).cast("double")).alias("ratio"))
+
+
+def joined_features(spark: SparkSession, source: DataFrame, tables: tuple[DataFrame, DataFrame], order: int, keep: list[str], block_bytes: int) -> DataFrame:
+    """``keep`` and ``FEATURES`` of each row (doc_id, text, ...): blocks of rows meet the ratios of their words."""
+    blocks = in_blocks(spark, source.select(*keep, F.col("text")), "text", block_bytes)
+    words = written(spark, words_of_blocks(blocks), "blockwords")
+    ratios = word_ratios(words.select("word").distinct(), *tables, order)
+    known = words.join(ratios, "word")
+    schema = StructType([blocks.schema[c] for c in keep] + list(FEATURES))
+
+    def run(rows: pa.Table, held: pa.Table) -> pa.Table:
+        scorer = Scorer(NO_EVENTS, NO_EVENTS, order)
+        scorer.known = dict(zip(held.column("word").to_pylist(), held.column("ratio").to_pylist(), strict=True))
+        made = list(zip(*[scorer.features(None if t is None else t.encode()) for t in rows.column("text").to_pylist()], strict=True))
+        columns = [pa.array(c, pa.int64() if f.name == "n" else pa.float64()) for c, f in zip(made, FEATURES, strict=True)]
+        return pa.Table.from_arrays([*(rows.column(c) for c in keep), *columns], names=schema.fieldNames())
+
+    return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
+
+
+def shipped_features(spark: SparkSession, source: DataFrame, tables: tuple[DataFrame, DataFrame], order: int, keep: list[str]) -> DataFrame:
+    """The same, the events shipped to tasks."""
+    model = spark.sparkContext.broadcast(tuple(run_codes(t, order) for t in tables))
+
+    def features(texts: list[bytes | None]) -> list:
+        scorer = Scorer(*model.value, order)
+        return list(zip(*[scorer.features(t) for t in texts], strict=True)) if texts else [[]] * 4
+
+    return add_columns(source, "text", FEATURES, features, keep)
 
 
 def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          order: int = ORDER, discount: float = DISCOUNT, max_events: int = MAX_EVENTS, curve_rows: int = CURVE_ROWS) -> DataFrame:
+          order: int = ORDER, discount: float = DISCOUNT, few_events: int = FEW_EVENTS, curve_rows: int = CURVE_ROWS,
+          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, score, predicted, n_words, mean_ratio, top1, top2: one row for each row of ``docs``."""
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counting = marked.where((fold() != HELD_OUT) & (fold() != CURVE_FOLD)).hint("shuffle_hash")
     rows = source.where((fold() != HELD_OUT) & (fold() != CURVE_FOLD)).join(counting, "doc_id").select("text", "toxic")
     counted = written(spark, events(word_counts(rows), order), "events")
-    tables = model_tables(spark, counted, order, discount, max_events)
-    seen, unseen = (run_codes(t, order) for t in tables)
-    model = spark.sparkContext.broadcast((seen, unseen))
+    tables = tuple(written(spark, t, "model") for t in model_tables(spark, counted, order, discount))
+    few = sum(t.count() for t in tables) <= few_events
 
-    def features(texts: list[bytes | None]) -> list:
-        scorer = Scorer(*model.value, order)
-        return list(zip(*[scorer.features(t) for t in texts], strict=True)) if texts else [[]] * 4
+    def features(rows: DataFrame, keep: list[str]) -> DataFrame:
+        if few:
+            return shipped_features(spark, rows, tables, order, keep)
+        return joined_features(spark, rows, tables, order, keep, block_bytes)
 
     sample = marked.where(fold() == CURVE_FOLD).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
     sample = written(spark, sample, "curverows")  # at most curve_rows rows, so it may be broadcast
-    held = add_columns(source.join(F.broadcast(sample), "doc_id"), "text", FEATURES, features, ["toxic"]).limit(curve_rows).collect()
+    one_each = source.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    held = sorted(features(one_each, ["doc_id", "toxic"]).collect())
     share = float(np.mean([r["toxic"] > 0 for r in held])) if held else 0.0
     known = [r for r in held if r["n"] > 0]
     y = np.array([float(r["toxic"] > 0) for r in known])
@@ -279,7 +364,7 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, doc_id: str =
     for weight, name in zip(weights[1:], FEATURES.fieldNames()[1:], strict=True):
         line = line + weight * F.col(name)
     chance = F.when(F.col("n") > 0, 1 / (1 + F.exp(-line))).otherwise(F.lit(share))
-    scored = add_columns(source, "text", FEATURES, features, ["doc_id"])
+    scored = features(source, ["doc_id"])
     return scored.select(
         "doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), chance.alias("score"),
         (chance >= THRESHOLD).cast("int").alias("predicted"),

@@ -104,7 +104,7 @@ def test_backoff_and_ratios_against_brute_force(spark):
             return shared(g[1:])
         return max(event[g][y] - discount, 0) / total + discount * types / total * shared(g[1:])
 
-    seen, unseen = toxicity.model_tables(spark, counted, order, discount, 10**6)
+    seen, unseen = toxicity.model_tables(spark, counted, order, discount)
     got = {r.gram: r.ratio for r in seen.collect()}
     assert got == pytest.approx({g: np.log(own(g, 1) / own(g, 0)) for g in event})
     # The scorer finds the same numbers by code.
@@ -112,8 +112,34 @@ def test_backoff_and_ratios_against_brute_force(spark):
     scorer.learn([b"abab"])
     s = "^abab$"
     assert scorer.known[b"abab"] == pytest.approx(sum(got[s[max(0, i - order + 1) : i + 1]] for i in range(1, len(s))), abs=1e-5)
-    few, _ = toxicity.model_tables(spark, counted, order, discount, 5)
-    assert few.count() <= 5
+    # So does the join of words with the events, also for runs and histories never seen.
+    words = [b"abab", b"abx", b"zzz", "ñab".encode(), b"b"]
+    scorer.learn(words)
+    frame = spark.createDataFrame([(bytearray(w),) for w in words], "word binary")
+    joined = {bytes(r.word): r.ratio for r in toxicity.word_ratios(frame, seen, unseen, order).collect()}
+    assert joined == pytest.approx({w: scorer.known[w] for w in words}, abs=1e-6)
+
+
+def test_scores_do_not_depend_on_how_the_events_reach_the_words(spark, case):
+    """All events shipped, or none of them: no event is left out either way."""
+    rows, labels, frame = case
+    odd = [(10_000 + i, t, s) for i, (_, t, s) in enumerate(awkward())] + [(None, prose(1, 50), "s"), (7, prose(1, 50), "s")]
+    docs = table(spark, rows + odd)
+    shipped, joined = (
+        sorted(toxicity.score(spark, docs, frame, few_events=few, block_bytes=20_000).collect(), key=str) for few in (10**9, 0)
+    )
+    assert len(shipped) == len(joined) == len(rows) + len(odd)
+    key = lambda r: (str(r.doc_id), r.n_words, round(r.score, 9))
+    for a, b in zip(sorted(shipped, key=key), sorted(joined, key=key), strict=True):
+        assert (a.doc_id, a.held_out, a.predicted, a.n_words) == (b.doc_id, b.held_out, b.predicted, b.n_words)
+        assert a.score == pytest.approx(b.score, abs=1e-6) and a.top1 == pytest.approx(b.top1, abs=1e-5)
+
+
+def test_repeated_ids_learn_the_same_whatever_the_order(spark, case):
+    rows, labels, frame = case
+    twice = rows + [(d, prose(d + 5000, 40), s) for d, _, s in rows[:200]]
+    first, again = ({(r.doc_id, r.n_words, r.score) for r in toxicity.score(spark, table(spark, x), frame, curve_rows=60).collect()} for x in (twice, twice[::-1]))
+    assert first == again
 
 
 def test_empty_tables(spark):
