@@ -1,7 +1,8 @@
 """Substring dedup: collinear chains of shared word seeds find passages that repeat across documents.
 
-1. Seeds.  Every hashed run of ``K`` words of a text is a seed: a passage of 50 words or
-   more of which a fifth is replaced leaves four words in a row somewhere.
+1. Seeds.  Hashed runs of ``K`` words, of all places those whose hash is a multiple of ``KEEP``: the
+   same runs in every text.  A passage of 50 words or more of which a fifth is replaced leaves four words
+   in a row somewhere; with ``keep=1`` such a run is always a seed, otherwise every second on average.
 2. Join.  A seed found in several texts leads from each of them to one place, in the
    text with the least hash among them: links grow with the seeds, not with their pairs.
    Texts of one task meet there, in numpy; what is left meets in one shuffle by seed, sorted, so the first
@@ -42,7 +43,7 @@ from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, St
 from lakeshelf.llm.common import parts_for, written
 
 K = 4
-KEEP = 1  # every run is a seed
+KEEP = 2  # every second run is a seed, by its hash; 1 takes every run
 CHUNK = 1 << 21  # occurrences that a task sorts at a time
 STRETCH = 10  # a run that comes again within so few words is numbered
 THIN = 8  # of links that follow each other word by word, every eighth is chained, and both ends
@@ -120,9 +121,12 @@ def led(seed: np.ndarray, th: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     new[1:] = seed[1:] != seed[:-1]
     lead = np.maximum.accumulate(np.where(new, np.arange(seed.size), 0))
     own = th == th[lead]
-    key = np.where(own, seed, th)
+    key, rth, rpos = np.where(own, seed, th), th[lead], pos[lead]
+    # Text by text again: what neighbours share compresses in the shuffle.
+    back = np.lexsort((pos, th))
+    key, th, pos, rth, rpos, own = (x[back] for x in (key, th, pos, rth, rpos, own))
     return pa.RecordBatch.from_arrays(
-        [pa.array(key), pa.array(th), pa.array(pos), pa.array(th[lead], mask=own), pa.array(pos[lead], mask=own)], names=PLACED.fieldNames()
+        [pa.array(key), pa.array(th), pa.array(pos), pa.array(rth, mask=own), pa.array(rpos, mask=own)], names=PLACED.fieldNames()
     )
 
 
@@ -289,10 +293,10 @@ def distance(a: np.ndarray, b: np.ndarray) -> int:
     return row[-1]
 
 
-def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+def extend(a: np.ndarray, b: np.ndarray, wide: bool = True) -> tuple[int, int, int]:
     """(words of a, words of b, edits) of the best pair of beginnings: a word gained for an equal one, two lost for an edit.
 
-    First place by place.  Where that ends before the texts do, by edit distance in a band of
+    First place by place.  Where that ends before the texts do, and if ``wide``, by edit distance in a band of
     ``BAND`` words, for words put in or left out; only if some words ahead are equal at all.
     """
     n = min(a.size, b.size)
@@ -305,7 +309,7 @@ def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     length = int(score.argmax()) + 1 if score.size and score.max() > 0 else 0
     best = (length - 3 * int((~same[:length]).sum()), length, length, int((~same[:length]).sum()))
     ahead = min(a.size, b.size) - length
-    if ahead < LEAST_AHEAD:
+    if not wide or ahead < LEAST_AHEAD:
         return best[1:]
     x, y = a[length : length + BAND + LEAST_AHEAD], b[length : length + BAND + LEAST_AHEAD]
     if np.isin(x, y).sum() < LEAST_AHEAD:
@@ -348,9 +352,11 @@ def align(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]], k: int = K
             gap_a, gap_b = a[x + k : x2], b[y + k : y2]
             edits += max(distance(gap_a, gap_b), abs((x2 - x) - (y2 - y)))
     (x, y), (x2, y2) = chain[0], chain[-1]
-    left_a, left_b, more = extend(a[max(0, x - EXTEND) : x][::-1], b[max(0, y - EXTEND) : y][::-1])
     x2, y2 = x2 + k, y2 + k
-    right_a, right_b, yet = extend(a[x2 : x2 + EXTEND], b[y2 : y2 + EXTEND])
+    # Beyond a word put in there are seeds again, unless the passage ends there; a chain of one or two links has no such end.
+    wide = x2 - x >= RUN // 2
+    left_a, left_b, more = extend(a[max(0, x - EXTEND) : x][::-1], b[max(0, y - EXTEND) : y][::-1], wide)
+    right_a, right_b, yet = extend(a[x2 : x2 + EXTEND], b[y2 : y2 + EXTEND], wide)
     return x - left_a, x2 + right_a, y - left_b, y2 + right_b, edits + more + yet
 
 

@@ -100,7 +100,12 @@ def test_seeds_cover_every_shared_run():
         shared = np.array([draw.randrange(50) for _ in range(passages.K)], np.uint32)
         sides = [np.array([draw.randrange(50) for _ in range(draw.randint(0, 40))], np.uint32) for _ in range(4)]
         a, b = np.concatenate((sides[0], shared, sides[1])), np.concatenate((sides[2], shared, sides[3]))
-        assert set(passages.seeds(a)[1].tolist()) & set(passages.seeds(b)[1].tolist())
+        assert set(passages.seeds(a, keep=1)[1].tolist()) & set(passages.seeds(b, keep=1)[1].tolist())
+        # By hash, a run is a seed wherever it comes.
+        some = [set(passages.seeds(x)[1].tolist()) for x in (a, b)]
+        every = [set(passages.seeds(x, keep=1)[1].tolist()) for x in (a, b)]
+        if all(np.unique(x).size == x.size for x in (a, b)):
+            assert some[0] & some[1] == {h for h in every[0] & every[1] if h % passages.KEEP == 0}
 
 
 def test_distance():
@@ -149,6 +154,8 @@ def test_edited_passages_are_found(spark):
             pairs = linked_pairs(spark, edited_pairs(gap, kind))
             print(kind, "every", gap, len(pairs), "of 60")
             assert len(pairs) >= least * 60, (kind, gap, len(pairs))
+    every = passages.repeated_passages(spark, table(spark, edited_pairs(5, "replaced")), keep=1).collect()
+    assert len({r.doc_id // 2 for r in every if not r.first}) == 60
 
 
 def test_edited_passages_of_real_phrases_are_found(spark):
@@ -257,4 +264,4 @@ def test_any_fifth_of_a_passage_edited_leaves_a_seed():
         other = words.copy()
         for i in draw.sample(range(passages.PASSAGE), int(passages.EDITS * passages.PASSAGE)):
             other[i] = draw.randrange(2**32)
-        assert set(passages.seeds(words)[1].tolist()) & set(passages.seeds(other)[1].tolist())
+        assert set(passages.seeds(words, keep=1)[1].tolist()) & set(passages.seeds(other, keep=1)[1].tolist())
