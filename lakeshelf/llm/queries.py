@@ -94,7 +94,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
-@query("op13_kernel_resampling")
+@query("op13_kernel_resampling", twins.resample_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows = resampling.resample(spark, documents(spark, sf_dir), target)

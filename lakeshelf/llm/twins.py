@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeshelf.llm import licenses, mixing, vector_codes
+from lakeshelf.llm import licenses, mixing, resampling, vector_codes
 
 
 def mix_sql(seed: int = mixing.SEED, draws: int = mixing.DRAWS, ceiling: int = mixing.CEILING) -> str:
@@ -84,3 +84,35 @@ coded AS (SELECT vec_id, string_agg(lower(printf('%02x', CAST(near.e AS INTEGER)
 books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS digest FROM b{rounds})
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
 FROM coded JOIN kept USING (vec_id) CROSS JOIN books"""
+
+
+def resample_sql(buckets: int = resampling.BUCKETS, seed: int = resampling.SEED) -> str:
+    """All features one by one; CRC-32 bit by bit for its table, byte by byte for each different feature."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = " || ".join(f"list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))" for k in (1, 2, 3))
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END"
+    codes = "list_transform(range(octet_length(encode(gram))), lambda i: CAST('0x' || substr(hex(encode(gram)), 2 * i + 1, 2) AS UBIGINT))"
+    share, of = resampling.SHARE
+    return f"""WITH crc AS MATERIALIZED (SELECT list_transform(range(256), lambda x: list_reduce(
+  [CAST(x AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: {bit})) AS t),
+texts AS (SELECT doc_id, {words} AS w, false AS wanted FROM documents UNION ALL SELECT NULL, {words}, true FROM benchmark),
+held AS (SELECT doc_id, wanted, len(w) AS n_words, {runs} AS grams FROM texts),
+each AS MATERIALIZED (SELECT doc_id, wanted, unnest(grams) AS gram FROM held),
+hashed AS MATERIALIZED (SELECT gram, CAST(xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}),
+  lambda c, b: xor(t[CAST((xor(c, b) & 255) + 1 AS BIGINT)], c >> 8)), 4294967295::UBIGINT) % {buckets} AS INTEGER) AS bucket
+  FROM (SELECT DISTINCT gram FROM each) CROSS JOIN crc),
+placed AS MATERIALIZED (SELECT doc_id, wanted, bucket FROM each JOIN hashed USING (gram)),
+counts AS (SELECT bucket, count(*) FILTER (WHERE NOT wanted) AS s, count(*) FILTER (WHERE wanted) AS t FROM placed GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor({resampling.SCALE} * ln(CAST(t + 1 AS DOUBLE) * (sum(s) OVER () + {buckets})
+  / (CAST(s + 1 AS DOUBLE) * (sum(t) OVER () + {buckets})))) AS BIGINT) AS gain FROM counts),
+weighed AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket)
+  WHERE NOT wanted GROUP BY doc_id),
+scored AS (SELECT doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-{resampling.SCALE}.0::DOUBLE
+    * ln(-ln((CAST('0x' || substr(sha256('{seed}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM held LEFT JOIN weighed USING (doc_id) WHERE NOT wanted),
+fit AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_words >= {resampling.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {share} * n // {of} THEN rank END AS rank
+FROM scored LEFT JOIN fit USING (doc_id)"""
