@@ -68,6 +68,22 @@ def pa_type(field: StructField) -> pa.DataType:
     return simple[field.dataType.simpleString()]
 
 
+HOT_LEAST, HOT_MOST = 1000, 10_000
+
+
+def join_split(big: DataFrame, small: DataFrame, key: str, n: str) -> DataFrame:
+    """``big`` joined with ``small``, which has one row for each key and in ``n`` how many rows of ``big`` have it.
+
+    Rows of a hot key (over ``HOT_LEAST`` rows and over 1 / ``HOT_MOST`` of all) are not dealt by key: there are
+    fewer than ``HOT_MOST`` such keys, so their rows of ``small`` are broadcast.  All others meet in a shuffle.
+    """
+    total = small.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) > max(HOT_LEAST, total // HOT_MOST)
+    few = F.broadcast(small.where(hot).drop(n))
+    rest = big.join(F.broadcast(small.where(hot).select(key)), key, "left_anti")
+    return big.join(few, key).unionByName(rest.join(small.where(~hot).drop(n), key))
+
+
 def row_key(df: DataFrame) -> Column:
     """128 bits that tell rows apart by all their columns, NULLs by the column they are in.
 

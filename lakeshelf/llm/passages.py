@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from lakeshelf.llm.common import parts_for, written
+from lakeshelf.llm.common import join_split, parts_for, written
 
 K = 4
 KEEP = 2  # every second run is a seed, by its hash; 1 takes every run
@@ -516,15 +516,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_i
 
     source = texts.select(F.col("th").alias("sth"), F.col("first_id").alias("source_doc_id"))
     named = found.join(source, "sth", "left")
-    parts = ids.join(named, "th").select(
+    # A text's documents get all of its passages: rows of one text that has very many copies are not dealt by it.
+    per_th = named.groupBy("th").agg(F.collect_list(F.struct(*[c for c in named.columns if c != "th"])).alias("p"))
+    per_th = written(spark, per_th.join(texts.select("th", "n"), "th"), "named")
+    parts = join_split(ids.select("doc_id", "th"), per_th, "th", "n").select("doc_id", F.inline("p")).select(
         "doc_id", "start_word", "end_word", "first", F.when(F.col("first"), F.col("doc_id")).otherwise(F.col("source_doc_id")).alias("source_doc_id"),
         "source_start", "source_end", "edits",
     )
     size = (F.octet_length("words") / 2).cast("int")
-    whole = copied.join(words, "th").where(size >= PASSAGE).select("th", "first_id", size.alias("n"))
+    whole = copied.join(words, "th").where(size >= PASSAGE).select("th", "first_id", size.alias("words"), "n")
     zero = F.lit(0)
-    copies = ids.join(whole, "th").select(
-        "doc_id", zero.alias("start_word"), F.col("n").alias("end_word"), F.col("doc_id").eqNullSafe(F.col("first_id")).alias("first"),
-        F.col("first_id").alias("source_doc_id"), zero.alias("source_start"), F.col("n").alias("source_end"), zero.alias("edits"),
+    copies = join_split(ids.select("doc_id", "th"), written(spark, whole, "copied"), "th", "n").select(
+        "doc_id", zero.alias("start_word"), F.col("words").alias("end_word"), F.col("doc_id").eqNullSafe(F.col("first_id")).alias("first"),
+        F.col("first_id").alias("source_doc_id"), zero.alias("source_start"), F.col("words").alias("source_end"), zero.alias("edits"),
     )
     return parts.union(copies)

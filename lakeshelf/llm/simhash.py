@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from lakeshelf.llm.common import add_columns, parts_for, row_key, written
+from lakeshelf.llm.common import add_columns, join_split, parts_for, row_key, written
 from lakeshelf.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -206,21 +206,21 @@ def links(spark: SparkSession, prints: DataFrame, budget: int = BUDGET, limit: i
 
 
 def classes(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
-    """(one row for each document: doc_id, fp; one row for each fingerprint: fp, component_id)."""
+    """(one row for each document: doc_id, fp; one row for each fingerprint: fp, component_id, n documents)."""
     narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     marked = written(spark, fingerprints(narrow, "text", ["doc_id"]).withColumnRenamed("fingerprint", "fp"), "fingerprints")
-    reps = written(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
+    reps = written(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "reps")
     roots = written(spark, components(spark, links(spark, reps.select("fp"), budget)), "roots")
     least = roots.join(reps, roots["node"] == reps["fp"]).groupBy("root").agg(F.min("rep").alias("least"))
     linked = roots.join(least, "root").select(F.col("node").alias("fp"), "least", F.lit(True).alias("linked"))
-    of = reps.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component_id"))
-    return marked, of
+    of = reps.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component_id"), "n")
+    return marked, written(spark, of, "classes")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id; one row for each document."""
     marked, of = classes(spark, docs, doc_id, text, budget)
-    return marked.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return join_split(marked, of, "fp", "n").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", budget: int = BUDGET) -> DataFrame:

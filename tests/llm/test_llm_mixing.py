@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from llm_rows import awkward, prose, table
+from pyspark.sql import functions as F
 
 from lakeshelf.llm import mixing
 from lakeshelf.llm.common import row_key
@@ -95,3 +96,14 @@ def test_mixed_takes_each_row_as_planned_whatever_column_is_null(spark):
 def test_empty_table(spark):
     assert mixing.mix(spark, table(spark, [])).count() == 0
     assert mixing.mixed(spark, table(spark, [])).count() == 0
+
+
+def test_hot_keys_join_beside_the_shuffle(spark, monkeypatch):
+    from lakeshelf.llm import common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 5)
+    big = spark.createDataFrame([(i % 7 if i > 40 else 1, i) for i in range(100)] + [(None, 1), (99, 2)], "k int, v int")
+    small = big.where("k < 99").groupBy("k").count().withColumnRenamed("count", "n").withColumn("x", F.col("k") * 10)
+    got = common.join_split(big, small, "k", "n")
+    assert Counter(got.collect()) == Counter(big.join(small.drop("n"), "k").collect())
+    assert got.columns == ["k", "v", "x"]
