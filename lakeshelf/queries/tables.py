@@ -678,7 +678,7 @@ def lay_compact_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     before = store(spark, files(), "filenames")
-    compact_in_place(spark, path, orders.schema, ["status"], file_bytes=max(1, size // large // 4))
+    compact_in_place(spark, path, orders.schema, ["status"], file_bytes=max(1, 2 * size // large // 3))
     now = files().select(c("status").alias("s"), "linhas", "soma", c("nomes").alias("agora"))
     both = now.join(before.select("status", "nomes"), now["s"].eqNullSafe(c("status")))
     return both.select(
