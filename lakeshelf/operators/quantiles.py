@@ -44,22 +44,25 @@ def _picked(histogram: DataFrame, group: Sequence[str], wanted: DataFrame | None
     """
     whole = Window.partitionBy(*group)
     upto = F.sum("_n").over(whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if wanted is None:
-        def place(share: float) -> Column:
-            exact = F.ceil(F.col("_rows").cast("decimal(18,0)") * F.lit(Decimal(str(share)))).cast("long")
-            return F.greatest(exact, F.lit(1).cast("long"))
+    here = (F.col("_place") > F.col("_upto") - F.col("_n")) & (F.col("_place") <= F.col("_upto"))
+    ends = ["_low", "_high"]
+    if wanted is not None:
+        summed = histogram.select(*group, "_n", *ends, (upto + F.col("_before")).alias("_upto"))
+        kept = [c for c in group if c != "_before"]
+        return summed.where(here).select(*kept, (F.col("_upto") - F.col("_n")).alias("_before"), *ends)
 
-        summed = histogram.withColumns({"_upto": upto, "_rows": F.sum("_n").over(whole)})
-        places = F.array(*[F.struct(F.lit(q).alias("_q"), place(s).alias("_place")) for q, s in quantiles.items()])
-        summed = summed.select("*", F.inline(F.filter(places, lambda p: (p["_place"] > F.col("_upto") - F.col("_n")) & (p["_place"] <= F.col("_upto")))))
-        return summed.withColumn("_before", F.col("_upto") - F.col("_n")).drop("_b", "_n", "_upto", "_rows")
-    summed = histogram.withColumn("_upto", upto + F.col("_before"))
-    held = summed.where((F.col("_place") > F.col("_upto") - F.col("_n")) & (F.col("_place") <= F.col("_upto")))
-    return held.withColumn("_before", F.col("_upto") - F.col("_n")).drop("_b", "_n", "_upto")
+    def place(share: float) -> Column:
+        exact = F.ceil(F.col("_rows").cast("decimal(18,0)") * F.lit(Decimal(str(share)))).cast("long")
+        return F.greatest(exact, F.lit(1).cast("long"))
+
+    summed = histogram.select(*group, "_n", *ends, upto.alias("_upto"), F.sum("_n").over(whole).alias("_rows"))
+    places = F.array(*[F.struct(F.lit(q).alias("_q"), place(s).alias("_place")) for q, s in quantiles.items()])
+    held = F.filter(places, lambda p: (p["_place"] > F.col("_upto") - F.col("_n")) & (p["_place"] <= F.col("_upto")))
+    return summed.select(*group, F.inline(held), (F.col("_upto") - F.col("_n")).alias("_before"), *ends)
 
 
 def _histogram(rows: DataFrame, group: Sequence[str], bucket: Column, value: str) -> DataFrame:
-    return rows.withColumn("_b", bucket).groupBy(*group, "_b").agg(
+    return rows.groupBy(*group, bucket.alias("_b")).agg(
         F.count(F.lit(1)).alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high")
     )
 
@@ -81,12 +84,12 @@ def discrete_quantiles(
     """
     if not isinstance(df.schema[value].dataType, NumericType):
         raise TypeError(f"{value} is not a number")
-    rows = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     names = [*keys, "_q", "_place", "_before"]
 
     def inside(picks: DataFrame) -> DataFrame:
         """The rows within the picked range of their key, beside the pick."""
-        renamed = picks.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        renamed = picks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_q", "_place", "_before", "_low", "_high")
         renamed = F.broadcast(renamed) if few_keys else renamed
         same = F.col("_v").between(F.col("_low"), F.col("_high"))
         for k in keys:
@@ -94,12 +97,11 @@ def discrete_quantiles(
         return rows.join(renamed, same)
 
     first = _picked(_histogram(rows, keys, _coarse(F.col("_v")), "_v"), keys, None, quantiles)
-    near = inside(first).withColumn("_b", _fine(F.col("_v"), F.col("_low"), F.col("_high")))
-    fine = near.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    fine = _histogram(inside(first), names, _fine(F.col("_v"), F.col("_low"), F.col("_high")), "_v")
     second = _picked(fine, names, first, quantiles)
     sole = second.where("_low = _high").select(*keys, "_q", F.col("_low").alias("_v"))
-    values = inside(second.where("_low <> _high")).groupBy(*names, F.col("_v").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    third = _picked(values.withColumns({"_low": F.col("_b"), "_high": F.col("_b")}), names, second, quantiles)
+    values = _histogram(inside(second.where("_low <> _high")), names, F.col("_v"), "_v")
+    third = _picked(values, names, second, quantiles)
     found = sole.unionByName(third.select(*keys, "_q", F.col("_low").alias("_v")))
     return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_q") == q, F.col("_v"))).alias(q) for q in quantiles])
 
