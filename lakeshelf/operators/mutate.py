@@ -90,7 +90,7 @@ def merge_into(
     require_unique(source, keys)
     rows = source.select(*schema.names)
     target = spark.read.schema(schema).parquet(path)
-    matched = target.select(*keys, _folder()).join(rows.select(*keys), list(keys), "left_semi")
+    matched = target.select(*keys, F.col(partition).alias(PLACE)).join(rows.select(*keys), list(keys), "left_semi").select(PLACE)
 
     def change(old: DataFrame) -> DataFrame:
         return merge(old, rows, keys, checked=True)
@@ -113,7 +113,7 @@ def update_table(
     def change(old: DataFrame) -> DataFrame:
         return update(old, where, values)
 
-    _rewrite(spark, path, schema, partition, hit.select(_folder()), arriving, change)
+    _rewrite(spark, path, schema, partition, hit.select(F.col(partition).alias(PLACE)), arriving, change)
 
 
 def delete_from(spark: SparkSession, path: str, schema: StructType, partition: str, where: Column) -> None:
@@ -124,32 +124,31 @@ def delete_from(spark: SparkSession, path: str, schema: StructType, partition: s
         return delete(old, where)
 
     hit = target.where(F.coalesce(where, F.lit(False)))
-    _rewrite(spark, path, schema, partition, hit.select(_folder()), None, change)
+    _rewrite(spark, path, schema, partition, hit.select(F.col(partition).alias(PLACE)), None, change)
 
 
-FOLDER = "_folder"
-
-
-def _folder() -> Column:
-    """The name of the partition folder a row was read from, escaped as file paths are."""
-    return F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias(FOLDER)
+FOLDER, PLACE = "_folder", "_place"
 
 
 def _folders(spark: SparkSession, path: str, schema: StructType, partition: str, hit: DataFrame, arriving: DataFrame | None) -> list[str]:
-    """Folders of the rows hit, and those that already hold a value of ``arriving``.
+    """Folders that hold a value of the rows hit (``PLACE``) or of ``arriving``.
 
     They are the names on disk, taken from the files: a value may be escaped there
-    (``a:b``), spelt otherwise (``007`` read as 7) or NULL.  One name per partition comes here.
+    (``a:b``), spelt otherwise (``007`` read as 7) or NULL; a value that two folders spell brings both,
+    since new rows of it go to one.  One name per partition comes here.
     """
-    found = hit.select(FOLDER)
+    wanted = hit.select(PLACE).distinct()
     if arriving is not None:
         place = F.col(partition)
         if isinstance(schema[partition].dataType, StringType):
             place = F.nullif(place, F.lit(""))  # both are written to the folder of NULL
-        # Values of all partitions: read from the paths, no column of the files is.
-        known = spark.read.schema(schema).parquet(path).select(partition, _folder()).distinct()
-        wanted = arriving.select(place.alias(partition)).distinct()
-        found = found.union(join_null_safe(known, wanted, [partition], "left_semi").select(FOLDER))
+        wanted = wanted.union(arriving.select(place.alias(PLACE)).distinct()).distinct()
+    # Values of all partitions: read from the paths, no column of the files is.  Names are cut from
+    # the paths once a file and not once a row.
+    files = spark.read.schema(schema).parquet(path).select(F.col(partition).alias(PLACE), F.col("_metadata.file_path").alias("_file")).distinct()
+    folder = F.substring_index(F.substring_index("_file", "/", -2), "/", 1)
+    known = files.select(PLACE, folder.alias(FOLDER)).distinct()
+    found = join_null_safe(known, wanted, [PLACE], "left_semi").select(FOLDER)
     return sorted(unquote(r[FOLDER]) for r in found.distinct().toLocalIterator())
 
 

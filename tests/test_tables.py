@@ -542,6 +542,14 @@ def test_folders_spelt_otherwise_are_replaced(spark):
     assert sorted(subfolders(spark, path)) == ["p=7", "p=8"]
 
 
+def test_folders_of_one_value_spelt_twice_are_changed_together(spark):
+    path, _ = _table(spark, [(1, 10, "007"), (2, 20, "7"), (3, 30, "8")])
+    schema = spark.createDataFrame([], "id int, v int, p int").schema
+    update_table(spark, path, schema, "p", F.col("id") == 1, {"v": F.lit(11)})
+    assert _now(spark, path, schema) == [(1, 11, 7), (2, 20, 7), (3, 30, 8)]
+    assert sorted(subfolders(spark, path)) == ["p=7", "p=8"]
+
+
 def test_merge_updates_keys_in_whatever_partition_they_lie(spark):
     path, schema = _table(spark, [(1, 10, "x"), (2, 20, "x"), (3, 30, None), (4, 40, "z"), (None, 50, "w"), (6, 60, "u")])
 
