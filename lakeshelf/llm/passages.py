@@ -337,7 +337,8 @@ def banded(a: list[int], b: list[int], band: int = BAND, drop: int = DROP) -> tu
                 if found[0] > best[0]:
                     best = (found[0], i, j, found[1])
         row = made
-        if max(s for s, _ in row.values()) < best[0] - drop:
+        # Beyond the end of b by more than the band no place is left.
+        if not row or max(s for s, _ in row.values()) < best[0] - drop:
             break
     return best
 

@@ -265,3 +265,10 @@ def test_any_fifth_of_a_passage_edited_leaves_a_seed():
         for i in draw.sample(range(passages.PASSAGE), int(passages.EDITS * passages.PASSAGE)):
             other[i] = draw.randrange(2**32)
         assert set(passages.seeds(words, keep=1)[1].tolist()) & set(passages.seeds(other, keep=1)[1].tolist())
+
+
+def test_band_ends_where_the_other_run_is_much_shorter():
+    a = list(range(passages.BAND + passages.DROP + 40))
+    for n in (0, 1, 3, 20):
+        assert passages.banded(a, a[:n]) == (n, n, n, 0)
+        assert passages.banded(a[:n], a) == (n, n, n, 0)
