@@ -4,8 +4,8 @@ Repetitive text compresses too well, random text (keys, encoded binaries) hardly
 at all.  How well clean prose compresses depends on its length, so the limits do.
 
 Given labels, the limits come from them: in each range of lengths from ``FIT_FROM``
-bytes on, what nearly all texts of quality 1 keep to (``fitted``).  Learning uses at most
-``FIT_ROWS`` labelled rows outside the held-out fold, those with the least hashed ids; of rows with one id the least text.
+bytes on, what nearly all texts of quality 1 keep to (``fitted``).  Learning uses all labelled rows outside
+the held-out fold, repeated ones too; the limits are exact quantiles of them.
 Under ``FIT_FROM`` bytes clean and bad texts overlap, so the wide limits of ``BANDS``
 stay there, and in ranges with fewer than ``FIT_LEAST`` clean rows.  A document labelled
 twice has the lesser quality; null ids and null labels do not count.
@@ -29,6 +29,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 
 from lakeshelf.llm.common import add_columns, written
 from lakeshelf.llm.toxicity import HELD_OUT, fold
+from lakeshelf.operators.quantiles import discrete_quantiles
 
 LEVEL = 3
 CHUNK_BYTES = 4096
@@ -48,7 +49,6 @@ CHUNK_SHARE = 0.1  # of a text's chunks may leave the chunk band
 
 FIT_FROM = 1024
 FIT_ENDS = (1536, 2048, 3072, 4096, 6144, 8192, 12288, 16384, 32768, 65536, 131072, float("inf"))
-FIT_ROWS = 20_000
 FIT_LEAST = 20
 FIT_SHARE = 0.005  # of the clean rows may lie beyond either end, before the margins
 FIT_MARGINS = (1.05, 1.02)  # below and above
@@ -120,17 +120,12 @@ def measure(
     return len(words), word_chars, symbols, dup_lines, repeated, failed, ratio, len(chunks), bad, kept
 
 
-def limits(values: Sequence[float]) -> tuple[float, float]:
-    """What nearly all of ``values`` keep to, with the margins."""
-    low, high = np.quantile(values, [FIT_SHARE, 1 - FIT_SHARE])
-    return float(low / FIT_MARGINS[0]), float(high * FIT_MARGINS[1])
-
-
-def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> Bands:
-    """(bands, chunk band) of the labelled rows that pass the base rule."""
+def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text", fit_rows: int | None = None) -> Bands:
+    """(bands, chunk band) of all labelled rows that pass the base rule; ``fit_rows`` takes so many labelled ids only."""
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("good"))
-    sample = marked.where(fold() != HELD_OUT).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    sample = written(spark, sample, "fitrows").where("good > 0").select("doc_id")  # at most fit_rows rows, so it may be broadcast
+    chosen = marked.where(fold() != HELD_OUT)
+    if fit_rows is not None:
+        chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     names = ("size", "ratio", "least", "most")
     schema = StructType([StructField("size", LongType())] + [StructField(n, DoubleType()) for n in names[1:]])
 
@@ -138,25 +133,35 @@ def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str =
         packer = zstandard.ZstdCompressor(level=LEVEL)
         made = []
         for t in texts:
-            failed, ratio = measure(t, packer)[5:7]
+            words = (t or b"").split()
+            failed = len(words) < 50 or 100 * repeat_words(words) > 50 * len(words)
             chunks = [] if failed else chunk_ratios(t, packer)
-            made.append((len(t or b""), None if failed else ratio, min(chunks, default=None), max(chunks, default=None)))
+            made.append((len(t or b""), None if failed else len(t) / len(packer.compress(t)), min(chunks, default=None), max(chunks, default=None)))
         return list(zip(*made, strict=True)) if made else [[]] * len(names)
 
-    source = docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), "doc_id")
-    source = source.groupBy("doc_id").agg(F.min("text").alias("text"))  # one row of each id, the same in every run
-    clean = [r for r in add_columns(source, "text", schema, rows, []).collect() if r["ratio"] is not None]
+    # Texts are measured where they lie: only their figures meet the labels in a shuffle.
+    source = docs.select("doc_id", F.col(f"`{text}`").alias("text"))
+    figures = add_columns(source, "text", schema, rows, ["doc_id"]).where("ratio IS NOT NULL")
+    clean = figures.join(chosen.where("good > 0").select("doc_id"), "doc_id")
+    part = F.lit(None).cast("int")
+    for i, end in reversed(list(enumerate(FIT_ENDS))):
+        part = F.when(F.col("size") < float(end), F.lit(i)).otherwise(part)
+    part = F.when(F.col("size") >= FIT_FROM, part)
+    values = [(part, "ratio"), (F.lit(len(FIT_ENDS)), "least"), (F.lit(len(FIT_ENDS) + 1), "most")]
+    entries = F.array(*[F.struct(p.alias("part"), F.col(c).alias("value")) for p, c in values])
+    every = written(spark, clean.select(F.inline(entries)).where("part IS NOT NULL AND value IS NOT NULL"), "fitvalues")
+    ends = discrete_quantiles(every, ["part"], "value", {"low": FIT_SHARE, "high": 1 - FIT_SHARE})
+    counts = every.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    # One row for each range of lengths that has values.
+    found = {
+        r["part"]: (r["low"] / FIT_MARGINS[0], r["high"] * FIT_MARGINS[1])
+        for r in ends.join(counts, "part").where(F.col("n") >= FIT_LEAST).collect()
+    }
     bands = [b for b in BANDS if b[0] <= FIT_FROM]
-    start = FIT_FROM
-    for end in FIT_ENDS:
-        mine = [r["ratio"] for r in clean if start <= r["size"] < end]
-        wide = next(b[1:] for b in BANDS if end <= b[0])
-        bands.append((end, *(limits(mine) if len(mine) >= FIT_LEAST else wide)))
-        start = end
-    long = [r for r in clean if r["least"] is not None]
-    if len(long) < FIT_LEAST:
-        return tuple(bands), CHUNK_BAND
-    return tuple(bands), (limits([r["least"] for r in long])[0], limits([r["most"] for r in long])[1])
+    for i, end in enumerate(FIT_ENDS):
+        bands.append((end, *found.get(i, next(b[1:] for b in BANDS if end <= b[0]))))
+    least, most = found.get(len(FIT_ENDS)), found.get(len(FIT_ENDS) + 1)
+    return tuple(bands), (least[0], most[1]) if least and most else CHUNK_BAND
 
 
 def quality(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None, bands: Bands = (BANDS, CHUNK_BAND)) -> DataFrame:

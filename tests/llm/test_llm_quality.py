@@ -104,6 +104,28 @@ def test_limits_do_not_depend_on_which_of_repeated_rows_comes_first(spark):
     assert made[0] == made[1]
 
 
+def test_limits_come_from_all_labelled_rows(spark, monkeypatch):
+    # A hundred ids of two lengths; the last rows in the order of the ids' hashes are those with the least and greatest ratio.
+    texts = {i: " ".join((prose(i, 300) + " ").split()[: 250 + i % 3]) for i in range(100)}
+    docs = table(spark, [(i, t, "s") for i, t in texts.items()])
+    labels = spark.createDataFrame([(i, 1) for i in texts], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "FIT_ROWS", 30, raising=False)
+    monkeypatch.setattr(quality.fitted, "__defaults__", tuple(30 if d == 20_000 else d for d in quality.fitted.__defaults__))
+    bands, _ = quality.fitted(spark, docs, labels)
+    used = {r.doc_id for r in labels.where(fold() != HELD_OUT).collect()}
+    packer = zstandard.ZstdCompressor(level=quality.LEVEL)
+    ratios: dict = {}
+    for i in used:
+        t = texts[i].encode()
+        end = next(e for e in quality.FIT_ENDS if len(t) < e)
+        ratios.setdefault(end, []).append(len(t) / len(packer.compress(t)))
+    full = {end: v for end, v in ratios.items() if len(v) >= quality.FIT_LEAST and end > quality.FIT_FROM}
+    assert full
+    for end, values in full.items():
+        low, high = next(b[1:] for b in bands if b[0] == end)
+        assert abs(low * quality.FIT_MARGINS[0] - min(values)) < 1e-9 and abs(high / quality.FIT_MARGINS[1] - max(values)) < 1e-9
+
+
 def test_the_end_of_a_text_is_judged():
     packer = zstandard.ZstdCompressor(level=3)
     clean = prose(3, 20_000).encode()
