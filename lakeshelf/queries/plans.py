@@ -21,10 +21,11 @@ MONTH = benefits.MONTH
 
 
 def _csv(spark: SparkSession, sf_dir: str) -> str:
+    # Packed as exports are; a packed file is read by one task, and the balanced shuffle keeps files small.
     path = new_path(spark, "export")
     replace_partitions(
-        landing_text(spark, sf_dir), path, MONTH, file_format="csv",
-        header="true", sep=";", encoding="ISO-8859-1",
+        landing_text(spark, sf_dir, by_month=True), path, MONTH, file_format="csv", already_split=True,
+        header="true", sep=";", encoding="ISO-8859-1", compression="gzip",
         ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
     )
     return path
@@ -32,7 +33,7 @@ def _csv(spark: SparkSession, sf_dir: str) -> str:
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     path = new_path(spark, "landing")
-    replace_partitions(landing_text(spark, sf_dir), path, MONTH)
+    replace_partitions(landing_text(spark, sf_dir, by_month=True), path, MONTH, already_split=True)
     return path
 
 
@@ -82,10 +83,10 @@ def pipe_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
   '{STAMP}' AS _ingestion_ts, '{STAMP}' AS _silver_ts FROM silver""",
 )
 def pipe_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = benefits.bronze(landing_text(spark, sf_dir), "landing", STAMP)
+    bronze = benefits.bronze(landing_text(spark, sf_dir, by_month=True), "landing", STAMP)
     rows = benefits.silver(store(spark, bronze, "bronze"), STAMP)
     path = new_path(spark, "silver")
-    replace_partitions(rows, path, MONTH)
+    replace_partitions(rows, path, MONTH, already_split=True)
     return plain(spark.read.schema(rows.schema).parquet(path))
 
 

@@ -176,3 +176,13 @@ def test_distinct_codes_need_no_expand(spark):
     rows = silver_rows(spark, "/root/testdata/sf0.001")
     for report in (benefits.national_kpis(rows, AS_OF), benefits.state_table(rows, AS_OF), benefits.state_total_table(rows, AS_OF)):
         assert "Expand" not in plan(report)
+
+
+def test_sales_text_is_rendered_after_the_shuffle_by_month(spark):
+    from lakeshelf.plans.sales_text import landing_text
+
+    made = landing_text(spark, "/root/testdata/sf0.001", by_month=True)
+    above, below = made._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions", 1)
+    assert "Ccf - Conta" in above and "Especie" in above
+    assert "Ccf - Conta" not in below and "Especie" not in below
+    assert sorted(made.collect()) == sorted(landing_text(spark, "/root/testdata/sf0.001").collect())
