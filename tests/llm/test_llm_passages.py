@@ -272,3 +272,7 @@ def test_band_ends_where_the_other_run_is_much_shorter():
     for n in (0, 1, 3, 20):
         assert passages.banded(a, a[:n]) == (n, n, n, 0)
         assert passages.banded(a[:n], a) == (n, n, n, 0)
+    # All words the band bears are put in, and the shorter run ends while the score is at its best.
+    more = [w for i in range(100) for w in ([-1 - i, i] if i and i % 10 == 0 and i <= 10 * passages.BAND else [i])]
+    got = passages.banded(more + [1000, 1001, 1002], list(range(100)))
+    assert got == (100 - 2 * passages.BAND, 100 + passages.BAND, 100, passages.BAND)
