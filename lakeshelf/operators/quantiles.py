@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 
 from lakeshelf.operators.joins import join_null_safe
 
-PER_OCTAVE = 64  # coarse buckets between a number and its double
+PER_OCTAVE = 16  # coarse buckets between a number and its double
 FINE = 16_384  # equal steps within a coarse bucket
 SKETCH_K = 1024  # items a level of a sketch keeps; ranks are then right to about 0.3 %
 RANK_ERROR = 0.01
@@ -67,8 +67,15 @@ def _histogram(rows: DataFrame, group: Sequence[str], bucket: Column, value: str
     )
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The first pass of ``discrete_quantiles`` alone, to be held and given to it for these keys and coarser ones."""
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    return _histogram(rows, keys, _coarse(F.col("_v")), "_v")
+
+
 def discrete_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], few_keys: bool = True
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], few_keys: bool = True,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Exact: per key the least value that at least this share of the rows does not exceed.
 
@@ -81,6 +88,7 @@ def discrete_quantiles(
     NULL values do not count, so a key without values has no row.  NaN is above all numbers.
     ``few_keys`` says that the keys are those of a report, bounded by codes and not by rows: the picked buckets
     (one row for each key and quantile) are then broadcast.  Without it rows meet them in a shuffle.
+    ``counted`` is ``value_counts`` of the same rows at these keys or finer ones; the rows are then not passed over for it.
     """
     if not isinstance(df.schema[value].dataType, NumericType):
         raise TypeError(f"{value} is not a number")
@@ -96,7 +104,10 @@ def discrete_quantiles(
             same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
         return rows.join(renamed, same)
 
-    first = _picked(_histogram(rows, keys, _coarse(F.col("_v")), "_v"), keys, None, quantiles)
+    coarse = value_counts(df, keys, value) if counted is None else counted.groupBy(*keys, "_b").agg(
+        F.sum("_n").alias("_n"), F.min("_low").alias("_low"), F.max("_high").alias("_high")
+    )
+    first = _picked(coarse, keys, None, quantiles)
     fine = _histogram(inside(first), names, _fine(F.col("_v"), F.col("_low"), F.col("_high")), "_v")
     second = _picked(fine, names, first, quantiles)
     sole = second.where("_low = _high").select(*keys, "_q", F.col("_low").alias("_v"))

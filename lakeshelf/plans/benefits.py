@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,13 +22,13 @@ from lakeshelf.functions.fixed_values import (
     STATE_CODES,
     UNKNOWN_REGION,
 )
-from lakeshelf.functions.measures import mean_of, pct_of_rows, share
+from lakeshelf.functions.measures import share
 from lakeshelf.operators.aggregates import frequency
-from lakeshelf.operators.distincts import code_bitmaps, distinct_counts
+from lakeshelf.operators.distincts import code_bitmaps, distinct_counts, merged_bitmaps
 from lakeshelf.operators.joins import join_null_safe
 from lakeshelf.operators.layout import held
 from lakeshelf.operators.quality import enforce
-from lakeshelf.operators.quantiles import discrete_quantiles
+from lakeshelf.operators.quantiles import discrete_quantiles, value_counts
 from lakeshelf.sources.readers import read_delimited
 from lakeshelf.sources.sinks import replace_partitions
 
@@ -50,6 +51,11 @@ BANK_COLUMNS = [
     MONTH, "banco_codigo", "banco_nome", "vl_liquido", "uf", "mun_pagto_codigo", "meio_pag_codigo",
 ]
 
+# The finest grains the reports share, and the columns whose different codes they count.
+STATE_GROUP = [MONTH, "uf", "sg_uf", "grupo_especie"]
+CELL = [*STATE_GROUP, "especie_codigo", "especie_descricao"]
+CODE_COLUMNS = ["mun_resid_codigo", "banco_codigo", "especie_codigo"]
+
 
 # --- landing ---------------------------------------------------------------
 
@@ -153,51 +159,101 @@ def species_group() -> Column:
     return clean.code_group(F.col("especie_codigo"), SPECIES_GROUPS, OTHER_SPECIES)
 
 
-def _with_quantiles(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[Column], quantiles: dict[str, float]
-) -> DataFrame:
-    """Measures of the rows, and exact quantiles of the value from its counts.
+@dataclass(frozen=True)
+class Counted:
+    """What several reports count of the same rows, at the finest grain any of them needs; coarser ones are merged."""
 
-    Two aggregates joined on the keys; a key without any value has NULL quantiles.
-    """
-    found = discrete_quantiles(df, keys, "vl_liquido", quantiles)
-    return join_null_safe(df.groupBy(*keys).agg(*measures), found, keys, "left")
+    cells: DataFrame  # CELL: sums
+    values: DataFrame  # STATE_GROUP: rows by coarse bucket of the value
+    codes: DataFrame  # STATE_GROUP: bitmaps of the code columns
 
 
-def _with_distincts(report: DataFrame, df: DataFrame, keys: Sequence[str], codes: dict[str, str]) -> DataFrame:
-    """Exact distinct counts of code columns beside a report, from bitmaps: no row is expanded for each of them."""
-    counted = distinct_counts(code_bitmaps(df, keys, codes), keys, codes)
-    return join_null_safe(report, counted, keys, "left").fillna(0, list(codes))
+def counted_once(rows: DataFrame) -> Counted:
+    """Three passes over ``rows`` for all reports; each result is bounded by codes, not by rows."""
+    grouped = rows.withColumn("grupo_especie", species_group())
+    return Counted(
+        _cells(grouped, CELL),
+        value_counts(grouped, STATE_GROUP, "vl_liquido"),
+        code_bitmaps(grouped, STATE_GROUP, {c: c for c in CODE_COLUMNS}),
+    )
+
+
+def _cells(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums that add up to those of coarser keys; of columns that ``rows`` lacks there are none."""
+    value = F.col("vl_liquido")
+    conditions = {
+        "n_feminino": ("sexo", F.col("sexo") == "Feminino"),
+        "n_masculino": ("sexo", F.col("sexo") == "Masculino"),
+        "n_sexo_nulo": ("sexo", F.col("sexo").isNull()),
+        "n_rural": ("ramo_atividade", F.col("ramo_atividade") == "Rural"),
+        "n_urbano": ("clientela", F.col("clientela") == "Urbano"),
+        "n_mesmo_municipio": ("fl_mesmo_municipio", F.col("fl_mesmo_municipio")),
+        "n_vl_zero": ("fl_vl_zero", F.col("fl_vl_zero")),
+        "n_conta": ("meio_pag_codigo", F.col("meio_pag_codigo") == "CCF"),
+        "n_cartao": ("meio_pag_codigo", F.col("meio_pag_codigo") == "CMG"),
+    }
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(value).alias("total"),
+        F.count(value).alias("n_value"),
+        F.min(value).alias("lowest"),
+        F.max(value).alias("highest"),
+        *[F.count_if(c).alias(name) for name, (column, c) in conditions.items() if column in rows.columns],
+    )
 
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
+def _n() -> Column:
+    return F.sum("n")
 
 
-def _is(name: str, value: str) -> Column:
-    return F.col(name) == value
+def _total() -> Column:
+    # As wide as the sum over the rows themselves.
+    return F.sum("total").cast("decimal(22,2)")
 
 
-def _state_measures(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    value = F.col("vl_liquido")
-    report = _with_quantiles(
-        rows,
-        keys,
-        [
-            _rows().alias("qtd_beneficios"),
-            F.sum(value).alias("vl_total"),
-            mean_of(value).alias("vl_medio"),
-            F.min(value).alias("vl_minimo"),
-            F.max(value).alias("vl_maximo"),
-            pct_of_rows(_is("sexo", "Feminino")).alias("pct_feminino"),
-            pct_of_rows(_is("sexo", "Masculino")).alias("pct_masculino"),
-            pct_of_rows(_is("ramo_atividade", "Rural")).alias("pct_rural"),
-            pct_of_rows(F.col("fl_mesmo_municipio")).alias("pct_pagto_mesmo_municipio"),
-        ],
-        {"vl_mediano": 0.5},
+def _mean() -> Column:
+    """Exact decimal sum over count, so the result has no summing order."""
+    return F.try_divide(F.sum("total").cast("double"), F.sum("n_value").cast("double"))
+
+
+def _pct(name: str) -> Column:
+    return F.round(F.lit(100.0) * F.sum(name) / _n(), 2)
+
+
+def _with_quantiles(
+    report: DataFrame, rows: DataFrame, keys: Sequence[str], quantiles: dict[str, float], counted: Counted | None
+) -> DataFrame:
+    """Exact quantiles of the value beside a report; a key without any value has NULL."""
+    found = discrete_quantiles(rows, keys, "vl_liquido", quantiles, counted=counted.values if counted else None)
+    return join_null_safe(report, found, keys, "left")
+
+
+def _with_distincts(
+    report: DataFrame, rows: DataFrame, keys: Sequence[str], codes: Mapping[str, str], counted: Counted | None
+) -> DataFrame:
+    """Exact distinct counts of code columns beside a report, from bitmaps: no row is expanded for each of them."""
+    columns = list(codes.values())
+    bitmaps = merged_bitmaps(counted.codes, keys) if counted else code_bitmaps(rows, keys, {c: c for c in columns})
+    found = distinct_counts(bitmaps, keys, columns).withColumnsRenamed({c: name for name, c in codes.items()})
+    return join_null_safe(report, found, keys, "left").fillna(0, list(codes))
+
+
+def _state_measures(rows: DataFrame, keys: Sequence[str], counted: Counted | None) -> DataFrame:
+    cells = counted.cells if counted else _cells(rows, keys)
+    report = cells.groupBy(*keys).agg(
+        _n().alias("qtd_beneficios"),
+        _total().alias("vl_total"),
+        _mean().alias("vl_medio"),
+        F.min("lowest").alias("vl_minimo"),
+        F.max("highest").alias("vl_maximo"),
+        _pct("n_feminino").alias("pct_feminino"),
+        _pct("n_masculino").alias("pct_masculino"),
+        _pct("n_rural").alias("pct_rural"),
+        _pct("n_mesmo_municipio").alias("pct_pagto_mesmo_municipio"),
     )
+    report = _with_quantiles(report, rows, keys, {"vl_mediano": 0.5}, counted)
     codes = {"qtd_municipios_atendidos": "mun_resid_codigo", "qtd_bancos_utilizados": "banco_codigo"}
-    return _with_distincts(report, rows, keys, codes)
+    return _with_distincts(report, rows, keys, codes, counted)
 
 
 def _ranks_and_shares(report: DataFrame) -> DataFrame:
@@ -213,56 +269,49 @@ def _ranks_and_shares(report: DataFrame) -> DataFrame:
     )
 
 
-def state_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
+def state_table(silver_rows: DataFrame, stamped_at: str, counted: Counted | None = None) -> DataFrame:
     """State x species group x month: measures, ranks and shares of the month."""
     rows = silver_rows.withColumn("grupo_especie", species_group())
-    report = _state_measures(rows, ["uf", "sg_uf", MONTH, "grupo_especie"])
+    report = _state_measures(rows, ["uf", "sg_uf", MONTH, "grupo_especie"], counted)
     return _ranks_and_shares(report).withColumn("_gold_ts", F.lit(stamped_at))
 
 
-def state_total_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
+def state_total_ranks(silver_rows: DataFrame) -> DataFrame:
+    """The rows, values, ranks and shares of ``state_total_table`` alone: one pass, without its other measures."""
+    cells = silver_rows.groupBy("uf", "sg_uf", MONTH)
+    return _ranks_and_shares(cells.agg(F.count(F.lit(1)).alias("qtd_beneficios"), F.sum("vl_liquido").alias("vl_total")))
+
+
+def state_total_table(silver_rows: DataFrame, stamped_at: str, counted: Counted | None = None) -> DataFrame:
     """State x month, with the species group most rows fall in (ties: first by name)."""
     keys = ["uf", "sg_uf", MONTH]
-    rows = silver_rows.withColumn("_group", species_group())
-    per_group = rows.groupBy(*keys, "_group").agg(_rows().alias("_n"))
+    rows = silver_rows.withColumn("grupo_especie", species_group())
+    cells = counted.cells if counted else rows.groupBy(*keys, "grupo_especie").agg(F.count(F.lit(1)).alias("n"))
+    per_group = cells.groupBy(*keys, "grupo_especie").agg(_n().alias("_n"))
     top = per_group.groupBy(*keys).agg(
-        F.min_by("_group", F.struct(-F.col("_n"), F.col("_group"))).alias("grupo_especie_top")
+        F.min_by("grupo_especie", F.struct(-F.col("_n"), F.col("grupo_especie"))).alias("grupo_especie_top")
     )
-    report = join_null_safe(_state_measures(rows, keys), top, keys)
+    report = join_null_safe(_state_measures(rows, keys, counted), top, keys)
     return _ranks_and_shares(report).withColumn("_gold_ts", F.lit(stamped_at))
 
 
-def species_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
+def species_table(silver_rows: DataFrame, stamped_at: str, counted: Counted | None = None) -> DataFrame:
     """Species x month: measures, the state with most rows, rank inside the group.
 
     One pass brings the rows down to species x state x month; distinct states
     and the dominant state follow from that small table.
     """
-    value = F.col("vl_liquido")
     rows = silver_rows.withColumn("grupo_especie", species_group())
     keys = ["especie_codigo", "especie_descricao", "grupo_especie", MONTH]
-    conditions = {
-        "pct_feminino": _is("sexo", "Feminino"),
-        "pct_rural": _is("ramo_atividade", "Rural"),
-        "pct_urbano": _is("clientela", "Urbano"),
-        "pct_mesmo_municipio": F.col("fl_mesmo_municipio"),
-    }
-    by_state = rows.groupBy(*keys, "uf", "sg_uf").agg(
-        _rows().alias("n"),
-        F.sum(value).alias("total"),
-        F.count(value).alias("n_value"),
-        F.max(value).alias("highest"),
-        F.count_if(F.col("fl_vl_zero")).alias("n_zero"),
-        *[F.count_if(c).alias(f"n_{k}") for k, c in conditions.items()],
-    )
+    by_state = counted.cells if counted else _cells(rows, CELL)
     exact = by_state.groupBy(*keys).agg(
-        F.sum("n").alias("qtd_beneficios"),
+        _n().alias("qtd_beneficios"),
         F.sum("total").alias("vl_total"),
-        F.try_divide(F.sum("total").cast("double"), F.sum("n_value").cast("double")).alias("vl_medio"),
+        _mean().alias("vl_medio"),
         F.max("highest").alias("vl_maximo"),
-        *[F.round(F.lit(100.0) * F.sum(f"n_{k}") / F.sum("n"), 2).alias(k) for k in conditions],
+        *[_pct(f"n_{k}").alias(f"pct_{k}") for k in ("feminino", "rural", "urbano", "mesmo_municipio")],
         F.count_distinct("uf").alias("qtd_ufs_atendidas"),
-        F.sum("n_zero").alias("qtd_vl_zero"),
+        F.sum("n_vl_zero").alias("qtd_vl_zero"),
     )
     median = discrete_quantiles(rows, keys, "vl_liquido", {"vl_mediano": 0.5})
     # The dominant state belongs to the code, whatever labels the code carries.
@@ -282,15 +331,16 @@ def species_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
 
 def bank_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     """Bank x month: reach, payment methods, market shares and rank."""
-    value = F.col("vl_liquido")
-    report = silver_rows.groupBy("banco_codigo", "banco_nome", MONTH).agg(
-        _rows().alias("qtd_beneficios"),
-        F.sum(value).alias("vl_total"),
-        mean_of(value).alias("vl_medio"),
+    keys = ["banco_codigo", "banco_nome", MONTH]
+    # Bank x place x month first: only these are expanded for the two distinct counts.
+    report = _cells(silver_rows, [*keys, "uf", "mun_pagto_codigo"]).groupBy(*keys).agg(
+        _n().alias("qtd_beneficios"),
+        _total().alias("vl_total"),
+        _mean().alias("vl_medio"),
         F.count_distinct("uf").alias("qtd_ufs_atendidas"),
         F.count_distinct("mun_pagto_codigo").alias("qtd_municipios_pagadores"),
-        pct_of_rows(_is("meio_pag_codigo", "CCF")).alias("pct_conta_corrente"),
-        pct_of_rows(_is("meio_pag_codigo", "CMG")).alias("pct_cartao"),
+        _pct("n_conta").alias("pct_conta_corrente"),
+        _pct("n_cartao").alias("pct_cartao"),
     )
     # One row per bank of a month.
     month = Window.partitionBy(MONTH)
@@ -304,31 +354,27 @@ def bank_table(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
     )
 
 
-def national_kpis(silver_rows: DataFrame, stamped_at: str) -> DataFrame:
+def national_kpis(silver_rows: DataFrame, stamped_at: str, counted: Counted | None = None) -> DataFrame:
     """One row per month."""
-    value = F.col("vl_liquido")
-    report = _with_quantiles(
-        silver_rows,
-        [MONTH],
-        [
-            _rows().alias("total_beneficios"),
-            F.count_distinct("uf").alias("total_ufs_atendidas"),
-            F.sum(value).alias("vl_total_brasil"),
-            mean_of(value).alias("vl_medio_nacional"),
-            F.max(value).alias("vl_maximo_nacional"),
-            pct_of_rows(_is("sexo", "Feminino")).alias("pct_feminino"),
-            pct_of_rows(_is("ramo_atividade", "Rural")).alias("pct_rural"),
-            pct_of_rows(F.col("fl_mesmo_municipio")).alias("pct_pagto_mesmo_municipio"),
-            F.count_if(F.col("fl_vl_zero")).alias("qtd_vl_zero"),
-            F.count_if(F.col("sexo").isNull()).alias("qtd_sexo_nulo"),
-        ],
-        {"vl_mediano_nacional": 0.5, "vl_p90_nacional": 0.9},
+    cells = counted.cells if counted else _cells(silver_rows, [MONTH, "uf"])
+    report = cells.groupBy(MONTH).agg(
+        _n().alias("total_beneficios"),
+        F.count_distinct("uf").alias("total_ufs_atendidas"),
+        _total().alias("vl_total_brasil"),
+        _mean().alias("vl_medio_nacional"),
+        F.max("highest").alias("vl_maximo_nacional"),
+        _pct("n_feminino").alias("pct_feminino"),
+        _pct("n_rural").alias("pct_rural"),
+        _pct("n_mesmo_municipio").alias("pct_pagto_mesmo_municipio"),
+        F.sum("n_vl_zero").alias("qtd_vl_zero"),
+        F.sum("n_sexo_nulo").alias("qtd_sexo_nulo"),
     )
+    report = _with_quantiles(report, silver_rows, [MONTH], {"vl_mediano_nacional": 0.5, "vl_p90_nacional": 0.9}, counted)
     codes = {
         "total_municipios_atendidos": "mun_resid_codigo", "total_especies_ativas": "especie_codigo",
         "total_bancos_pagadores": "banco_codigo",
     }
-    return _with_distincts(report, silver_rows, [MONTH], codes).withColumn("_gold_ts", F.lit(stamped_at))
+    return _with_distincts(report, silver_rows, [MONTH], codes, counted).withColumn("_gold_ts", F.lit(stamped_at))
 
 
 def region_table(state_totals: DataFrame) -> DataFrame:
@@ -426,16 +472,18 @@ def run(
 
 
 def _gold(rows: DataFrame, paths: dict[str, str], only: list[str] | None, as_of: str, storage: StorageLevel) -> None:
-    """All reports from one held silver, their rules, and then their writes."""
+    """All reports from one held silver and what is counted of it once, their rules, and then their writes."""
+    counted = counted_once(rows)
+    shared = [counted.cells, counted.values, counted.codes]
     reports = {
-        "fat_uf": state_table(rows, as_of),
-        "fat_uf_total": state_total_table(rows, as_of),
-        "fat_especie": species_table(rows, as_of),
+        "fat_uf": state_table(rows, as_of, counted),
+        "fat_uf_total": state_total_table(rows, as_of, counted),
+        "fat_especie": species_table(rows, as_of, counted),
         "fat_banco": bank_table(rows, as_of),
-        "kpis_nacionais": national_kpis(rows, as_of),
+        "kpis_nacionais": national_kpis(rows, as_of, counted),
     }
-    with held(*reports.values(), storage=storage) as kept:
-        kept_reports = dict(zip(reports, kept))
+    with held(*shared, *reports.values(), storage=storage) as kept:
+        kept_reports = dict(zip(reports, kept[len(shared):]))
         kpis = kept_reports["kpis_nacionais"]
         enforce(
             share_rule("state shares", kept_reports["fat_uf"])

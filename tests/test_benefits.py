@@ -186,3 +186,21 @@ def test_sales_text_is_rendered_after_the_shuffle_by_month(spark):
     assert "Ccf - Conta" in above and "Especie" in above
     assert "Ccf - Conta" not in below and "Especie" not in below
     assert sorted(made.collect()) == sorted(landing_text(spark, "/root/testdata/sf0.001").collect())
+
+
+def test_reports_from_what_is_counted_once_are_the_same(spark):
+    rows = silver(
+        spark,
+        [line(valor=f"{v},{v % 7}0", uf=uf, especie=str(v % 5), banco=f"{v % 3}-B", resid=f"000{v % 4}0-Sp-X", ramo="Rural" if v % 2 else "{ñ class}")
+         for v in range(40) for uf in ("Bahia", "São Paulo")] + [line(valor="abc", uf="Acre")],
+    )
+    counted = benefits.counted_once(rows)
+    for report in (benefits.state_table, benefits.state_total_table, benefits.species_table, benefits.national_kpis):
+        alone, shared = report(rows, AS_OF), report(rows, AS_OF, counted)
+        assert alone.schema == shared.schema
+        assert sorted(map(str, alone.collect())) == sorted(map(str, shared.collect()))
+
+
+def test_banks_are_counted_before_rows_are_expanded(spark):
+    text = plan(benefits.bank_table(silver_rows(spark, "/root/testdata/sf0.001"), AS_OF))
+    assert "HashAggregate" in text.rsplit("Expand", 1)[1]
