@@ -296,7 +296,7 @@ def win_market_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("win_two_ranks", f"SELECT uf, _ano_mes, rank_qtd, rank_vl_total FROM ({STATE_TOTAL_SQL})")
 def win_two_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP)
+    totals = benefits.state_total_ranks(silver_rows(spark, sf_dir))
     return totals.select("uf", "_ano_mes", "rank_qtd", "rank_vl_total")
 
 
@@ -324,7 +324,7 @@ def win_top_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM ({STATE_TOTAL_SQL}) WHERE rank_vl_total <= 5""",
 )
 def ord_rank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP).where("rank_vl_total <= 5")
+    totals = benefits.state_total_ranks(silver_rows(spark, sf_dir)).where("rank_vl_total <= 5")
     return plain(
         totals.select(
             "_ano_mes", "rank_vl_total", "sg_uf", "qtd_beneficios", "vl_total", "pct_nacional_valor"
@@ -342,7 +342,7 @@ def ord_rank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT _ano_mes, sum(CAST(pct_nacional_qtd AS DECIMAL(7,2))) AS total FROM ({STATE_TOTAL_SQL}) GROUP BY _ano_mes)""",
 )
 def dq_share_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = benefits.state_total_table(_state_rows(spark, sf_dir), STAMP)
+    totals = benefits.state_total_ranks(silver_rows(spark, sf_dir))
     return benefits.share_rule("state shares", totals)
 
 

@@ -204,3 +204,10 @@ def test_reports_from_what_is_counted_once_are_the_same(spark):
 def test_banks_are_counted_before_rows_are_expanded(spark):
     text = plan(benefits.bank_table(silver_rows(spark, "/root/testdata/sf0.001"), AS_OF))
     assert "HashAggregate" in text.rsplit("Expand", 1)[1]
+
+
+def test_ranks_alone_take_one_pass_over_the_sales(spark):
+    from lakeshelf.queries.gold import ord_rank_filter
+
+    text = plan(ord_rank_filter(spark, "/root/testdata/sf0.001"))
+    assert "l_extendedprice" in text and "_low" not in text and "_bits" not in text
