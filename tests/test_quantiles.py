@@ -130,3 +130,11 @@ def test_bitmaps_need_no_expand(spark):
     df = spark.range(100).selectExpr("id % 3 AS k", "id AS x", "id % 7 AS y")
     counted = distinct_counts(code_bitmaps(df, ["k"], {"xs": "x", "ys": "y"}), ["k"], ["xs", "ys"])
     assert "Expand" not in plan(counted) and "Expand" in plan(df.groupBy("k").agg(F.count_distinct("x"), F.count_distinct("y")))
+
+
+def test_bitmaps_are_plain_hash_aggregates_of_words(spark):
+    df = spark.range(-64, 6400).selectExpr("id % 2 AS k", "id AS x", "CAST(NULL AS bigint) AS y")
+    bitmaps = code_bitmaps(df, ["k"], {"xs": "x", "ys": "y"})
+    assert "SortAggregate" not in plan(bitmaps) and "ObjectHashAggregate" not in plan(bitmaps)
+    assert bitmaps.count() == 2 * 101
+    assert [tuple(r) for r in distinct_counts(merged_bitmaps(bitmaps, []), [], ["xs", "ys"]).collect()] == [(6464, 0)]
