@@ -13,7 +13,7 @@ from lakeshelf.plans.sales_text import landing_text
 from lakeshelf.queries.common import SILVER_CTE, STAMP, plain
 from lakeshelf.queries.tables import EVENT_SCHEMA, _events_as_json
 from lakeshelf.registry import ORACLES, query, table
-from lakeshelf.session import new_path, store
+from lakeshelf.session import new_path, small_tasks, store
 from lakeshelf.sources.sinks import replace_partitions
 from lakeshelf.streaming import files as streams
 
@@ -84,7 +84,9 @@ def pipe_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def pipe_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = benefits.bronze(landing_text(spark, sf_dir, by_month=True), "landing", STAMP)
-    rows = benefits.silver(store(spark, bronze, "bronze"), STAMP)
+    with small_tasks(spark):
+        stored = store(spark, bronze, "bronze")
+    rows = benefits.silver(stored, STAMP)
     path = new_path(spark, "silver")
     replace_partitions(rows, path, MONTH, already_split=True)
     return plain(spark.read.schema(rows.schema).parquet(path))

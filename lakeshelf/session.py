@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,16 @@ _local_folder: str | None = None
 # splits it over small methods instead.
 RUNTIME_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
+# Codes and repeated text take some 10 to 50 bytes a row in a shuffle or a file, and many times that as
+# rows to sort.  Spark sizes tasks by the former: by default up to 64 and 128 MB, millions of rows.
+TASK_BYTES = 16 << 20
+TASK_CONF = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+
+# A small task of a partitioned write holds rows of few partitions, a file of each may be open at once;
+# rows of further partitions are sorted, as all are by default.
+OPEN_FILES = 16
+FILES_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def build_session(app: str = "lakeshelf", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, AQE and ANSI on.
@@ -46,6 +58,26 @@ def tune(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Tasks of at most ``TASK_BYTES`` of shuffle or files, for writes of wide rows, which then need no sort by partition.
+
+    A smaller size already chosen is kept, and so is a number of open files.
+    """
+    chosen = {key: spark.conf.get(key, None) for key in (*TASK_CONF, FILES_CONF)}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key in TASK_CONF:
+        if chosen[key] is None or in_bytes(chosen[key]) > TASK_BYTES:
+            spark.conf.set(key, str(TASK_BYTES))
+    if chosen[FILES_CONF] is None:
+        spark.conf.set(FILES_CONF, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        for key, value in chosen.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakeshelf.session import small_tasks
+
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Bring rows of a partition value together before a partitioned write.
@@ -43,6 +46,7 @@ def replace_partitions(
     Rows of a partition are brought together first, unless there is one value
     only or the input is a table split the same way (``already_split``): then a
     task holds few partitions anyway, and the shuffle would move every row for nothing.
+    Such a task is kept small and writes its partitions' files side by side, without sorting wide rows.
 
     With ``only``, a row of any other value (or NULL) fails the write job, whose
     output is then never committed.  An empty batch changes nothing, since only
@@ -63,14 +67,15 @@ def replace_partitions(
     batch = batch.observe(seen, *counts)
     together = batch if already_split or (only is not None and len(only) == 1) else balanced(batch, column)
     try:
-        (
-            together.write.mode("overwrite")
-            .format(file_format)
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**options)
-            .partitionBy(column)
-            .save(path)
-        )
+        with small_tasks(df.sparkSession) if already_split else nullcontext():
+            (
+                together.write.mode("overwrite")
+                .format(file_format)
+                .option("partitionOverwriteMode", "dynamic")
+                .options(**options)
+                .partitionBy(column)
+                .save(path)
+            )
     except Exception as error:
         if FOREIGN in str(error):
             raise BatchRejected(f"rows outside {column} in {list(only or [])}") from error

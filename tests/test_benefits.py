@@ -211,3 +211,38 @@ def test_ranks_alone_take_one_pass_over_the_sales(spark):
 
     text = plan(ord_rank_filter(spark, "/root/testdata/sf0.001"))
     assert "l_extendedprice" in text and "_low" not in text and "_bits" not in text
+
+
+def test_a_split_write_takes_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr("lakeshelf.session.TASK_BYTES", 1 << 16, raising=False)
+    source, target = new_path(spark, "landing"), new_path(spark, "bronze")
+    landing(spark, [line()] * 80).repartition(40).write.parquet(source)
+    rows = benefits.bronze(spark.read.parquet(source), "src", AS_OF)
+    replace_partitions(rows, target, "_ano_mes", already_split=True)
+    written = spark.read.parquet(target)
+    assert written.count() == 80
+    # A file for each task, where tasks of the default size read several of the files.
+    assert len(written.inputFiles()) > 20
+
+
+def test_a_task_of_more_months_than_open_files_writes_all(spark):
+    target = new_path(spark, "months")
+    rows = spark.range(0, 800, 1, 1).select("id", F.format_string("%06d", F.col("id") % 40 + 200001).alias("_ano_mes"))
+    replace_partitions(rows, target, "_ano_mes", already_split=True)
+    counts = spark.read.parquet(target).groupBy("_ano_mes").agg(F.count_distinct("id").alias("n")).collect()
+    assert [r["n"] for r in counts] == [20] * 40
+
+
+def test_small_tasks_give_the_settings_back(spark):
+    from lakeshelf.session import FILES_CONF, TASK_BYTES, TASK_CONF, small_tasks
+
+    size, split = TASK_CONF
+    before = {k: spark.conf.get(k, None) for k in (*TASK_CONF, FILES_CONF)}
+    spark.conf.set(split, "1m")
+    try:
+        with pytest.raises(ValueError), small_tasks(spark):
+            assert (spark.conf.get(size), spark.conf.get(split)) == (str(TASK_BYTES), "1m")
+            raise ValueError
+        assert {k: spark.conf.get(k, None) for k in before} == before | {split: "1m"}
+    finally:
+        spark.conf.unset(split) if before[split] is None else spark.conf.set(split, before[split])
